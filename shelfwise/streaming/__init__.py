@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The workload is a once-a-day batch over snapshot tables: there is no stream,
+watermark, event-time window or stateful operator to rebuild, and none is
+invented here.  A daily run is re-executed as a whole (idempotent overwrite).
+"""
