@@ -29,31 +29,29 @@ def _budget(df: DataFrame, max_bytes: int | None) -> int:
     return int(raw)
 
 
-def _row_bytes(df: DataFrame):
-    """Exact-ish in-memory bytes of one row: 8-byte slot per field plus a
-    null bitset word, plus the payload of variable-length fields."""
+def _row_bytes_sql(df: DataFrame) -> tuple[str, int]:
+    """SQL for the in-memory bytes of one row: an 8-byte slot per field and a
+    null-bitset word, plus the payload of variable-length fields."""
     fixed = 8 + 8 * len(df.schema.fields)
-    var = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
-           for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    expr = F.lit(fixed)
-    for v in var:
-        expr = expr + v
-    return expr, fixed
+    var = [f"coalesce(octet_length(`{f.name}`), 0)" for f in df.schema.fields
+           if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    return " + ".join([str(fixed), *var]), fixed
 
 
 def broadcast_size_ok(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when ``df`` is proven to fit the broadcast byte budget.
 
     The probe reads at most ``budget / min_row_bytes + 1`` rows, so it stays
-    cheap however large the frame is.
+    bounded however large the frame is, and returns two numbers.
     """
     budget = _budget(df, max_bytes)
     if budget <= 0:
         return False
-    row_bytes, min_row = _row_bytes(df)
+    row_bytes, min_row = _row_bytes_sql(df)
     cap = budget // min_row
     got = (df.limit(cap + 1)
-           .agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes).alias("bytes"))
+           .selectExpr(f"CAST({row_bytes} AS BIGINT) AS b")
+           .selectExpr("count(1) AS n", "sum(b) AS bytes")
            .first())
     n, size = got["n"], got["bytes"] or 0
     return n <= cap and size <= budget

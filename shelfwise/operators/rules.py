@@ -33,7 +33,7 @@ def item_moved(results: DataFrame, equipment: DataFrame) -> DataFrame:
     home = equipment.select("equipment_id", F.col("location_id").alias("home_location_id"))
     joined = results.join(home, "equipment_id", "left")
     return joined.select(
-        *[F.col(f"`{c}`") for c in results.columns],
+        *results.columns,
         "home_location_id",
         moved(F.col("location_id"), F.col("home_location_id")).alias("item_moved"))
 

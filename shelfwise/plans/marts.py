@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.dates import as_of_column, days_between, is_before, years_from_days
 from ..operators import aggregates as agg
-from ..operators.joins import enrich
+from ..operators.joins import bounded_broadcast, enrich
 from ..vocab import ADAPTER_VOCAB, Vocabulary
 
 AsOf = _dt.date | str | Column | None
@@ -34,7 +34,7 @@ LOCATION_DIM_COLUMNS = ("location_id", "zone", "rack", "shelf", "is_active")
 
 
 def _in_order(df: DataFrame, schema) -> DataFrame:
-    return df.select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
+    return df.select(*schema.fieldNames())
 
 
 def employee_dim(employees: DataFrame) -> DataFrame:
@@ -157,8 +157,14 @@ def responsible_load(equipment: DataFrame, employees: DataFrame,
 def build_marts(tables: dict[str, DataFrame], as_of: AsOf = None,
                 vocab: Vocabulary = ADAPTER_VOCAB, sort: bool = False,
                 broadcast: str = "checked") -> dict[str, DataFrame]:
-    """All five marts from the six conformed tables."""
+    """All five marts from the six conformed tables.
+
+    Each dimension is size-probed once here (not once per mart): a proven
+    small one carries its broadcast hint into every mart that joins it.
+    """
     eq, loc, emp = tables["equipment"], tables["storage_locations"], tables["employees"]
+    if broadcast == "checked":
+        loc, emp, broadcast = bounded_broadcast(loc), bounded_broadcast(emp), "auto"
     return {
         "equipment_health": equipment_health(eq, loc, emp, as_of, broadcast),
         "inventory_accuracy": inventory_accuracy(

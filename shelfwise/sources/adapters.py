@@ -1,18 +1,20 @@
 """The six source tables derived from the driver's TPC-H-shaped tables.
 
-The derivation is the adapter-view contract of ``FIXTURES.md`` §3 written
-with the DataFrame API, so Spark and the SQL oracle see the same rows.
-Misses are deliberate: places beyond the supplier count, every tenth
-employee and every fortieth session are absent, so every left join keeps
-orphan rows, as a real feed would.
+The derivation is the adapter-view contract of ``FIXTURES.md`` §3, written
+as ``selectExpr`` projections over Spark reads of the driver tables, so
+Spark and the SQL oracle see the same rows.  Misses are deliberate: places
+beyond the supplier count, every tenth employee and every fortieth session
+are absent, so every left join keeps orphan rows, as a real feed would.
+
+``nation`` and ``region`` are joined without a hint: they are file scans
+whose size the planner reads from file metadata, and Spark broadcasts them
+only under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks the
+measured size at run time).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from ..operators.joins import bounded_broadcast
+from pyspark.sql import DataFrame, SparkSession
 
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
@@ -21,119 +23,96 @@ def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _text(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
-
-
-def _plus_days(date_col: Column, days: Column) -> Column:
-    return F.date_add(date_col, days.cast("int"))
-
-
 def storage_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = driver_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-    nation = driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = driver_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    joined = (supplier
-              .join(bounded_broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))
-              .join(bounded_broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")))
-    return joined.select(
-        F.col("s_suppkey").cast("int").alias("location_id"),
-        F.col("r_name").alias("zone"),
-        F.col("n_name").alias("rack"),
-        F.concat(F.lit("S"), _text(F.col("s_suppkey") % 3 + 1)).alias("shelf"),
-        (F.col("s_acctbal") >= 0).alias("is_active"),
+    supplier = driver_table(spark, sf_dir, "supplier")
+    nation = driver_table(spark, sf_dir, "nation")
+    region = driver_table(spark, sf_dir, "region")
+    joined = (supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
+              .join(region, nation.n_regionkey == region.r_regionkey))
+    return joined.selectExpr(
+        "CAST(s_suppkey AS INT) AS location_id",
+        "r_name AS zone",
+        "n_name AS rack",
+        "CONCAT('S', CAST(s_suppkey % 3 + 1 AS STRING)) AS shelf",
+        "s_acctbal >= 0 AS is_active",
     )
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = (driver_table(spark, sf_dir, "customer")
-                .select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-                .filter(F.col("c_custkey") % 10 != 9))
-    nation = driver_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = customer.join(bounded_broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
-    return joined.select(
-        F.col("c_custkey").cast("int").alias("responsible_person_id"),
-        F.col("c_name").alias("full_name"),
-        F.col("c_mktsegment").alias("role"),
-        F.col("n_name").alias("department"),
-        F.concat(F.lit("+"), _text("c_custkey")).alias("contact"),
-        F.when(F.col("c_custkey") % 2 == 0, F.lit("day")).otherwise(F.lit("night")).alias("shift"),
+    customer = driver_table(spark, sf_dir, "customer").where("c_custkey % 10 <> 9")
+    nation = driver_table(spark, sf_dir, "nation")
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
+        "CAST(c_custkey AS INT) AS responsible_person_id",
+        "c_name AS full_name",
+        "c_mktsegment AS role",
+        "n_name AS department",
+        "CONCAT('+', CAST(c_custkey AS STRING)) AS contact",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'day' ELSE 'night' END AS shift",
     )
 
 
 def equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = driver_table(spark, sf_dir, "orders")
-    key = F.col("o_orderkey")
-    bought = F.col("o_orderdate").cast("date")
-    return o.select(
-        F.concat(F.lit("EQ"), _text(key)).alias("equipment_id"),
-        F.concat(F.lit("INV-"), _text(key)).alias("inventory_number"),
-        F.concat(F.col("o_orderpriority"), F.lit(" #"), _text(key)).alias("name"),
-        F.col("o_orderpriority").alias("category"),
-        F.concat(F.lit("M"), _text(key % 18)).alias("model"),
-        F.concat(F.lit("SN-"), _text(key)).alias("serial_number"),
-        F.when(key % 25 == 0, F.lit("retired"))
-         .when(F.col("o_orderstatus") == "F", F.lit("working"))
-         .when(F.col("o_orderstatus") == "O", F.lit("in_repair"))
-         .otherwise(F.lit("reserve")).alias("status"),
-        (F.col("o_custkey") % 120).cast("int").alias("location_id"),
-        bought.alias("purchase_date"),
-        _plus_days(bought, F.lit(365) * (F.lit(2) + key % 4)).alias("warranty_end_date"),
-        _plus_days(bought, F.lit(90) + key % 400).alias("last_maintenance_date"),
-        F.when(key % 50 == 7, F.lit(None).cast("date"))
-         .otherwise(_plus_days(bought, F.lit(170) + key % 1500)).alias("next_maintenance_date"),
-        F.col("o_custkey").cast("int").alias("responsible_person_id"),
-        F.col("o_orderdate").cast("timestamp_ntz").alias("created_at"),
+    return driver_table(spark, sf_dir, "orders").selectExpr(
+        "CONCAT('EQ', CAST(o_orderkey AS STRING)) AS equipment_id",
+        "CONCAT('INV-', CAST(o_orderkey AS STRING)) AS inventory_number",
+        "CONCAT(o_orderpriority, ' #', CAST(o_orderkey AS STRING)) AS name",
+        "o_orderpriority AS category",
+        "CONCAT('M', CAST(o_orderkey % 18 AS STRING)) AS model",
+        "CONCAT('SN-', CAST(o_orderkey AS STRING)) AS serial_number",
+        "CASE WHEN o_orderkey % 25 = 0 THEN 'retired' WHEN o_orderstatus = 'F' THEN 'working' "
+        "WHEN o_orderstatus = 'O' THEN 'in_repair' ELSE 'reserve' END AS status",
+        "CAST(o_custkey % 120 AS INT) AS location_id",
+        "CAST(o_orderdate AS DATE) AS purchase_date",
+        "date_add(CAST(o_orderdate AS DATE), CAST(365 * (2 + o_orderkey % 4) AS INT)) AS warranty_end_date",
+        "date_add(CAST(o_orderdate AS DATE), CAST(90 + o_orderkey % 400 AS INT)) AS last_maintenance_date",
+        "CASE WHEN o_orderkey % 50 = 7 THEN CAST(NULL AS DATE) "
+        "ELSE date_add(CAST(o_orderdate AS DATE), CAST(170 + o_orderkey % 1500 AS INT)) END "
+        "AS next_maintenance_date",
+        "CAST(o_custkey AS INT) AS responsible_person_id",
+        "CAST(o_orderdate AS TIMESTAMP_NTZ) AS created_at",
     )
 
 
 def inventory_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = driver_table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 40 != 3)
-    return o.select(
-        F.concat(F.lit("INV-"), _text("o_orderkey")).alias("inventory_id"),
-        F.col("o_orderdate").cast("date").alias("session_date"),
-        (F.col("o_custkey") % 120).cast("int").alias("location_id"),
-        F.col("o_custkey").cast("int").alias("responsible_person_id"),
-        F.col("o_orderstatus").alias("status"),
-        F.lit(0).cast("int").alias("discrepancy_count"),
-        F.lit("n").alias("notes"),
+    return driver_table(spark, sf_dir, "orders").where("o_orderkey % 40 <> 3").selectExpr(
+        "CONCAT('INV-', CAST(o_orderkey AS STRING)) AS inventory_id",
+        "CAST(o_orderdate AS DATE) AS session_date",
+        "CAST(o_custkey % 120 AS INT) AS location_id",
+        "CAST(o_custkey AS INT) AS responsible_person_id",
+        "o_orderstatus AS status",
+        "CAST(0 AS INT) AS discrepancy_count",
+        "'n' AS notes",
     )
 
 
 def inventory_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = driver_table(spark, sf_dir, "lineitem")
-    line7 = F.col("l_linenumber") == 7
-    returned = F.col("l_returnflag") == "R"
-    return li.select(
-        F.concat(F.lit("RES"), _text("l_orderkey"), F.lit("-"), _text("l_linenumber")).alias("result_id"),
-        F.concat(F.lit("INV-"), _text("l_orderkey")).alias("inventory_id"),
-        F.concat(F.lit("EQ"), _text("l_partkey")).alias("equipment_id"),
-        F.col("l_suppkey").cast("int").alias("location_id"),
-        F.lit(1).cast("int").alias("expected_presence"),
-        F.when(line7, F.lit(2)).when(returned, F.lit(0)).otherwise(F.lit(1)).cast("int")
-         .alias("actual_presence"),
-        F.col("l_linestatus").alias("condition"),
-        F.when(F.col("l_partkey") % 31 == 0, F.lit(None).cast("boolean"))
-         .otherwise(line7 | returned).alias("discrepancy_flag"),
-        F.col("l_returnflag").alias("discrepancy_type"),
-        F.lit(None).cast("string").alias("comment"),
+    return driver_table(spark, sf_dir, "lineitem").selectExpr(
+        "CONCAT('RES', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS result_id",
+        "CONCAT('INV-', CAST(l_orderkey AS STRING)) AS inventory_id",
+        "CONCAT('EQ', CAST(l_partkey AS STRING)) AS equipment_id",
+        "CAST(l_suppkey AS INT) AS location_id",
+        "CAST(1 AS INT) AS expected_presence",
+        "CAST(CASE WHEN l_linenumber = 7 THEN 2 WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS INT) "
+        "AS actual_presence",
+        "l_linestatus AS condition",
+        "CASE WHEN l_partkey % 31 = 0 THEN CAST(NULL AS BOOLEAN) "
+        "ELSE (l_linenumber = 7 OR l_returnflag = 'R') END AS discrepancy_flag",
+        "l_returnflag AS discrepancy_type",
+        "CAST(NULL AS STRING) AS comment",
     )
 
 
 def maintenance_logs(spark: SparkSession, sf_dir: str, conformed: bool = True) -> DataFrame:
-    li = driver_table(spark, sf_dir, "lineitem")
-    status = (F.when(F.col("l_returnflag") == "A", F.lit("done"))
-              .when(F.col("l_returnflag") == "N", F.lit("planned"))
-              .otherwise(F.lit("overdue")))
-    return li.select(
-        F.concat(F.lit("MNT"), _text("l_orderkey"), F.lit("-"), _text("l_linenumber")).alias("maintenance_id"),
-        F.concat(F.lit("EQ"), _text("l_orderkey")).alias("equipment_id"),
-        F.col("l_shipdate").cast("date").alias("maintenance_date"),
-        F.col("l_linestatus").alias("maintenance_type"),
-        F.col("l_quantity").cast("double").alias("duration_hours"),
-        status.alias("maintenance_status" if conformed else "status"),
-        F.col("l_suppkey").cast("int").alias("responsible_person_id"),
-        F.col("l_extendedprice").cast("double").alias("cost"),
+    status = "maintenance_status" if conformed else "status"
+    return driver_table(spark, sf_dir, "lineitem").selectExpr(
+        "CONCAT('MNT', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS maintenance_id",
+        "CONCAT('EQ', CAST(l_orderkey AS STRING)) AS equipment_id",
+        "CAST(l_shipdate AS DATE) AS maintenance_date",
+        "l_linestatus AS maintenance_type",
+        "CAST(l_quantity AS DOUBLE) AS duration_hours",
+        f"CASE l_returnflag WHEN 'A' THEN 'done' WHEN 'N' THEN 'planned' ELSE 'overdue' END AS {status}",
+        "CAST(l_suppkey AS INT) AS responsible_person_id",
+        "CAST(l_extendedprice AS DOUBLE) AS cost",
     )
 
 
