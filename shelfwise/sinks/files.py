@@ -17,11 +17,12 @@ from ..sources.csv_scan import CSV_OPTIONS
 
 
 def write_parquet(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) -> str:
-    """Overwrite a Parquet dataset.  With ``partition_by`` and the session's
-    dynamic partition-overwrite mode only the partitions present are replaced."""
+    """Overwrite a Parquet dataset.  With ``partition_by`` only the partitions
+    present in ``df`` are replaced (dynamic partition overwrite), so a daily
+    snapshot partition can be rewritten without touching history."""
     writer = df.write.mode("overwrite")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(uri)
     return uri
 

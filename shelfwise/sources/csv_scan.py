@@ -12,12 +12,9 @@ from pyspark.sql import types as T
 from .. import schemas
 from ..config import LayerPaths
 
-CSV_OPTIONS = {
-    "header": "true",
-    "dateFormat": "yyyy-MM-dd",
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSS]",
-    "mode": "PERMISSIVE",
-}
+# Header on; dates ``yyyy-MM-dd``; timestamps in ISO form with ``T`` or a
+# space (Spark's default parser takes both); empty field = NULL.
+CSV_OPTIONS = {"header": "true"}
 
 
 def raw_uri(raw_root: str, name: str) -> str:
