@@ -64,6 +64,29 @@ def object_store_conf(endpoint: str, access_key: str, secret_key: str,
     }
 
 
+def sizing_conf(input_bytes: int, total_cores: int,
+                target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle and scan sizing for a run over ``input_bytes`` on ``total_cores``.
+
+    * initial shuffle partitions: enough for ``target_partition_bytes`` per
+      reducer on a shuffle as large as the input, between three and ten waves
+      of tasks (more would multiply map x reduce blocks); AQE coalesces small
+      ones and splits skewed ones, and sort-merge joins spill beyond memory;
+    * scan splits: large enough to keep the task count near ten waves, never
+      above 1 GiB so a split still fits an executor's memory when decoded.
+    """
+    waves = max(1, total_cores)
+    shuffle = min(max(3 * waves, -(-input_bytes // target_partition_bytes)), 10 * waves)
+    split = min(max(input_bytes // (10 * waves), 128 << 20), 1 << 30)
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+    }
+
+
 def build_session(app_name: str = "shelfwise", master: str | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -77,14 +100,18 @@ def build_session(app_name: str = "shelfwise", master: str | None = None,
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this names shared storage; it is only set here when the
-    session has none (local runs and tests).
+    On a cluster this must name shared storage (HDFS, object store) and is
+    only read here.  A folder of our own is created only when the session has
+    none *and* runs in local mode (tests, single-machine runs).
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder "
+                                   "(e.g. hdfs:// or s3a://) for intermediate tables")
             current = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current

@@ -107,8 +107,14 @@ def inventory_accuracy(results: DataFrame, sessions: DataFrame, locations: DataF
 
 def location_utilization(equipment: DataFrame, locations: DataFrame,
                          vocab: Vocabulary = ADAPTER_VOCAB, sort: bool = False,
-                         broadcast: str = "checked") -> DataFrame:
-    """Assets per place and active flag, with working / repair / reserve counts."""
+                         broadcast: str = "auto") -> DataFrame:
+    """Assets per place and active flag, with working / repair / reserve counts.
+
+    The per-place aggregate is already hash-partitioned on ``location_id``,
+    so a shuffle join costs only the dimension's own exchange; no probe job
+    is spent, and the planner (static size) or AQE (measured size) picks a
+    broadcast when the dimension is small.
+    """
     per_location = agg.equipment_status_counts(equipment, ["location_id"], vocab)
     placed = enrich(per_location, locations.select(*LOCATION_DIM_COLUMNS), "location_id", broadcast)
     keys = ["zone", "rack", "shelf", "is_active"]
@@ -141,11 +147,12 @@ def maintenance_summary(logs: DataFrame, equipment: DataFrame,
 # --- M5 -------------------------------------------------------------------
 
 def responsible_load(equipment: DataFrame, employees: DataFrame,
-                     vocab: Vocabulary = ADAPTER_VOCAB, broadcast: str = "checked") -> DataFrame:
+                     vocab: Vocabulary = ADAPTER_VOCAB, broadcast: str = "auto") -> DataFrame:
     """Assets per person (total, working, in repair) with the person's attributes.
 
     People without assets are absent; assets without a known person form a
-    row with NULL attributes.
+    row with NULL attributes.  Aggregated before the join, and partitioned on
+    the join key by that aggregate, so the join needs no size probe.
     """
     per_person = agg.equipment_status_counts(
         equipment, ["responsible_person_id"], vocab,

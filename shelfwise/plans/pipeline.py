@@ -18,7 +18,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
-from ..config import LayerPaths, build_session
+from ..config import LayerPaths, build_session, sizing_conf
 from ..operators.conform import conform_all
 from ..sinks.files import write_csv, write_layer
 from ..sinks.warehouse import load_layers
@@ -78,6 +78,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--sort", action="store_true", help="globally sort the sorted marts before writing")
     p.add_argument("--load-warehouse", action="store_true")
     p.add_argument("--warehouse-root")
+    p.add_argument("--input-gb", type=float, help="approximate input size, sizes shuffles and scans")
+    p.add_argument("--total-cores", type=int, default=0, help="executor cores of the cluster")
     a = p.parse_args(argv)
     if a.root:
         paths = LayerPaths.under(a.root)
@@ -85,7 +87,8 @@ def main(argv: list[str] | None = None) -> None:
         paths = LayerPaths(a.raw, a.dds, a.dm)
     else:
         paths = LayerPaths.from_env()
-    spark = build_session("shelfwise-daily")
+    extra = sizing_conf(int(a.input_gb * (1 << 30)), a.total_cores) if a.input_gb and a.total_cores else {}
+    spark = build_session("shelfwise-daily", extra=extra)
     try:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
             export_csv=not a.no_csv, single_file=a.single_file_csv, sort=a.sort,
