@@ -7,7 +7,7 @@ write is an idempotent overwrite, so a re-run after a failure (or a lost
 executor mid-job, which Spark's commit protocol already retries) leaves
 exactly one copy.
 
-    spark-submit -m shelfwise.plans.pipeline --root s3a://bucket/2024/12
+    spark-submit --py-files shelfwise.zip run_pipeline.py --root s3a://bucket/2024/12
 """
 
 from __future__ import annotations
