@@ -41,20 +41,23 @@ def _row_bytes_sql(df: DataFrame) -> tuple[str, int]:
 def broadcast_size_ok(df: DataFrame, max_bytes: int | None = None) -> bool:
     """True when ``df`` is proven to fit the broadcast byte budget.
 
-    The probe reads at most ``budget / min_row_bytes + 1`` rows, so it stays
-    bounded however large the frame is, and returns two numbers.
+    1. Row bound: ``offset(cap).limit(1)`` asks for the ``cap+1``-th row.
+       Spark answers it with an incremental take (1, 4, 16 ... partitions,
+       stopping as soon as enough rows are seen), so a large frame costs a
+       few partitions, not a scan, and no rows are funnelled into one task.
+       ``cap`` is the budget over the smallest possible row size.
+    2. Only a frame proven to have at most ``cap`` rows is then measured
+       exactly: one aggregate of its in-memory row bytes.
     """
     budget = _budget(df, max_bytes)
     if budget <= 0:
         return False
     row_bytes, min_row = _row_bytes_sql(df)
     cap = budget // min_row
-    got = (df.limit(cap + 1)
-           .selectExpr(f"CAST({row_bytes} AS BIGINT) AS b")
-           .selectExpr("count(1) AS n", "sum(b) AS bytes")
-           .first())
-    n, size = got["n"], got["bytes"] or 0
-    return n <= cap and size <= budget
+    if df.select(F.lit(1)).offset(cap).limit(1).collect():
+        return False
+    size = df.selectExpr(f"sum(CAST({row_bytes} AS BIGINT)) AS b").first()["b"] or 0
+    return size <= budget
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:

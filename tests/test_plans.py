@@ -99,3 +99,10 @@ def test_size_probe(spark, t):
                    "extended")
     assert "strategy=broadcast" in hinted
     assert "strategy=broadcast" not in refused
+
+
+def test_size_probe_on_a_large_frame_stops_early(spark):
+    big = spark.range(0, 50_000_000, 1, 200).selectExpr("id", "CAST(id AS STRING) AS s")
+    text = plan(big.select("id").offset(1000).limit(1), "simple")
+    assert "CollectLimit" in text and "Exchange" not in text
+    assert not broadcast_size_ok(big, max_bytes=1 << 20)
