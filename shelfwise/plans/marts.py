@@ -25,6 +25,7 @@ from .. import schemas
 from ..functions.dates import as_of_column, days_between, is_before, years_from_days
 from ..operators import aggregates as agg
 from ..operators.joins import bounded_broadcast, enrich
+from ..sinks.files import run_concurrently
 from ..vocab import ADAPTER_VOCAB, Vocabulary
 
 AsOf = _dt.date | str | Column | None
@@ -67,8 +68,14 @@ def equipment_health(equipment: DataFrame, locations: DataFrame, employees: Data
 
     Row-preserving: two left joins onto the asset table, no aggregation.
     """
-    placed = enrich(equipment, locations.select(*LOCATION_DIM_COLUMNS), "location_id", broadcast)
-    owned = enrich(placed, employee_dim(employees), "responsible_person_id", broadcast)
+    loc, emp = locations.select(*LOCATION_DIM_COLUMNS), employee_dim(employees)
+    if broadcast == "checked":
+        # probe both dimensions at once, then join without further checks
+        dims = run_concurrently({"loc": lambda: bounded_broadcast(loc),
+                                 "emp": lambda: bounded_broadcast(emp)})
+        loc, emp, broadcast = dims["loc"], dims["emp"], "auto"
+    placed = enrich(equipment, loc, "location_id", broadcast)
+    owned = enrich(placed, emp, "responsible_person_id", broadcast)
     return _in_order(with_equipment_dates(owned, as_of), schemas.EQUIPMENT_HEALTH)
 
 
@@ -171,7 +178,9 @@ def build_marts(tables: dict[str, DataFrame], as_of: AsOf = None,
     """
     eq, loc, emp = tables["equipment"], tables["storage_locations"], tables["employees"]
     if broadcast == "checked":
-        loc, emp, broadcast = bounded_broadcast(loc), bounded_broadcast(emp), "auto"
+        dims = run_concurrently({"loc": lambda: bounded_broadcast(loc),
+                                 "emp": lambda: bounded_broadcast(emp)})
+        loc, emp, broadcast = dims["loc"], dims["emp"], "auto"
     return {
         "equipment_health": equipment_health(eq, loc, emp, as_of, broadcast),
         "inventory_accuracy": inventory_accuracy(

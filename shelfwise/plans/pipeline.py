@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..config import LayerPaths, build_session, sizing_conf
 from ..operators.conform import conform_all
-from ..sinks.files import write_csv, write_layer
+from ..sinks.files import run_concurrently, write_csv, write_layer
 from ..sinks.warehouse import load_layers
 from ..sources import adapters
 from ..sources.csv_scan import load_raw, raw_uri
@@ -32,8 +32,10 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, raw_root: str,
                         tables: tuple[str, ...] = schemas.SOURCE_TABLES) -> str:
     """Write the six tables derived from the driver tables as raw CSV
     (``{raw}/{name}.csv``), the shape an upstream feed delivers."""
-    for name in tables:
-        write_csv(adapters.source_table(spark, sf_dir, name, conformed=False), raw_uri(raw_root, name))
+    run_concurrently({
+        name: (lambda n=name: write_csv(adapters.source_table(spark, sf_dir, n, conformed=False),
+                                        raw_uri(raw_root, n)))
+        for name in tables})
     return raw_root
 
 
