@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..actions import run_concurrently
+
 _DEFAULT_BUDGET = 10 * 1024 * 1024
 
 
@@ -65,6 +67,13 @@ def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return F.broadcast(df) if broadcast_size_ok(df, max_bytes) else df
 
 
+def bounded_broadcast_all(frames: dict[str, DataFrame],
+                          max_bytes: int | None = None) -> dict[str, DataFrame]:
+    """``bounded_broadcast`` for several frames, their probes run side by side."""
+    return run_concurrently({name: (lambda df=df: bounded_broadcast(df, max_bytes))
+                             for name, df in frames.items()})
+
+
 def enrich(left: DataFrame, right: DataFrame, key: str | list[str],
            broadcast: str = "checked", max_bytes: int | None = None) -> DataFrame:
     """``left LEFT JOIN right USING (key)``: every left row is kept.

@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.dates import as_of_column, days_between, is_before, years_from_days
 from ..operators import aggregates as agg
-from ..operators.joins import bounded_broadcast, enrich
-from ..sinks.files import run_concurrently
+from ..operators.joins import bounded_broadcast_all, enrich
 from ..vocab import ADAPTER_VOCAB, Vocabulary
 
 AsOf = _dt.date | str | Column | None
@@ -71,8 +70,7 @@ def equipment_health(equipment: DataFrame, locations: DataFrame, employees: Data
     loc, emp = locations.select(*LOCATION_DIM_COLUMNS), employee_dim(employees)
     if broadcast == "checked":
         # probe both dimensions at once, then join without further checks
-        dims = run_concurrently({"loc": lambda: bounded_broadcast(loc),
-                                 "emp": lambda: bounded_broadcast(emp)})
+        dims = bounded_broadcast_all({"loc": loc, "emp": emp})
         loc, emp, broadcast = dims["loc"], dims["emp"], "auto"
     placed = enrich(equipment, loc, "location_id", broadcast)
     owned = enrich(placed, emp, "responsible_person_id", broadcast)
@@ -178,8 +176,7 @@ def build_marts(tables: dict[str, DataFrame], as_of: AsOf = None,
     """
     eq, loc, emp = tables["equipment"], tables["storage_locations"], tables["employees"]
     if broadcast == "checked":
-        dims = run_concurrently({"loc": lambda: bounded_broadcast(loc),
-                                 "emp": lambda: bounded_broadcast(emp)})
+        dims = bounded_broadcast_all({"loc": loc, "emp": emp})
         loc, emp, broadcast = dims["loc"], dims["emp"], "auto"
     return {
         "equipment_health": equipment_health(eq, loc, emp, as_of, broadcast),

@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..config import LayerPaths, build_session, sizing_conf
 from ..operators.conform import conform_all
-from ..sinks.files import run_concurrently, write_csv, write_layer
+from ..actions import run_concurrently
+from ..sinks.files import write_csv, write_layer
 from ..sinks.warehouse import load_layers
 from ..sources import adapters
 from ..sources.csv_scan import load_raw, raw_uri

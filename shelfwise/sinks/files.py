@@ -9,13 +9,11 @@ task, which ``read_csv_export`` reads back in full.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from typing import TypeVar
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-R = TypeVar("R")
+from ..actions import run_concurrently
 
 from ..sources.csv_scan import CSV_OPTIONS
 
@@ -61,27 +59,9 @@ def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
     return written
 
 
-def run_concurrently(jobs: dict[str, Callable[[], R]], max_parallel: int = 4) -> dict[str, R]:
-    """Run independent Spark actions from a few driver threads.
-
-    Each action is its own Spark job; the scheduler shares the executors
-    between them, so small or straggling jobs no longer leave the cluster
-    idle while they run one after another.  Every job runs to its end; the
-    first failure is then re-raised.
-    """
-    if max_parallel <= 1 or len(jobs) <= 1:
-        return {name: fn() for name, fn in jobs.items()}
-    with ThreadPoolExecutor(max_workers=min(max_parallel, len(jobs))) as pool:
-        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
-        errors = [f.exception() for f in futures.values() if f.exception() is not None]
-        if errors:
-            raise errors[0]
-        return {name: f.result() for name, f in futures.items()}
-
-
 def write_layer(spark: SparkSession, frames: dict[str, DataFrame], layer_uri: str,
                 export_csv: bool = True, single_file: bool = False,
-                max_parallel: int = 4) -> dict[str, DataFrame]:
+                max_parallel: int = 6) -> dict[str, DataFrame]:
     """``write_dataset`` for every frame of a layer, up to ``max_parallel``
     datasets at a time; returns the written frames."""
     return run_concurrently(
