@@ -60,13 +60,14 @@ def build_dm(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths,
 def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = None,
         vocab: Vocabulary = SOURCE_VOCAB, export_csv: bool = True, single_file: bool = False,
         sort: bool = False, warehouse_root: str | None = None,
-        load_warehouse: bool = False) -> dict[str, dict[str, DataFrame]]:
+        load_warehouse: bool = False, warehouse_source: str = "parquet"
+        ) -> dict[str, dict[str, DataFrame]]:
     dds = build_dds(spark, paths, export_csv, single_file)
     dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, single_file, sort)
     if load_warehouse:
-        if not export_csv:
-            raise ValueError("the warehouse load reads the CSV exports; export_csv must be on")
-        load_layers(spark, paths, warehouse_root)
+        if warehouse_source == "csv" and not export_csv:
+            raise ValueError("a warehouse load from CSV needs the CSV exports")
+        load_layers(spark, paths, warehouse_root, source=warehouse_source)
     return {"dds": dds, "dm": dm}
 
 
@@ -81,6 +82,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--sort", action="store_true", help="globally sort the sorted marts before writing")
     p.add_argument("--load-warehouse", action="store_true")
     p.add_argument("--warehouse-root")
+    p.add_argument("--warehouse-source", choices=("parquet", "csv"), default="parquet")
     p.add_argument("--input-gb", type=float, help="approximate input size, sizes shuffles and scans")
     p.add_argument("--total-cores", type=int, default=0, help="executor cores of the cluster")
     a = p.parse_args(argv)
@@ -95,7 +97,8 @@ def main(argv: list[str] | None = None) -> None:
     try:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
             export_csv=not a.no_csv, single_file=a.single_file_csv, sort=a.sort,
-            warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse)
+            warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse,
+            warehouse_source=a.warehouse_source)
     finally:
         spark.stop()
 

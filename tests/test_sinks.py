@@ -94,8 +94,8 @@ def test_warehouse_full_refresh_is_positional_and_idempotent(spark, scratch):
     pipeline.stage_driver_tables(spark, SF_SMALL, paths.raw)
     pipeline.run(spark, paths, as_of="2001-12-31", vocab=V)
     wh = f"{scratch}/wh"
-    for _ in range(2):
-        loaded = load_layers(spark, paths, warehouse_root=wh)
+    for source in ("csv", "parquet"):
+        loaded = load_layers(spark, paths, warehouse_root=wh, source=source)
     assert len(loaded) == 17
     logs = spark.table("dds.maintenance_logs")
     assert "status" in logs.columns and "maintenance_status" not in logs.columns
