@@ -41,33 +41,34 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, raw_root: str,
 
 
 def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = True,
-              single_file: bool = False) -> dict[str, DataFrame]:
+              single_file: bool = False, snapshot: _dt.date | str | None = None
+              ) -> dict[str, DataFrame]:
     """Raw text -> try-cast conform -> dds Parquet (+ CSV); returns the
     written tables."""
     return write_layer(spark, conform_all(load_raw(spark, paths, typed=False)),
-                       paths.dds, export_csv, single_file)
+                       paths.dds, export_csv, single_file, snapshot)
 
 
 def build_dm(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths,
              as_of: _dt.date | str | None = None, vocab: Vocabulary = SOURCE_VOCAB,
              export_csv: bool = True, single_file: bool = False,
-             sort: bool = False) -> dict[str, DataFrame]:
+             sort: bool = False, snapshot: _dt.date | str | None = None) -> dict[str, DataFrame]:
     """All five marts from the written dds tables -> dm Parquet (+ CSV)."""
     marts = build_marts(dds, as_of=as_of, vocab=vocab, sort=sort)
-    return write_layer(spark, marts, paths.dm, export_csv, single_file)
+    return write_layer(spark, marts, paths.dm, export_csv, single_file, snapshot)
 
 
 def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = None,
         vocab: Vocabulary = SOURCE_VOCAB, export_csv: bool = True, single_file: bool = False,
         sort: bool = False, warehouse_root: str | None = None,
-        load_warehouse: bool = False, warehouse_source: str = "parquet"
-        ) -> dict[str, dict[str, DataFrame]]:
-    dds = build_dds(spark, paths, export_csv, single_file)
-    dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, single_file, sort)
+        load_warehouse: bool = False, warehouse_source: str = "parquet",
+        snapshot: _dt.date | str | None = None) -> dict[str, dict[str, DataFrame]]:
+    dds = build_dds(spark, paths, export_csv, single_file, snapshot)
+    dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, single_file, sort, snapshot)
     if load_warehouse:
         if warehouse_source == "csv" and not export_csv:
             raise ValueError("a warehouse load from CSV needs the CSV exports")
-        load_layers(spark, paths, warehouse_root, source=warehouse_source)
+        load_layers(spark, paths, warehouse_root, source=warehouse_source, snapshot=snapshot)
     return {"dds": dds, "dm": dm}
 
 
@@ -83,6 +84,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--load-warehouse", action="store_true")
     p.add_argument("--warehouse-root")
     p.add_argument("--warehouse-source", choices=("parquet", "csv"), default="parquet")
+    p.add_argument("--snapshot-date", help="keep history: partition Parquet layers by this day")
     p.add_argument("--input-gb", type=float, help="approximate input size, sizes shuffles and scans")
     p.add_argument("--total-cores", type=int, default=0, help="executor cores of the cluster")
     a = p.parse_args(argv)
@@ -98,7 +100,7 @@ def main(argv: list[str] | None = None) -> None:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
             export_csv=not a.no_csv, single_file=a.single_file_csv, sort=a.sort,
             warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse,
-            warehouse_source=a.warehouse_source)
+            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date)
     finally:
         spark.stop()
 

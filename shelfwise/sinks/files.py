@@ -9,14 +9,18 @@ task, which ``read_csv_export`` reads back in full.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..actions import run_concurrently
 
 from ..sources.csv_scan import CSV_OPTIONS
 
+SNAPSHOT_COLUMN = "snapshot_date"
+
 
 def write_parquet(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) -> str:
     """Overwrite a Parquet dataset.  With ``partition_by`` only the partitions
@@ -45,15 +49,27 @@ def dataset_uris(layer_uri: str, name: str) -> tuple[str, str]:
 
 def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
                   export_csv: bool = True, single_file: bool = False,
-                  partition_by: Sequence[str] = ()) -> DataFrame:
+                  snapshot: _dt.date | str | None = None) -> DataFrame:
     """Write ``{layer}/{name}`` as Parquet and, optionally, ``{layer}/{name}_csv``.
 
-    Returns the written Parquet dataset as a fresh DataFrame (lineage cut at
-    the write), for downstream steps to read instead of recomputing.
+    With ``snapshot`` (a day), the Parquet dataset is partitioned by
+    ``snapshot_date`` and only that day's partition is replaced, so earlier
+    days stay as history; the CSV export holds the current day.
+
+    Returns the written data (that day's partition, read back with partition
+    pruning) as a fresh DataFrame: lineage is cut at the write, and
+    downstream steps read files instead of recomputing.
     """
     parquet_uri, csv_uri = dataset_uris(layer_uri, name)
-    write_parquet(df, parquet_uri, partition_by)
-    written = spark.read.parquet(parquet_uri)
+    if snapshot is None:
+        write_parquet(df, parquet_uri)
+        written = spark.read.parquet(parquet_uri)
+    else:
+        day = _dt.date.fromisoformat(snapshot) if isinstance(snapshot, str) else snapshot
+        write_parquet(df.withColumn(SNAPSHOT_COLUMN, F.lit(day)), parquet_uri,
+                      partition_by=[SNAPSHOT_COLUMN])
+        written = (spark.read.parquet(parquet_uri)
+                   .where(F.col(SNAPSHOT_COLUMN) == F.lit(day)).drop(SNAPSHOT_COLUMN))
     if export_csv:
         write_csv(written, csv_uri, single_file)
     return written
@@ -61,9 +77,11 @@ def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
 
 def write_layer(spark: SparkSession, frames: dict[str, DataFrame], layer_uri: str,
                 export_csv: bool = True, single_file: bool = False,
+                snapshot: _dt.date | str | None = None,
                 max_parallel: int = 6) -> dict[str, DataFrame]:
     """``write_dataset`` for every frame of a layer, up to ``max_parallel``
     datasets at a time; returns the written frames."""
     return run_concurrently(
-        {name: (lambda n=name, df=df: write_dataset(spark, df, layer_uri, n, export_csv, single_file))
+        {name: (lambda n=name, df=df: write_dataset(spark, df, layer_uri, n, export_csv,
+                                                    single_file, snapshot))
          for name, df in frames.items()}, max_parallel)

@@ -106,3 +106,10 @@ def test_size_probe_on_a_large_frame_stops_early(spark):
     text = plan(big.select("id").offset(1000).limit(1), "simple")
     assert "CollectLimit" in text and "Exchange" not in text
     assert not broadcast_size_ok(big, max_bytes=1 << 20)
+
+
+def test_active_filter_reaches_the_scan(spark, t):
+    from shelfwise.operators import rules
+    text = plan(rules.active_locations(t["storage_locations"]))
+    # is_active is derived (s_acctbal >= 0); the predicate is pushed to Parquet
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(s_acctbal,0\.0\)", text)

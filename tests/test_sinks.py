@@ -113,3 +113,28 @@ def test_load_via_stage_swaps(spark, scratch):
         load_via_stage(spark, emp, "swaptest", "employees", schemas.EMPLOYEES, f"{scratch}/swap")
     assert spark.table("swaptest.employees").count() == emp.count()
     assert spark.catalog.tableExists("swaptest.employees__prev")
+
+
+def test_snapshot_layers_keep_history_and_prune(spark, scratch):
+    paths = LayerPaths.under(f"{scratch}/layers")
+    pipeline.stage_driver_tables(spark, SF_SMALL, paths.raw)
+    for day in ("2001-12-30", "2001-12-31", "2001-12-31"):
+        out = pipeline.run(spark, paths, as_of=day, vocab=V, snapshot=day,
+                           load_warehouse=True, warehouse_root=f"{scratch}/wh")
+    n_eq = adapters.equipment(spark, SF_SMALL).count()
+    days = {r.snapshot_date.isoformat(): r["count"] for r in
+            spark.read.parquet(f"{paths.dm}/equipment_health").groupBy("snapshot_date").count().collect()}
+    assert days == {"2001-12-30": n_eq, "2001-12-31": n_eq}
+    health = out["dm"]["equipment_health"]
+    assert health.columns == schemas.EQUIPMENT_HEALTH.fieldNames()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in _formatted(health)
+    assert spark.table("dm.equipment_health").count() == n_eq
+
+
+def _formatted(df) -> str:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
