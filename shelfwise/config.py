@@ -51,6 +51,17 @@ SESSION_DEFAULTS: dict[str, str] = {
 }
 
 
+def object_store_conf_from_env(prefix: str = "SHELFWISE") -> dict[str, str]:
+    """S3A settings from ``{prefix}_S3_ENDPOINT``, ``{prefix}_S3_ACCESS_KEY``,
+    ``{prefix}_S3_SECRET_KEY`` (and ``{prefix}_S3_SSL``); empty if unset."""
+    endpoint = os.environ.get(f"{prefix}_S3_ENDPOINT")
+    if not endpoint:
+        return {}
+    return object_store_conf(endpoint, os.environ[f"{prefix}_S3_ACCESS_KEY"],
+                             os.environ[f"{prefix}_S3_SECRET_KEY"],
+                             ssl=os.environ.get(f"{prefix}_S3_SSL", "false").lower() == "true")
+
+
 def object_store_conf(endpoint: str, access_key: str, secret_key: str,
                       path_style: bool = True, ssl: bool = False) -> dict[str, str]:
     """S3A settings for an S3-compatible store (needs hadoop-aws on the classpath)."""

@@ -66,17 +66,12 @@ maintenance_logs AS (
   FROM lineitem
 )"""
 
-EQUIPMENT_COLS = ("equipment_id, inventory_number, name, category, model, serial_number, status, "
-                  "location_id, purchase_date, warranty_end_date, last_maintenance_date, "
-                  "next_maintenance_date, responsible_person_id, created_at")
-
-
 def with_ctes(body: str, extra_ctes: str = "") -> str:
     ctes = ADAPTER_CTES + (",\n" + extra_ctes if extra_ctes else "")
     return f"WITH {ctes}\n{body.strip()}"
 
 
-def _days(start: str, end: str) -> str:
+def days_sql(start: str, end: str) -> str:
     """``end - start`` in days as INTEGER."""
     return f"CAST(date_diff('day', {start}, {end}) AS INTEGER)"
 
@@ -90,11 +85,11 @@ m_equipment_health AS (
          e.category, e.model, e.serial_number, e.status, e.purchase_date, e.warranty_end_date,
          e.last_maintenance_date, e.next_maintenance_date, e.created_at,
          l.zone, l.rack, l.shelf, l.is_active, p.full_name, p.department, p.shift,
-         {_days('e.purchase_date', A)} AS age_days,
-         ROUND({_days('e.purchase_date', A)} / 365.0, 2) AS age_years,
-         {_days(A, 'e.warranty_end_date')} AS warranty_days_left,
-         {_days('e.last_maintenance_date', A)} AS days_since_last_maintenance,
-         {_days(A, 'e.next_maintenance_date')} AS days_to_next_maintenance,
+         {days_sql('e.purchase_date', A)} AS age_days,
+         ROUND({days_sql('e.purchase_date', A)} / 365.0, 2) AS age_years,
+         {days_sql(A, 'e.warranty_end_date')} AS warranty_days_left,
+         {days_sql('e.last_maintenance_date', A)} AS days_since_last_maintenance,
+         {days_sql(A, 'e.next_maintenance_date')} AS days_to_next_maintenance,
          e.next_maintenance_date < {A} AS maintenance_overdue
   FROM equipment e
   LEFT JOIN storage_locations l ON e.location_id = l.location_id

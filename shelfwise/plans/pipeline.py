@@ -18,7 +18,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
-from ..config import LayerPaths, build_session, sizing_conf
+from ..config import LayerPaths, build_session, object_store_conf_from_env, sizing_conf
 from ..operators.conform import conform_all
 from ..actions import run_concurrently
 from ..sinks.files import write_csv, write_layer
@@ -94,7 +94,9 @@ def main(argv: list[str] | None = None) -> None:
         paths = LayerPaths(a.raw, a.dds, a.dm)
     else:
         paths = LayerPaths.from_env()
-    extra = sizing_conf(int(a.input_gb * (1 << 30)), a.total_cores) if a.input_gb and a.total_cores else {}
+    extra = object_store_conf_from_env()
+    if a.input_gb and a.total_cores:
+        extra.update(sizing_conf(int(a.input_gb * (1 << 30)), a.total_cores))
     spark = build_session("shelfwise-daily", extra=extra)
     try:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,

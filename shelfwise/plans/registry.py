@@ -249,14 +249,14 @@ def _dates(spark, sf_dir, cols: list[str]) -> DataFrame:
 
 
 @register("derive_equipment_age", O.with_ctes(
-    f"SELECT equipment_id, purchase_date, {O._days('purchase_date', A)} AS age_days, "
-    f"ROUND({O._days('purchase_date', A)} / 365.0, 2) AS age_years FROM equipment"))
+    f"SELECT equipment_id, purchase_date, {O.days_sql('purchase_date', A)} AS age_days, "
+    f"ROUND({O.days_sql('purchase_date', A)} / 365.0, 2) AS age_years FROM equipment"))
 def derive_equipment_age(spark, sf_dir):
     return _dates(spark, sf_dir, ["equipment_id", "purchase_date", "age_days", "age_years"])
 
 
 @register("derive_warranty_left", O.with_ctes(
-    f"SELECT equipment_id, warranty_end_date, {O._days(A, 'warranty_end_date')} AS warranty_days_left "
+    f"SELECT equipment_id, warranty_end_date, {O.days_sql(A, 'warranty_end_date')} AS warranty_days_left "
     "FROM equipment"))
 def derive_warranty_left(spark, sf_dir):
     return _dates(spark, sf_dir, ["equipment_id", "warranty_end_date", "warranty_days_left"])
@@ -264,8 +264,8 @@ def derive_warranty_left(spark, sf_dir):
 
 @register("derive_maintenance_days", O.with_ctes(
     f"SELECT equipment_id, last_maintenance_date, next_maintenance_date, "
-    f"{O._days('last_maintenance_date', A)} AS days_since_last_maintenance, "
-    f"{O._days(A, 'next_maintenance_date')} AS days_to_next_maintenance FROM equipment"))
+    f"{O.days_sql('last_maintenance_date', A)} AS days_since_last_maintenance, "
+    f"{O.days_sql(A, 'next_maintenance_date')} AS days_to_next_maintenance FROM equipment"))
 def derive_maintenance_days(spark, sf_dir):
     return _dates(spark, sf_dir, ["equipment_id", "last_maintenance_date", "next_maintenance_date",
                                   "days_since_last_maintenance", "days_to_next_maintenance"])

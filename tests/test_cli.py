@@ -27,3 +27,25 @@ def test_run_pipeline_entry(spark, scratch):
     util = spark.read.parquet(f"{paths.dm}/location_utilization")
     assert util.columns == schemas.LOCATION_UTILIZATION.fieldNames()
     assert os.path.isdir(f"{scratch}/wh/dm/responsible_load".replace("file://", ""))
+
+
+def test_object_store_settings_from_env(monkeypatch):
+    from shelfwise.config import object_store_conf_from_env
+    assert object_store_conf_from_env("SWTEST") == {}
+    monkeypatch.setenv("SWTEST_S3_ENDPOINT", "http://store:9000")
+    monkeypatch.setenv("SWTEST_S3_ACCESS_KEY", "a")
+    monkeypatch.setenv("SWTEST_S3_SECRET_KEY", "b")
+    conf = object_store_conf_from_env("SWTEST")
+    assert conf["spark.hadoop.fs.s3a.endpoint"] == "http://store:9000"
+    assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
+    assert conf["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
+
+
+def test_sizing_conf_bounds():
+    from shelfwise.config import sizing_conf
+    big = sizing_conf(100 << 40, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 80000
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 1 << 30
+    small = sizing_conf(40 << 20, 8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
