@@ -8,7 +8,7 @@ Maintenance logs get ``status`` renamed to ``maintenance_status``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -30,6 +30,26 @@ def conform_all(raw_text: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: conform(name, df) for name, df in raw_text.items()}
 
 
+def _typed_fields(name: str):
+    return [f for f in schemas.RAW_SCHEMAS[name].fields if f.dataType != schemas.S]
+
+
+def conform_observed(name: str, raw_text: DataFrame) -> tuple[DataFrame, Observation]:
+    """``conform`` plus an ``Observation`` that counts rejected values per
+    typed column while the conformed table is being written: no extra pass
+    over the data.  Read ``observation.get`` after the write."""
+    obs = Observation(f"rejects_{name}")
+    metrics = [F.sum(F.when(rejected(F.col(f"`{f.name}`"), f.dataType), 1).otherwise(0))
+               .cast("long").alias(f.name) for f in _typed_fields(name)]
+    return conform(name, raw_text.observe(obs, *metrics) if metrics else raw_text), obs
+
+
+def observed_rejects(observations: dict[str, Observation]) -> list[tuple[str, str, int]]:
+    """``(table_name, column_name, rejected_values)`` from finished observations."""
+    return [(name, col, int(n or 0)) for name, obs in observations.items()
+            for col, n in obs.get.items()]
+
+
 def reject_counts(name: str, raw_text: DataFrame) -> DataFrame:
     """One row per typed column: ``(table_name, column_name, rejected_values)``.
 

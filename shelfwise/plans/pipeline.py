@@ -14,20 +14,25 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import schemas
 from ..config import LayerPaths, build_session, object_store_conf_from_env, sizing_conf
-from ..operators.conform import conform_all
+from ..operators.conform import conform_observed, observed_rejects
 from ..actions import run_concurrently
-from ..sinks.files import write_csv, write_layer
+from ..sinks.files import write_csv, write_layer, write_parquet
 from ..sinks.warehouse import load_layers
 from ..sources import adapters
 from ..sources.csv_scan import load_raw, raw_uri
 from ..vocab import ADAPTER_VOCAB, SOURCE_VOCAB, Vocabulary
 from .marts import build_marts
 
+log = logging.getLogger(__name__)
+
+REJECTS_SCHEMA = "table_name STRING, column_name STRING, rejected_values BIGINT"
+
 
 def stage_driver_tables(spark: SparkSession, sf_dir: str, raw_root: str,
                         tables: tuple[str, ...] = schemas.SOURCE_TABLES) -> str:
@@ -44,9 +49,22 @@ def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = True,
               single_file: bool = False, snapshot: _dt.date | str | None = None
               ) -> dict[str, DataFrame]:
     """Raw text -> try-cast conform -> dds Parquet (+ CSV); returns the
-    written tables."""
-    return write_layer(spark, conform_all(load_raw(spark, paths, typed=False)),
-                       paths.dds, export_csv, single_file, snapshot)
+    written tables.
+
+    Values that do not convert become NULL; how many per column is counted
+    during the same write (observed metrics) and saved as the small dataset
+    ``{dds}/_rejects`` (table_name, column_name, rejected_values).
+    """
+    observed = {n: conform_observed(n, df) for n, df in load_raw(spark, paths, typed=False).items()}
+    written = write_layer(spark, {n: df for n, (df, _) in observed.items()},
+                          paths.dds, export_csv, single_file, snapshot)
+    rejects = observed_rejects({n: obs for n, (_, obs) in observed.items()})
+    for table, column, n in rejects:
+        if n:
+            log.warning("%s.%s: %d values did not convert and were set to NULL", table, column, n)
+    write_parquet(spark.createDataFrame(rejects, REJECTS_SCHEMA).coalesce(1),
+                  f"{paths.dds.rstrip('/')}/_rejects")
+    return written
 
 
 def build_dm(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths,

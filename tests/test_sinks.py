@@ -138,3 +138,21 @@ def _formatted(df) -> str:
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
     return buf.getvalue()
+
+
+def test_dds_build_counts_rejects_in_the_same_pass(spark, scratch):
+    paths = LayerPaths.under(f"{scratch}/layers")
+    pipeline.stage_driver_tables(spark, SF_SMALL, paths.raw)
+    # one dirty source: two malformed values in storage_locations
+    dirty = spark.createDataFrame(
+        [("1", "Z", "R", "S1", "True"), ("abc", "Z", "R", "S2", "maybe"), ("3", "Z", "R", "S3", "")],
+        schemas.all_strings(schemas.STORAGE_LOCATIONS))
+    files.write_csv(dirty, f"{paths.raw}/storage_locations.csv")
+    dds = pipeline.build_dds(spark, paths)
+    rej = {(r.table_name, r.column_name): r.rejected_values
+           for r in spark.read.parquet(f"{paths.dds}/_rejects").collect()}
+    assert rej[("storage_locations", "location_id")] == 1
+    assert rej[("storage_locations", "is_active")] == 1
+    assert rej[("equipment", "purchase_date")] == 0
+    locs = {r.shelf: (r.location_id, r.is_active) for r in dds["storage_locations"].collect()}
+    assert locs == {"S1": (1, True), "S2": (None, None), "S3": (3, None)}
