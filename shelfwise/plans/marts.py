@@ -102,9 +102,10 @@ def inventory_accuracy(results: DataFrame, sessions: DataFrame, locations: DataF
         placed, keys, ["checked_equipment", "discrepancies", "actual_presence_sum"]))
     out = _in_order(out, schemas.INVENTORY_ACCURACY)
     if sort:
-        # session_date first; the full group key breaks ties, so a hot date
-        # can still be range-split over several partitions.
-        out = out.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+        # session_date first; the rest of the group key only breaks ties, so
+        # a hot date can still be range-split over several partitions.
+        order = ["session_date"] + [k for k in keys if k != "session_date"]
+        out = out.orderBy(*[F.col(k).asc_nulls_first() for k in order])
     return out
 
 

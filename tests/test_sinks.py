@@ -156,3 +156,21 @@ def test_dds_build_counts_rejects_in_the_same_pass(spark, scratch):
     assert rej[("equipment", "purchase_date")] == 0
     locs = {r.shelf: (r.location_id, r.is_active) for r in dds["storage_locations"].collect()}
     assert locs == {"S1": (1, True), "S2": (None, None), "S3": (3, None)}
+
+
+def test_sorted_mart_single_file_keeps_order(spark, scratch):
+    from shelfwise.plans import marts
+    t = adapters.source_tables(spark, SF_SMALL)
+    acc = marts.inventory_accuracy(t["inventory_results"], t["inventory_sessions"],
+                                   t["storage_locations"], sort=True)
+    rows = acc.collect()
+    dates = [r.session_date for r in rows]
+    # NULL dates first, then ascending (global order across range partitions)
+    nulls = sum(d is None for d in dates)
+    assert all(d is None for d in dates[:nulls])
+    assert dates[nulls:] == sorted(dates[nulls:])
+    uri = files.write_csv(acc, f"{scratch}/sorted", single_file=True)
+    (part,) = glob.glob(os.path.join(local(uri), "part-*.csv"))
+    with open(part, encoding="utf-8") as fh:
+        written = [line.split(",")[1] for line in fh.read().splitlines()[1:]]
+    assert written == ["" if d is None else d.isoformat() for d in dates]
