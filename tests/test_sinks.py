@@ -174,3 +174,11 @@ def test_sorted_mart_single_file_keeps_order(spark, scratch):
     with open(part, encoding="utf-8") as fh:
         written = [line.split(",")[1] for line in fh.read().splitlines()[1:]]
     assert written == ["" if d is None else d.isoformat() for d in dates]
+
+
+def test_sorted_location_mart_order(spark):
+    from shelfwise.plans import marts
+    t = adapters.source_tables(spark, SF_SMALL)
+    rows = marts.location_utilization(t["equipment"], t["storage_locations"], V, sort=True).collect()
+    keys = [tuple((v is not None, v) for v in (r.zone, r.rack, r.shelf)) for r in rows]
+    assert keys == sorted(keys)  # NULLs first, then ascending
