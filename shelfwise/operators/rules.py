@@ -12,6 +12,8 @@ every input row and add verdict columns.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,3 +104,28 @@ def with_followup_action(results: DataFrame, vocab: Vocabulary = ADAPTER_VOCAB)
         "result_id", "inventory_id", "equipment_id", "discrepancy_flag", "discrepancy_type",
         followup_action(F.col("discrepancy_flag"), F.col("discrepancy_type"), vocab)
         .alias("followup_action"))
+
+
+def rule_summary(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per data rule: ``(rule, rows_flagged)`` over the conformed tables.
+
+    * ``discrepancy_flag_missing`` -- results with a discrepancy but no flag (D1)
+    * ``items_moved``              -- results recorded away from home (D2)
+    * ``sessions_unreconciled``    -- sessions whose count differs from flagged results (D3)
+    * ``inactive_locations``       -- places not active (D4's complement)
+
+    Each rule is a grouped count; D1 and D2 share one join of results to
+    assets and one aggregate.
+    """
+    flags = check_discrepancy_flags(tables["inventory_results"], tables["equipment"]).agg(
+        F.count_if(F.col("flag_violation")).alias("discrepancy_flag_missing"),
+        F.count_if(F.coalesce(F.col("item_moved"), F.lit(False))).alias("items_moved"))
+    recon = reconcile_sessions(tables["inventory_sessions"], tables["inventory_results"]).agg(
+        F.count_if(~F.coalesce(F.col("is_reconciled"), F.lit(False))).alias("sessions_unreconciled"))
+    places = tables["storage_locations"].agg(
+        F.count_if(~F.coalesce(F.col("is_active"), F.lit(False))).alias("inactive_locations"))
+    parts = [(flags, ("discrepancy_flag_missing", "items_moved")),
+             (recon, ("sessions_unreconciled",)), (places, ("inactive_locations",))]
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("rule"), F.col(name).cast("long").alias("rows_flagged"))
+        for df, names in parts for name in names])

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 from ..config import LayerPaths, build_session, object_store_conf_from_env, sizing_conf
 from ..operators.conform import conform_observed, observed_rejects
+from ..operators.rules import rule_summary
 from ..actions import run_concurrently
 from ..sinks.files import write_csv, write_layer, write_parquet
 from ..sinks.warehouse import load_layers
@@ -76,13 +77,23 @@ def build_dm(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths,
     return write_layer(spark, marts, paths.dm, export_csv, single_file, snapshot)
 
 
+def build_checks(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths) -> DataFrame:
+    """Data-rule summary over the written dds tables -> ``{dm}/_checks``."""
+    uri = f"{paths.dm.rstrip('/')}/_checks"
+    write_parquet(rule_summary(dds).coalesce(1), uri)
+    return spark.read.parquet(uri)
+
+
 def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = None,
         vocab: Vocabulary = SOURCE_VOCAB, export_csv: bool = True, single_file: bool = False,
         sort: bool = False, warehouse_root: str | None = None,
         load_warehouse: bool = False, warehouse_source: str = "parquet",
-        snapshot: _dt.date | str | None = None) -> dict[str, dict[str, DataFrame]]:
+        snapshot: _dt.date | str | None = None, checks: bool = False
+        ) -> dict[str, dict[str, DataFrame]]:
     dds = build_dds(spark, paths, export_csv, single_file, snapshot)
     dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, single_file, sort, snapshot)
+    if checks:
+        dm = {**dm, "_checks": build_checks(spark, dds, paths)}
     if load_warehouse:
         if warehouse_source == "csv" and not export_csv:
             raise ValueError("a warehouse load from CSV needs the CSV exports")
@@ -103,6 +114,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--warehouse-root")
     p.add_argument("--warehouse-source", choices=("parquet", "csv"), default="parquet")
     p.add_argument("--snapshot-date", help="keep history: partition Parquet layers by this day")
+    p.add_argument("--checks", action="store_true", help="write the data-rule summary {dm}/_checks")
     p.add_argument("--input-gb", type=float, help="approximate input size, sizes shuffles and scans")
     p.add_argument("--total-cores", type=int, default=0, help="executor cores of the cluster")
     a = p.parse_args(argv)
@@ -120,7 +132,7 @@ def main(argv: list[str] | None = None) -> None:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
             export_csv=not a.no_csv, single_file=a.single_file_csv, sort=a.sort,
             warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse,
-            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date)
+            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks)
     finally:
         spark.stop()
 

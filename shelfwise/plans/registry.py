@@ -488,25 +488,29 @@ def rule_item_moved(spark, sf_dir):
     return rules.item_moved(_t(spark, sf_dir, "inventory_results"), _t(spark, sf_dir, "equipment"))
 
 
-@register("rule_discrepancy_flag", O.with_ctes(
-    "SELECT result_id, inventory_id, equipment_id, location_id, home_location_id, expected_presence, "
-    "actual_presence, discrepancy_flag, item_moved, flag_required, "
-    "flag_required AND NOT COALESCE(discrepancy_flag, FALSE) AS flag_violation FROM ("
-    "SELECT *, COALESCE((actual_presence <> expected_presence) OR COALESCE(item_moved, FALSE), FALSE) "
-    f"AS flag_required FROM ({_MOVED}) m) v"))
+_FLAGS = ("SELECT result_id, inventory_id, equipment_id, location_id, home_location_id, expected_presence, "
+          "actual_presence, discrepancy_flag, item_moved, flag_required, "
+          "flag_required AND NOT COALESCE(discrepancy_flag, FALSE) AS flag_violation FROM ("
+          "SELECT *, COALESCE((actual_presence <> expected_presence) OR COALESCE(item_moved, FALSE), FALSE) "
+          f"AS flag_required FROM ({_MOVED}) m) v")
+
+
+@register("rule_discrepancy_flag", O.with_ctes(_FLAGS))
 def rule_discrepancy_flag(spark, sf_dir):
     return rules.check_discrepancy_flags(_t(spark, sf_dir, "inventory_results"),
                                          _t(spark, sf_dir, "equipment"))
 
 
-@register("rule_session_reconcile", O.with_ctes(
-    "SELECT s.inventory_id, s.session_date, s.discrepancy_count, "
-    "COALESCE(f.flagged, 0) AS flagged_results, "
-    "CAST(s.discrepancy_count AS BIGINT) - COALESCE(f.flagged, 0) AS count_difference, "
-    "CAST(s.discrepancy_count AS BIGINT) - COALESCE(f.flagged, 0) = 0 AS is_reconciled "
-    "FROM inventory_sessions s LEFT JOIN ("
-    f"SELECT inventory_id, {_cnt('discrepancy_flag')} AS flagged FROM inventory_results "
-    "GROUP BY inventory_id) f ON s.inventory_id = f.inventory_id"))
+_RECONCILE = ("SELECT s.inventory_id, s.session_date, s.discrepancy_count, "
+              "COALESCE(f.flagged, 0) AS flagged_results, "
+              "CAST(s.discrepancy_count AS BIGINT) - COALESCE(f.flagged, 0) AS count_difference, "
+              "CAST(s.discrepancy_count AS BIGINT) - COALESCE(f.flagged, 0) = 0 AS is_reconciled "
+              "FROM inventory_sessions s LEFT JOIN ("
+              f"SELECT inventory_id, {_cnt('discrepancy_flag')} AS flagged FROM inventory_results "
+              "GROUP BY inventory_id) f ON s.inventory_id = f.inventory_id")
+
+
+@register("rule_session_reconcile", O.with_ctes(_RECONCILE))
 def rule_session_reconcile(spark, sf_dir):
     return rules.reconcile_sessions(_t(spark, sf_dir, "inventory_sessions"),
                                     _t(spark, sf_dir, "inventory_results"))
@@ -524,3 +528,14 @@ def filter_active_locations(spark, sf_dir):
     "ELSE '' END AS followup_action FROM inventory_results"))
 def rule_followup_action(spark, sf_dir):
     return rules.with_followup_action(_t(spark, sf_dir, "inventory_results"), V)
+
+
+@register("rule_summary", O.with_ctes("\nUNION ALL\n".join([
+    f"SELECT 'discrepancy_flag_missing' AS rule, {_cnt('flag_violation')} AS rows_flagged FROM ({_FLAGS}) a",
+    f"SELECT 'items_moved' AS rule, {_cnt('COALESCE(item_moved, FALSE)')} AS rows_flagged FROM ({_MOVED}) b",
+    f"SELECT 'sessions_unreconciled' AS rule, {_cnt('NOT COALESCE(is_reconciled, FALSE)')} "
+    f"AS rows_flagged FROM ({_RECONCILE}) c",
+    f"SELECT 'inactive_locations' AS rule, {_cnt('NOT COALESCE(is_active, FALSE)')} "
+    "AS rows_flagged FROM storage_locations"])))
+def rule_summary_query(spark, sf_dir):
+    return rules.rule_summary(adapters.source_tables(spark, sf_dir))

@@ -18,7 +18,7 @@ def test_run_pipeline_entry(spark, scratch):
     env = {**os.environ, "PYTHONPATH": ROOT}
     proc = subprocess.run(
         [sys.executable, os.path.join(ROOT, "run_pipeline.py"), "--root", f"{scratch}/layers",
-         "--as-of", "2001-12-31", "--vocab", "adapter", "--load-warehouse",
+         "--as-of", "2001-12-31", "--vocab", "adapter", "--load-warehouse", "--checks",
          "--warehouse-root", f"{scratch}/wh"],
         env=env, capture_output=True, text=True, timeout=600)
     assert proc.returncode == 0, proc.stderr[-2000:]
@@ -27,6 +27,9 @@ def test_run_pipeline_entry(spark, scratch):
     util = spark.read.parquet(f"{paths.dm}/location_utilization")
     assert util.columns == schemas.LOCATION_UTILIZATION.fieldNames()
     assert os.path.isdir(f"{scratch}/wh/dm/responsible_load".replace("file://", ""))
+    checks = {r.rule: r.rows_flagged for r in spark.read.parquet(f"{paths.dm}/_checks").collect()}
+    assert set(checks) == {"discrepancy_flag_missing", "items_moved",
+                           "sessions_unreconciled", "inactive_locations"}
 
 
 def test_object_store_settings_from_env(monkeypatch):
