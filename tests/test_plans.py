@@ -113,3 +113,21 @@ def test_active_filter_reaches_the_scan(spark, t):
     text = plan(rules.active_locations(t["storage_locations"]))
     # is_active is derived (s_acctbal >= 0); the predicate is pushed to Parquet
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(s_acctbal,0\.0\)", text)
+
+
+def test_rules_plans_above_broadcast_budget(spark, t):
+    from shelfwise.operators import rules
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        recon = plan(rules.reconcile_sessions(t["inventory_sessions"], t["inventory_results"]), "simple")
+        moved = plan(rules.item_moved(t["inventory_results"], t["equipment"]), "simple")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # D3: per-session aggregate (partial below its exchange) joins the sessions
+    # on its own partitioning: one exchange per side, none after
+    assert exchanges(recon) == 2 and "SortMergeJoin" in recon and "partial_sum" in recon
+    # D2: one shuffle join of results and the two asset columns it needs
+    assert exchanges(moved) == 2 and "SortMergeJoin" in moved
+    assert re.search(r"ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>", plan(
+        rules.item_moved(t["inventory_results"], t["equipment"])))
