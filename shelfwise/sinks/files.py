@@ -61,14 +61,15 @@ def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
     downstream steps read files instead of recomputing.
     """
     parquet_uri, csv_uri = dataset_uris(layer_uri, name)
+    # the schema is known, so the read-back skips Parquet footer inference
     if snapshot is None:
         write_parquet(df, parquet_uri)
-        written = spark.read.parquet(parquet_uri)
+        written = spark.read.schema(df.schema).parquet(parquet_uri)
     else:
         day = _dt.date.fromisoformat(snapshot) if isinstance(snapshot, str) else snapshot
-        write_parquet(df.withColumn(SNAPSHOT_COLUMN, F.lit(day)), parquet_uri,
-                      partition_by=[SNAPSHOT_COLUMN])
-        written = (spark.read.parquet(parquet_uri)
+        dated = df.withColumn(SNAPSHOT_COLUMN, F.lit(day))
+        write_parquet(dated, parquet_uri, partition_by=[SNAPSHOT_COLUMN])
+        written = (spark.read.schema(dated.schema).parquet(parquet_uri)
                    .where(F.col(SNAPSHOT_COLUMN) == F.lit(day)).drop(SNAPSHOT_COLUMN))
     if export_csv:
         write_csv(written, csv_uri, single_file)
