@@ -8,8 +8,12 @@ Plan choices (vs. a literal join-then-group):
   row per task, and the dimension joins touch one row per key instead of
   one row per fact.  Counts and sums re-add, maxima re-max, so the result
   is exactly that of joining first, for duplicate dimension keys too.
-* Dimension joins go through ``enrich``: broadcast only after a size proof,
-  otherwise a shuffle join that AQE may convert or split for skew.
+* Dimension joins go through ``enrich``.  Where the big side is not
+  partitioned on the dimension key (M1, M2) the dimension is broadcast only
+  after a size proof; where a pre-aggregate already is (M3, M5) the join is
+  left to the planner and AQE, since a shuffle of the dimension alone is
+  cheaper than a cluster-wide broadcast.  Beyond the budget it is a shuffle
+  join that AQE may convert or split for skew.
 * Output columns follow the warehouse DDL order exactly (loads are
   positional).
 """
