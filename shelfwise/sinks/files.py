@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..actions import run_concurrently
-
 from ..sources.csv_scan import CSV_OPTIONS
 
 SNAPSHOT_COLUMN = "snapshot_date"
