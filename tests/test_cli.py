@@ -52,3 +52,26 @@ def test_sizing_conf_bounds():
     small = sizing_conf(40 << 20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24
     assert int(small["spark.sql.files.maxPartitionBytes"]) == 128 << 20
+
+
+def test_layer_paths(monkeypatch):
+    from shelfwise.config import LayerPaths
+    p = LayerPaths.under("s3a://bucket/2024/12/")
+    assert (p.raw, p.dds, p.dm) == ("s3a://bucket/2024/12/raw", "s3a://bucket/2024/12/dds",
+                                    "s3a://bucket/2024/12/dm")
+    for k, v in {"SWT_RAW_URI": "r", "SWT_DDS_URI": "d", "SWT_DM_URI": "m"}.items():
+        monkeypatch.setenv(k, v)
+    assert LayerPaths.from_env("SWT") == LayerPaths("r", "d", "m")
+
+
+def test_broadcast_budget_parsing(spark):
+    from shelfwise.operators.joins import _budget
+    df = spark.range(1)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for raw, want in (("10485760b", 10 << 20), ("64m", 64 << 20), ("1g", 1 << 30), ("-1", -1)):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", raw)
+            assert _budget(df, None) == want
+        assert _budget(df, 123) == 123
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
