@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..actions import run_concurrently
 from .csv_scan import CSV_OPTIONS, raw_uri, read_csv
 
 log = logging.getLogger(__name__)
@@ -25,19 +26,20 @@ def land_raw(spark: SparkSession, source_root: str, raw_root: str,
              tables: tuple[str, ...] = schemas.SOURCE_TABLES) -> dict[str, str]:
     """Copy ``{source}/{name}.csv`` to the raw zone; returns ``{name: status}``
     with status ``landed`` or ``missing``."""
-    status: dict[str, str] = {}
-    for name in tables:
+    def land(name: str) -> str:
         src = raw_uri(source_root, name)
         try:
             text = read_csv(spark, src, schemas.all_strings(schemas.RAW_SCHEMAS[name]))
             text.write.mode("overwrite").options(**CSV_OPTIONS).csv(raw_uri(raw_root, name))
-            status[name] = "landed"
+            return "landed"
         except AnalysisException as exc:
             if "PATH_NOT_FOUND" not in str(exc):
                 raise
             log.warning("source %s not found, skipped", src)
-            status[name] = "missing"
-    return status
+            return "missing"
+
+    # independent tables land side by side
+    return run_concurrently({name: (lambda n=name: land(n)) for name in tables})
 
 
 def probe_source(df: DataFrame, source: str, sample: int = 5) -> DataFrame:
