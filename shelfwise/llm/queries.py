@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, simhash, toxicity
+from . import langid, mixing, packing, sharding, simhash, toxicity
 from .common import ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,12 +38,31 @@ def op1(spark, sf_dir):
                                         "prediction.cross_entropy", "prediction.rejected")
 
 
+@register("op4_virtual_slots")
+def op4(spark, sf_dir):
+    rows, _ = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
 @register("op5_simhash_dedup")
 def op5(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op7_source_mix")
+def op7(spark, sf_dir):
+    return mixing.allocate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+
+
+@register("op8_concat_and_cut")
+def op8(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
+
+
 @register("op9_toxicity")
 def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
