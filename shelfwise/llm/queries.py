@@ -11,9 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, sharding, simhash, toxicity
+from . import langid, mixing, neighbours, packing, sharding, simhash, toxicity, urlfilter, vafile
 from .common import ship, table
 
+#: Searches ask for this many neighbours of every row whose id the step divides.
+TOP, QUERY_STEP = 20, 20
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -38,6 +41,16 @@ def op1(spark, sf_dir):
                                         "prediction.cross_entropy", "prediction.rejected")
 
 
+@register("op2_url_redirects", urlfilter.oracle_sql())
+def op2(spark, sf_dir):
+    return urlfilter.judge(table(spark, sf_dir, "pages"))
+
+
+@register("op3_projected_neighbours")
+def op3(spark, sf_dir):
+    return neighbours.search(table(spark, sf_dir, "embeddings"), lambda c: c % QUERY_STEP == 0, TOP)
+
+
 @register("op4_virtual_slots")
 def op4(spark, sf_dir):
     rows, _ = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -69,3 +82,8 @@ def op9(spark, sf_dir):
     judged = toxicity.judge(docs, table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "held_out", F.col("toxicity").alias("score"),
                          F.expr("int(toxicity >= 0.5)").alias("predicted"))
+
+
+@register("op10_va_file")
+def op10(spark, sf_dir):
+    return vafile.search(table(spark, sf_dir, "embeddings"), lambda c: c % QUERY_STEP == 0, TOP)

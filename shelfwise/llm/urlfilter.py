@@ -101,20 +101,24 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     tag = F.col("tag")
 
     def value(name: str) -> Column:
-        quoted = F.regexp_extract(tag, rf"""(?is)[\s"']{name}\s*=\s*(?:"([^"]*)"|'[^']*'|[^\s"'>]+)""", 1)
-        single = F.regexp_extract(tag, rf"""(?is)[\s"']{name}\s*=\s*'([^']*)'""", 1)
-        plain = F.regexp_extract(tag, rf"""(?is)[\s"']{name}\s*=\s*([^\s"'>]+)""", 1)
-        return F.trim(F.when(quoted != "", quoted).when(single != "", single).otherwise(plain))
-
-    canonical = (F.lower(F.substring(tag, 2, 4)) == "link") & F.lower(value("rel")).rlike(r"(^|\s)canonical(\s|$)")
-    refresh = (F.lower(F.substring(tag, 2, 4)) == "meta") & (F.lower(value("http-equiv")) == "refresh")
-    onward = F.regexp_extract(value("content"), r"(?is)^[^;,]*[;,]\s*url\s*=\s*[\"']?(.*?)[\"']?\s*$", 1)
-    target = F.when(canonical, value("href")).when(refresh, onward)
-    found = (pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where(hint)
-             .select("url", F.explode(tags).alias("tag"))
-             .select("url", F.trim(_entities(target)).alias("target")).where(F.col("target") != ""))
-    return (found.select(node_of(F.col("url")).alias("a"), node_of(_resolved(F.col("url"), F.col("target"))).alias("b"))
-            .where("a IS NOT NULL AND b IS NOT NULL AND a <> b"))
+        found = F.regexp_extract(tag, rf"""(?is)[\s"']{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+        return F.trim(F.regexp_replace(found, r"""^["']|["']$""", ""))
+
+    # tables in between keep each expression small and evaluated once
+    found = written(pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where(hint)
+                    .select("url", F.explode(tags).alias("tag")), "url-tags")
+    kind = F.lower(F.substring(tag, 2, 4))
+    values = written(found.select(
+        "url", F.lower(F.when(kind == "link", value("rel"))).alias("rel"), value("href").alias("href"),
+        F.lower(F.when(kind == "meta", value("http-equiv"))).alias("equiv"), value("content").alias("content")),
+        "url-values")
+    onward = F.regexp_extract("content", r"(?is)^[^;,]*[;,]\s*url\s*=\s*[\"']?(.*?)[\"']?\s*$", 1)
+    target = (F.when(F.col("rel").rlike(r"(^|\s)canonical(\s|$)"), F.col("href"))
+              .when(F.col("equiv") == "refresh", onward))
+    links = written(values.select("url", F.trim(_entities(target)).alias("target")), "url-links")
+    whole = written(links.where("target <> ''").select("url", _resolved(F.col("url"), F.col("target")).alias("target")),
+                    "url-targets")
+    return written(whole.select(node_of(F.col("url")).alias("a"), node_of(F.col("target")).alias("b")), "url-edges")
 
 
 def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", rules=RULES,
@@ -123,9 +127,8 @@ def judge(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     (source_url, target_url)."""
     edges = page_edges(pages, url, html)
     if redirects is not None:
-        edges = edges.union(redirects.select(node_of(F.col("source_url")), node_of(F.col("target_url")))
-                            .where("source_url IS NOT NULL AND target_url IS NOT NULL").toDF("a", "b"))
-    edges = written(edges, "url-edges")
+        edges = edges.union(redirects.select(node_of(F.col("source_url")), node_of(F.col("target_url"))))
+    edges = edges.where("a <> b")
     link = F.col(url)
     judged = pages.select(F.col(key).alias(key), host_of(link).alias("host"), path_of(link).alias("path"),
                           node_of(link).alias("node"))
@@ -159,14 +162,17 @@ plain AS (
   SELECT page_id, url, regexp_replace(coalesce(html, ''), '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', ' ', 'g') AS html
   FROM pages),
 named AS (
-  SELECT url, regexp_extract(regexp_extract(html, '{canonical}'), '(?is)href\s*=\s*["'']([^"'']*)["'']', 1) AS target FROM plain
+  SELECT url, regexp_extract(regexp_extract(replace(html, '&amp;', '&'), '{canonical}'), '(?is)href\s*=\s*["'']?([^"''\s>]*)', 1) AS target FROM plain
   UNION
   SELECT url, regexp_extract(regexp_extract(html, '(?is)<meta\s[^>]*http-equiv\s*=\s*["'']?refresh[^>]*>'),
                              '(?is)url\s*=\s*["'']?([^"''>]*)', 1) FROM plain),
 resolved AS (
   SELECT url, CASE WHEN target LIKE '%://%' THEN target
                    WHEN target LIKE '//%' THEN regexp_extract(url, '^(.*?):', 1) || ':' || target
-                   WHEN target LIKE '/%' THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1) || target END AS target
+                   WHEN target LIKE '/%' THEN regexp_extract(url, '^(.*?://[^/?#]*)', 1) || target
+                   WHEN target NOT LIKE '#%' AND target NOT LIKE '?%' AND target NOT LIKE '%:%'
+                   THEN regexp_extract(regexp_replace(url, '[?#].*$', '') || CASE WHEN regexp_matches(url, '://[^/?#]*$') THEN '/' ELSE '' END,
+                                       '^(.*/)', 1) || target END AS target
   FROM named WHERE target <> '' AND url LIKE '%://%'),
 edges AS (
   SELECT lower(regexp_extract(url, '^(.*?://[^/?#]*)', 1)) || CASE WHEN regexp_extract(url, '://[^/?#]*([^#]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '://[^/?#]*([^#]*)', 1) END AS a,
