@@ -32,13 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import text_runs, written
 
 LENGTH = 4096
 END_ID = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 LONGEST_CACHED = 48  # bytes of a word
-ENCODED_AT_ONCE = 20_000
+ENCODED_AT_ONCE = 1 << 20  # characters
+JOINED = 256
+MARKS = b".,;:!?"
 
 
 def default_tokenizer() -> str:
@@ -48,41 +50,99 @@ def default_tokenizer() -> str:
 
 
 class Encoder:
-    """Text to the bytes of its ids."""
+    """Texts to the bytes of their ids."""
 
     def __init__(self, path: str, end_id: int, by_word: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = np.array([end_id], "<u4").tobytes()
+        self.end = struct.pack("<I", end_id)
         self.by_word = by_word
         self.cache: dict[bytes, bytes] = {}
+        self.after: dict[bytes, bytes] = {}  # ids of the marks that follow a word
+        self.older: dict[bytes, bytes] = {}  # the cache before, for words met again
+        ends = [i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]
+        self.ends_piece = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, bool)
+        self.ends_piece[ends] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def __call__(self, text: str | None) -> bytes:
-        if not self.by_word:
-            return b"".join(self._encode([text or ""])) + self.end
-        words = (text or "").encode().split()  # at ASCII white space
-        cache = self.cache
-        try:
-            return b"".join(map(cache.__getitem__, words)) + self.end
-        except KeyError:
-            pass
-        new = list({w for w in words if w not in cache})
-        if len(cache) + len(new) > CACHED_WORDS:
-            cache.clear()
-            new = list(set(words))
-        own: dict[bytes, bytes] = {}
-        for at in range(0, len(new), ENCODED_AT_ONCE):
-            part = new[at:at + ENCODED_AT_ONCE]
-            own.update(zip(part, self._encode([w.decode() for w in part]), strict=True))
-        if len(new) <= CACHED_WORDS:
-            cache.update((w, ids) for w, ids in own.items() if len(w) <= LONGEST_CACHED)
-        return b"".join(own[w] if w in own else cache[w] for w in words) + self.end
+    def _encode_words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """A word of letters is one piece, and the last id of a piece says so: such
+        words are encoded many at a time and told apart by it."""
+        stems: dict[bytes, list[bytes]] = {}
+        others = []
+        for w in words:
+            # marks after a word's letters are pieces of their own
+            stem = w.rstrip(MARKS)
+            if len(w) <= LONGEST_CACHED and stem.decode().isalpha():
+                stems.setdefault(stem, []).append(w)
+            else:
+                others.append(w)
+        letters = list(stems)
+        for at in range(0, len(letters), JOINED):
+            part = letters[at:at + JOINED]
+            ids = np.frombuffer(self._encode([b" ".join(part).decode()])[0], "<u4")
+            cut = np.flatnonzero(self.ends_piece[ids]) + 1
+            if len(cut) != len(part):  # some word has more pieces than one
+                others += [w for stem in part for w in stems[stem]]
+                continue
+            raw, ends = ids.tobytes(), (cut * 4).tolist()
+            start = 0
+            for stem, end in zip(part, ends, strict=True):
+                for w in stems[stem]:
+                    yield w, raw[start:end] + self._marks(w[len(stem):])
+                start = end
+        for at in range(0, len(others), JOINED):
+            part = others[at:at + JOINED]
+            yield from zip(part, self._encode([w.decode() for w in part]), strict=True)
+
+    def _marks(self, marks: bytes) -> bytes:
+        if marks not in self.after:
+            if len(self.after) > 1_000:
+                self.after.clear()
+            self.after[marks] = self._encode([marks.decode()])[0] if marks else b""
+        return self.after[marks]
+
+    def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
+        for a, b in text_runs(texts, ENCODED_AT_ONCE):
+            part = [t or "" for t in texts[a:b]]
+            yield from ((ids + self.end for ids in self._encode(part)) if not self.by_word else self._by_word(part))
+
+    def _by_word(self, texts: list[str]) -> Iterator[bytes]:
+        split = []
+        for t in texts:
+            data = t.encode()
+            # the tokeniser folds case; its own special strings (none without "<|") it does not
+            split.append((data if b"<|" in data else data.lower()).split())  # at ASCII white space
+        if len(self.cache) > CACHED_WORDS:
+            self.older, self.cache = self.cache, {}
+        cache, older = self.cache, self.older
+        new = set().union(*split).difference(cache)
+        if older:
+            known = new.intersection(older)
+            cache.update((w, older[w]) for w in known)
+            new -= known
+        cache.update(self._encode_words(list(new)))
+        for words in split:
+            yield b"".join(map(cache.__getitem__, words)) + self.end
+        for w in new:
+            if len(w) > LONGEST_CACHED:
+                del cache[w]
+
+
+_encoders: dict[tuple, Encoder] = {}
+
+
+def _encoder(*args) -> Encoder:
+    """One per worker, so that its cache serves all the worker's tasks."""
+    if args not in _encoders:
+        _encoders.clear()
+        _encoders[args] = Encoder(*args)
+    return _encoders[args]
 
 
 def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None,
@@ -94,11 +154,11 @@ def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", path: st
     small = pa.binary()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, before = Encoder(path, end_id, by_word), TaskContext.get().partitionId(), 0
+        encoder, part, before = _encoder(path, end_id, by_word), TaskContext.get().partitionId(), 0
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                ids = [encoder(t) for t in batch.column("text").to_pylist()]
+                ids = list(encoder(batch.column("text").to_pylist()))
                 n = [len(x) // 4 for x in ids]
                 sums = list(itertools.accumulate(n, initial=before))
                 before = sums[-1]
