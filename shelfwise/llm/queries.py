@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, neighbours, packing, sharding, simhash, toxicity, urlfilter, vafile
+from . import htmltext, langid, mixing, neighbours, packing, sharding, simhash, toxicity, urlfilter, vafile
 from .common import ship, table
 
 #: Searches ask for this many neighbours of every row whose id the step divides.
@@ -64,6 +64,12 @@ def op5(spark, sf_dir):
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@register("op6_wrapper_text")
+def op6(spark, sf_dir):
+    text = htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return text.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @register("op7_source_mix")
 def op7(spark, sf_dir):
     return mixing.allocate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
