@@ -281,7 +281,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     rows = written(docs.select(F.col(key).alias("key"), fingerprint_column(words)(F.col(text)).alias("fp")),
                    "simhash-fingerprints")
     lowest = written(rows.groupBy("fp").agg(F.min("key").alias("low")), "simhash-distinct")
-    found = connected_components(links(lowest.select("fp"), radius))
+    found = connected_components(written(links(lowest.select("fp"), radius), "simhash-links"))
     groups = (lowest.join(found, lowest.fp == found.node, "left")
               .select("fp", "low", F.coalesce("component", "fp").alias("component")))
     named = groups.groupBy("component").agg(F.min("low").alias("component_id"))

@@ -1,0 +1,149 @@
+"""Language ID and toxicity: held-out accuracy, brute-force formulas, odd input."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+from conftest import SF_MID, SF_SMALL
+from shelfwise.llm import langid, toxicity
+
+
+def test_language_held_out_accuracy(spark):
+    out = E.queries()["op1_language_id"](spark, SF_MID)
+    assert out.columns[:4] == ["doc_id", "held_out", "lang_pred", "score"]
+    truth = spark.read.parquet(f"{SF_MID}/documents.parquet").select("doc_id", "lang")
+    rows = out.join(truth, "doc_id").where("held_out").collect()
+    assert len(rows) > 200
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+    assert all(0 <= r.score <= 1 for r in rows)
+    assert sum(r.rejected for r in rows) <= len(rows) * 0.01
+
+
+def brute_kneser_ney(text: str, order: int):
+    """p(symbol | context) by the textbook recursion over exact grams."""
+    grams = {order: Counter(text[i - order:i] for i in range(order, len(text) + 1))}
+    for n in range(order - 1, 0, -1):
+        grams[n] = Counter(g[1:] for g in grams[n + 1])
+
+    def p(gram: str) -> float:
+        n = len(gram)
+        if n == 0:
+            return 1.0 / (1 << langid.SYMBOL_BITS)
+        counts = grams[n]
+        once, twice = (sum(c == k for c in counts.values()) for k in (1, 2))
+        d = min(max(once / (once + 2 * twice) if once else 0.75, 0.1), 0.95)
+        follow = [c for g, c in counts.items() if g[:-1] == gram[:-1]]
+        if not follow:
+            return p(gram[1:])
+        own = counts.get(gram, 0)
+        return (max(own - d, 0) + d * len(follow) * p(gram[1:])) / sum(follow)
+
+    return p
+
+
+def test_language_model_equals_kneser_ney(spark):
+    text = "the theme then there is a tree and these are three teeth"
+    frame = spark.createDataFrame([(text, "en")], "text string, lang string")
+    model = langid.train(frame)
+    symbols = "   " + text + " "
+    p = brute_kneser_ney(symbols, langid.ORDER)
+    keys, _, _ = langid._keys([text])
+    got = model.log_probs(keys)[:, 0]
+    want = [math.log(p(symbols[i:i + langid.ORDER])) for i in range(len(text) + 1)]
+    assert len(got) == len(want)
+    assert np.allclose(got, want)
+
+
+def test_long_text_in_pieces_scores_as_a_whole(spark, monkeypatch):
+    frame = spark.createDataFrame([("the cat sat on the mat " * 5, "en"), ("le chat est sur la table " * 5, "fr")],
+                                  "text string, lang string")
+    model = langid.train(frame)
+    texts = ["the cat " * 300, "la table " * 300, "x", "", None]
+    whole = langid.Scorer(model).sums(texts)
+    monkeypatch.setattr(langid, "CHUNK", 100)
+    pieces = langid.Scorer(model).sums(texts)
+    # each cut costs a context of three symbols at most
+    assert np.allclose(whole[0], pieces[0], rtol=0.05, atol=1)
+    assert (whole[2] == pieces[2]).all()
+
+
+def odd_documents(documents):
+    words = {"en": "the house and the tree are there", "fr": "la maison est une grande chose avec"}
+    rows = [(i, f"{words[x]} {i} " * 4, x, "s") for i in range(40) for x in ("en" if i % 2 else "fr",)]
+    rows += [(100, None, "en", None), (101, "", None, None), (102, "123 !!", "fr", "s"), (None, "the tree", None, "s"),
+             (103, "the house " * 20_000, "en", "s"), (1, rows[1][1], "en", "s")]
+    return documents(rows, ", Prediction string, held_out int", ("x", 1))
+
+
+def test_language_odd_rows(spark, documents):
+    docs = odd_documents(documents)
+    out = langid.identify(docs)
+    assert out.columns[:7] == docs.columns and out.count() == docs.count()
+    got = {r.doc_id: r for r in out.select("doc_id", "_prediction.*").collect()}
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 and got[i].rejected for i in (100, 101, 102))
+    assert got[103].lang_pred == "en" and got[None].lang_pred == "en"
+    assert langid.identify(docs.limit(0)).count() == 0
+    none = langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).select("_prediction.lang_pred")
+    assert {r[0] for r in none.collect()} == {"und"}
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    out = E.queries()["op9_toxicity"](spark, sf)
+    assert out.columns == ["doc_id", "held_out", "score", "predicted"]
+    labels = spark.read.parquet(f"{sf}/labels.parquet").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rows = out.join(labels, "doc_id").where("held_out").collect()
+    hit = sum(r.predicted and r.toxic for r in rows)
+    assert hit / sum(r.toxic for r in rows) > 0.75
+    assert sum(r.predicted and not r.toxic for r in rows) <= 0.01 * len(rows)
+    assert all(r.predicted == (r.score >= 0.5) and 0 <= r.score <= 1 for r in rows)
+
+
+def test_features_by_hand(monkeypatch):
+    texts = ["One two, THREE two one", None, "", "one", "a-b a-b"]
+    sizes = [len(x) for x in toxicity.feature_sets(texts)]
+    # words 3; first four and five letters 3 each; pairs: one two, two three, three two, two one; skips: one three,
+    # two two, three one
+    assert sizes[:4] == [3 + 3 + 3 + 4 + 3, 0, 0, 3]
+    same = toxicity.feature_sets(["ONE TWO", "one\ttwo"])
+    assert (same[0] == same[1]).all()
+    long = " ".join(f"w{i}" for i in range(5_000))
+    whole = toxicity.feature_sets([long])[0]
+    monkeypatch.setattr(toxicity, "CHUNK", 1_000)
+    assert (toxicity.feature_sets([long])[0] == whole).all()
+
+
+def test_ftrl_step_is_the_published_update():
+    learner = toxicity.Ftrl()
+    learner.z[3], learner.n[3] = 9.0, 4.0
+    w = -(9.0 - toxicity.L1) / ((toxicity.BETA + 2.0) / toxicity.ALPHA + toxicity.L2)
+    learner.learn(np.array([3]), 1)
+    g = 1 / (1 + math.exp(-w)) - 1
+    sigma = (math.sqrt(4 + g * g) - 2) / toxicity.ALPHA
+    assert learner.z[3] == pytest.approx(9.0 + g - sigma * w)
+    assert learner.n[3] == pytest.approx(4 + g * g)
+
+
+def test_toxicity_odd_rows(spark, documents):
+    rows = [(i, ("vile insult here " if i % 3 == 0 else "calm words only ") + f"n{i} " * 3, "en", "s") for i in range(150)]
+    docs = documents([*rows, (500, None, None, None), (501, "", "en", "s"), (None, "vile insult here", "en", "s"),
+                      (502, "calm " * 50_000 + "vile insult here", "en", "s"), rows[0]], ", toxicity int", (7,))
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(150)] + [(3, 0), (None, 1), (4, None)],
+                                   "doc_id long, toxic int")
+    out = toxicity.judge(docs, labels)
+    assert out.columns[:6] == docs.columns and out.count() == docs.count()
+    got = {r["doc_id"]: r["_toxicity"] for r in out.collect()}
+    assert got[None] > 0.5 and got[502] > 0.5 and got[501] < 0.5 and got[500] == got[501]
+    assert toxicity.judge(docs.limit(0), labels).count() == 0
+    assert all(r[0] < 0.5 for r in toxicity.judge(docs, labels.limit(0)).select("_toxicity").collect())
+
+
+def test_small_tables_run(spark):
+    n = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
+    assert E.queries()["op9_toxicity"](spark, SF_SMALL).count() == n

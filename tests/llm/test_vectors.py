@@ -1,0 +1,114 @@
+"""Exact and approximate vector search against brute force."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+
+import __spark_entry__ as E
+from conftest import SF_MID
+from shelfwise.llm import neighbours, vafile
+
+
+def every_fifth(c):
+    return c % 5 == 0
+
+
+def brute(ids, v, i, k):
+    s = v @ v[i]
+    s = np.where(ids == ids[i], -np.inf, s)
+    top = np.lexsort((ids, -s))[:k]
+    return [(int(ids[j]), s[j]) for j in top if s[j] > -np.inf]
+
+
+def table(spark):
+    rows = spark.read.parquet(f"{SF_MID}/embeddings.parquet").toPandas()
+    return rows.vec_id.to_numpy(), np.stack(rows.embedding).astype(float)
+
+
+def test_va_file_query_is_exact(spark):
+    ids, v = table(spark)
+    v = np.floor(64 * v)
+    got = E.queries()["op10_va_file"](spark, SF_MID).toPandas()
+    for i in np.flatnonzero(ids % 20 == 0):
+        own = got[got.query_id == ids[i]].sort_values("rank")
+        assert [(a, b) for a, b in zip(own.vec_id, own.score, strict=True)] == [(a, int(s)) for a, s in brute(ids, v, i, 20)]
+
+
+def test_projected_neighbours_recall(spark):
+    ids, v = table(spark)
+    got = E.queries()["op3_projected_neighbours"](spark, SF_MID).toPandas()
+    hit = total = 0
+    for i in np.flatnonzero(ids % 20 == 0):
+        own = got[got.query_id == ids[i]].sort_values("rank")
+        want = brute(ids, v, i, 20)
+        assert list(own["rank"]) == list(range(1, 21))
+        hit += len(set(own.vec_id) & {a for a, _ in want})
+        total += 20
+        at = np.searchsorted(ids, own.vec_id)
+        assert np.allclose(own.score, v[at] @ v[i], rtol=0, atol=1e-12)
+        assert list(own.score) == sorted(own.score, reverse=True)
+    assert hit / total >= 0.9
+
+
+def test_shards_and_blocks_change_nothing(spark):
+    """Many small shards and query blocks, equal vectors above the shard size, lengths that differ."""
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).round(2).tolist()) for i in range(300)]
+    rows += [(1000 + i, [0.5] * 8) for i in range(120)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ids, v = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    exact = vafile.search(frame, every_fifth, 7, shard_rows=40, query_rows=11).toPandas()
+    near = neighbours.search(frame, every_fifth, 7, shard_rows=40, query_rows=11, certainty=1 - 1e-9).toPandas()
+    whole = np.floor(64 * v)
+    for i in np.flatnonzero(ids % 5 == 0):
+        own = exact[exact.query_id == ids[i]].sort_values("rank")
+        assert list(zip(own.vec_id, own.score, strict=True)) == [(a, int(s)) for a, s in brute(ids, whole, i, 7)]
+        own = near[near.query_id == ids[i]].sort_values("rank")
+        want = brute(ids, v, i, 7)
+        assert np.allclose(own.score, [s for _, s in want])
+        if ids[i] >= 1000:  # ties to smaller ids
+            assert list(own.vec_id) == [a for a, _ in want]
+
+
+def test_odd_vectors(spark):
+    inf, nan = math.inf, math.nan
+    rows = [(0, [1.0, 0.0]), (5, [0.0, 0.0]), (1, None), (2, [nan, 1.0]), (3, [1.0, None]), (4, [inf, 0.0]),
+            (10, [1.0]), (11, [1.0, 0.0]), (12, [1.0, 0.0]), (12, [1.0, 0.0]), (13, []), (None, [1.0, 1.0])]
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows],
+                                  "vec_id long, embedding array<double>, shard string, id int")
+    exact = vafile.search(frame, every_fifth, 3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in exact if r.query_id == 0] == \
+        [(0, 1, 10, 4096), (0, 2, 11, 4096), (0, 3, 12, 4096)]
+    assert [(r.vec_id, r.score) for r in exact if r.query_id == 5] == [(0, 0), (10, 0), (11, 0)]
+    near = neighbours.search(frame, every_fifth, 3).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.rank, r.vec_id, r.score) for r in near] == \
+        [(0, 1, 10, 1.0), (0, 2, 11, 1.0), (0, 3, 12, 1.0), (10, 1, 0, 1.0), (10, 2, 11, 1.0), (10, 3, 12, 1.0)]
+    for search in (vafile.search, neighbours.search):
+        assert search(frame.limit(0), every_fifth, 3).count() == 0
+        assert search(frame.where("vec_id = 0"), every_fifth, 3).count() == 0
+
+
+def test_integers_beyond_doubles(spark):
+    frame = spark.createDataFrame([(0, [1e10, 1.0]), (1, [1e10, 3.0]), (2, [1e10, 2.0]), (3, [1e300, 0.0])],
+                                  "vec_id long, embedding array<double>")
+    got = vafile.search(frame, every_fifth, 3).orderBy("rank").collect()
+    big = (1 << 63) - 1
+    assert [(r.vec_id, r.score) for r in got] == [(3, big), (1, big), (2, big)] or \
+        [(r.vec_id, r.score) for r in got] == [(3, big), (1, min(big, 4096 * (10**20 + 3))), (2, min(big, 4096 * (10**20 + 2)))]
+
+
+@pytest.mark.parametrize("p", [0.5, 0.9, 0.97])
+def test_chi_square_quantile(p):
+    draws = (np.random.default_rng(0).standard_normal((200_000, neighbours.DIMS)) ** 2).sum(axis=1)
+    assert abs((draws <= neighbours.chi2_quantile(p)).mean() - p) < 0.005
+
+
+def test_cell_bounds_hold():
+    v = np.floor(np.random.default_rng(2).normal(size=(500, 3)) * 64)
+    v[:, 2] = 5
+    cell, low, high = vafile._cells(v)
+    every = np.arange(3)
+    assert (low[every, cell] <= v).all() and (v <= high[every, cell]).all() and cell.max() < vafile.CELLS
