@@ -36,7 +36,7 @@ from .common import text_runs, written
 
 LENGTH = 4096
 END_ID = 2
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 LONGEST_CACHED = 48  # bytes of a word
 ENCODED_AT_ONCE = 1 << 20  # characters
 JOINED = 256

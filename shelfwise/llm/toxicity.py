@@ -2,14 +2,14 @@
 
 Features of a text, each present or absent: every word, its first four and
 five letters, every pair of neighbouring words and every pair with one word
-between them (skip-gram), hashed into ``1 << BITS`` places.  Words are runs of
-letters and digits, A-Z folded to lower case, over the whole text.
+between them (skip-gram), hashed to ``BITS`` bits.  Words are runs of letters
+and digits, A-Z folded to lower case, over the whole text.
 
 Training (Follow The Regularised Leader, proximal form): each coordinate has
 its own learning rate from the sum of its squared gradients, and L1 keeps
 every coordinate at exactly zero until the evidence passes the threshold, so
-the few weights left are small enough to broadcast (at most ``1 << BITS``
-pairs whatever the corpus holds).  Labelled rows are sampled by key hash to
+the few weights left are small enough to broadcast (no more than the features
+of the bounded sample that are in ``LEAST_DOCUMENTS`` documents of a shard).  Labelled rows are sampled by key hash to
 about ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` rows (the documented bound of the
 fit), dealt into shards of about ``SHARD_ROWS``; each shard runs its own
 learner and the weights are averaged (parameter mixing).  Scoring covers every
@@ -34,11 +34,12 @@ from pyspark.sql import functions as F
 
 from .common import fold, free_name
 
-BITS = 22
+BITS = 32
+LEAST_DOCUMENTS = 3  # sampled documents of a shard that a feature must be in to be learnt
 MAX_POSITIVE = 8_000
 MAX_NEGATIVE = 12_000
 SHARD_ROWS = 4_096
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 ALPHA, BETA, L1, L2, EPOCHS = 0.5, 1.0, 7.0, 0.0, 4
 
@@ -151,20 +152,22 @@ def feature_sets(texts: list[str | None]) -> list[np.ndarray]:
 
 
 class Ftrl:
-    """The learner of one shard."""
+    """The learner of one shard: coordinates 0 to ``size`` - 1 and, after them,
+    the intercept."""
 
-    def __init__(self):
-        self.z = np.zeros((1 << BITS) + 1)
-        self.n = np.zeros((1 << BITS) + 1)
+    def __init__(self, size: int):
+        self.size = size
+        self.z = np.zeros(size + 1)
+        self.n = np.zeros(size + 1)
 
     def weights(self, at: np.ndarray) -> np.ndarray:
         z, n = self.z[at], self.n[at]
-        l1 = np.where(at == 1 << BITS, 0.0, L1)  # the intercept is not penalised
+        l1 = np.where(at == self.size, 0.0, L1)  # the intercept is not penalised
         w = -(z - np.sign(z) * l1) / ((BETA + np.sqrt(n)) / ALPHA + L2)
         return np.where(np.abs(z) <= l1, 0.0, w)
 
     def learn(self, features: np.ndarray, label: int) -> None:
-        at = np.append(features, 1 << BITS)
+        at = np.append(features, self.size)
         w = self.weights(at)
         g = 1 / (1 + math.exp(-max(min(w.sum(), 35.0), -35.0))) - label
         n = self.n[at]
@@ -175,15 +178,22 @@ class Ftrl:
 
 def _learn_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("turn", kind="stable")
-    learner, labels = Ftrl(), pdf["label"].tolist()
-    features = [np.asarray(x, np.int64) for x in pdf["features"]]
+    labels = pdf["label"].tolist()
+    features = [np.asarray(x, np.int32) for x in pdf["features"]]
+    places, seen = np.unique(np.concatenate(features), return_counts=True)
+    places = places[seen >= LEAST_DOCUMENTS]
+    known = []
+    for f in features:
+        at = np.minimum(np.searchsorted(places, f), max(0, len(places) - 1))
+        known.append(at[places[at] == f] if len(places) else at[:0])
+    learner = Ftrl(len(places))
     for _ in range(EPOCHS):
-        for f, y in zip(features, labels, strict=True):
+        for f, y in zip(known, labels, strict=True):
             learner.learn(f, y)
-    every = np.arange((1 << BITS) + 1)
-    w = learner.weights(every)
-    some = np.flatnonzero(w)
-    return pd.DataFrame({"place": some, "weight": w[some]})
+    w = learner.weights(np.arange(len(places) + 1))
+    some = np.flatnonzero(w[:-1])
+    # the intercept has no place
+    return pd.DataFrame({"place": [*places[some].tolist(), None], "weight": [*w[some], w[-1]]}).astype({"place": "Int64"})
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, float]:
@@ -206,18 +216,20 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
             for at in range(0, len(pdf), 500):
                 part = pdf.iloc[at:at + 500]
                 yield pd.DataFrame({"shard": part["turn"] // 7 % shards, "turn": part["turn"],
-                                    "label": part["label"], "features": feature_sets(part["text"].tolist())})
+                                    "label": part["label"], "features": [x.astype(np.uint32).view(np.int32) for x in
+                                                                      feature_sets(part["text"].tolist())]})
 
     # the sample has MAX_POSITIVE + MAX_NEGATIVE rows of three numbers at most, in expectation
     rows = (docs.join(F.broadcast(chosen), "key")
-            .mapInPandas(features, "shard long, turn long, label int, features array<long>"))
+            .mapInPandas(features, "shard long, turn long, label int, features array<int>"))
     learned = rows.groupBy("shard").applyInPandas(_learn_shard, "place long, weight double")
     got = learned.groupBy("place").agg((F.sum("weight") / shards).alias("weight")).toPandas()
-    places, weights = got["place"].to_numpy(np.int64), got["weight"].to_numpy()
-    at = places == 1 << BITS
+    intercept = float(got.loc[got["place"].isna(), "weight"].sum())
+    got = got[got["place"].notna()]
+    places = got["place"].to_numpy(np.int64) & ((1 << BITS) - 1)
+    order = np.argsort(places)
     # the classes were sampled at different rates: move the intercept back to the true odds
-    intercept = float(weights[at].sum()) + math.log(keep[0] / keep[1])
-    return places[~at], weights[~at], intercept
+    return places[order], got["weight"].to_numpy(float)[order], intercept + math.log(keep[0] / keep[1])
 
 
 def predictor(spark, model):
@@ -227,18 +239,20 @@ def predictor(spark, model):
     @F.pandas_udf("double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         places, weights, intercept = shared.value
-        dense = np.zeros(1 << BITS, np.float32)
-        dense[places] = weights
+        sieve = np.zeros(1 << 20, bool)  # most features have no weight: their low bits tell
+        sieve[places & ((1 << 20) - 1)] = True
         for texts in batches:
             hits = []
             for owner, place in _documents(texts.tolist()):
-                hit = dense[place] != 0
-                if hit.any():
-                    hits.append(np.unique((owner[hit] << BITS) | place[hit]))
+                some = np.flatnonzero(sieve[place & ((1 << 20) - 1)])
+                if len(some):
+                    at = np.minimum(np.searchsorted(places, place[some]), len(places) - 1)
+                    ok = places[at] == place[some]
+                    hits.append(np.unique(owner[some][ok] * len(places) + at[ok]))
             total = np.full(len(texts), intercept)
             if hits:
                 both = np.unique(np.concatenate(hits))
-                np.add.at(total, both >> BITS, dense[both & ((1 << BITS) - 1)].astype(float))
+                np.add.at(total, both // len(places), weights[both % len(places)])
             yield pd.Series(1 / (1 + np.exp(-np.clip(total, -35, 35))))
 
     return predict

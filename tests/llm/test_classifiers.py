@@ -120,7 +120,7 @@ def test_features_by_hand(monkeypatch):
 
 
 def test_ftrl_step_is_the_published_update():
-    learner = toxicity.Ftrl()
+    learner = toxicity.Ftrl(10)
     learner.z[3], learner.n[3] = 9.0, 4.0
     w = -(9.0 - toxicity.L1) / ((toxicity.BETA + 2.0) / toxicity.ALPHA + toxicity.L2)
     learner.learn(np.array([3]), 1)

@@ -1,0 +1,224 @@
+"""Sharding, mixing, packing and the pipeline: invariants, brute force, odd input."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as E
+import corpus_pipeline
+from conftest import SF_MID, SF_SMALL
+from shelfwise.llm import langid, mixing, packing, sharding, simhash, toxicity
+from shelfwise.llm.common import table
+
+ODD = [(1, None, None, None), (2, "", None, "a"), (3, " \t", "en", "a"), (4, "one two", "en", None), (4, "one two", "en", None),
+       (None, "x y z", "en", "b"), (5, "long " * 30_000, "en", "b"), (6, "ünï ☃ 漢字", "en", "c")]
+
+
+def words(text):
+    return len(re.findall(r"[^\x20\x09-\x0D]+", text or ""))
+
+
+def test_sharding_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()}
+    rows = E.queries()["op4_virtual_slots"](spark, SF_MID).collect()
+    assert len(rows) == len(texts)
+    held: dict[int, list] = {}
+    for r in rows:
+        data = texts[r.doc_id].encode()
+        assert r.size == len(data) + 16 and r.text_crc32 == zlib.crc32(data) and r.grown_shard is None
+        held.setdefault(r.shard, []).append(r)
+    assert set(held) == set(range(40))
+    sums = [sum(r.size for r in own) for own in held.values()]
+    assert max(sums) - min(sums) <= 0.02 * np.mean(sums)
+    for own in held.values():
+        assert sorted(r.slot for r in own) == list(range(len(own)))
+    assert len({(r.virtual_slot, r.shard) for r in rows}) == len({r.virtual_slot for r in rows})
+
+
+def test_slot_map_versions(spark, scratch):
+    loads = [(s, 1, 100 + s % 7) for s in range(2_000)]
+    first = sharding.first_map(loads, 10)
+    grown = sharding.grown_map(first, 11)
+    before, after = {r[1]: r[4] for r in first}, {r[1]: r[4] for r in grown}
+    assert all(after[s] in (before[s], 10) for s in before)
+    size = {s: n for s, _, n in loads}
+    share = sum(size.values()) / 11
+    assert abs(sum(size[s] for s in after if after[s] == 10) - share) <= 110
+    sharding.save_map(spark, first, f"{scratch}/map")
+    sharding.save_map(spark, grown, f"{scratch}/map")
+    assert sharding.read_map(spark, f"{scratch}/map") == grown
+    assert sharding.read_map(spark, f"{scratch}/map", 1) == first
+
+
+def test_sharding_odd_rows(documents):
+    docs = documents(ODD, ", shard string, slot int, size long", ("x", 1, 2))
+    rows, _ = sharding.shard(docs, shards=3, slots=16)
+    got = rows.collect()
+    assert len(got) == len(ODD) and {r.size for r in got if r.key == 1} == {16}
+    for s in range(3):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    assert sharding.shard(docs.limit(0))[0].count() == 0
+
+
+def brute_targets(sizes):
+    """Water filling, one source at a time."""
+    order = sorted(sizes, key=lambda s: (s is None, s.encode() if s is not None else b""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)}
+    left, free, target = 1.5 * sum(sizes.values()), set(order), {}
+    while free:
+        level = left / sum(weight[s] for s in free)
+        over = [s for s in free if weight[s] * level > 2 * sizes[s]]
+        if not over:
+            return target | {s: weight[s] * level for s in free}
+        for s in over:
+            target[s] = 2.0 * sizes[s]
+            left -= target[s]
+            free.discard(s)
+    return target
+
+
+def test_mixing_query(spark):
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF_MID}/documents.parquet").collect()}
+    first = sorted(E.queries()["op7_source_mix"](spark, SF_MID).collect())
+    assert first == sorted(E.queries()["op7_source_mix"](spark, SF_MID).collect())
+    sizes: dict = {}
+    for r in docs.values():
+        sizes[r.source] = sizes.get(r.source, 0) + words(r.text)
+    want, taken = brute_targets(sizes), dict.fromkeys(sizes, 0)
+    for r in first:
+        s = docs[r.doc_id].source
+        assert r.size == words(docs[r.doc_id].text) and r.source_size == sizes[s]
+        assert r.target == pytest.approx(want[s]) and r.taken in (0, r.size, 2 * r.size)
+        taken[s] += r.taken
+    longest = max(r.size for r in first)
+    assert all(abs(taken[s] - want[s]) <= longest / 2 + 1 for s in sizes)
+
+
+def test_draw_agrees_with_allocate_and_quotas_are_exact(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    taken = {r.doc_id: r.taken // r["size"] for r in mixing.allocate(docs).collect() if r["size"]}
+    drawn = mixing.draw(docs, shards=5).collect()
+    times: dict = {}
+    for r in drawn:
+        times[r.doc_id] = times.get(r.doc_id, 0) + 1
+    assert all(times.get(d, 0) == n for d, n in taken.items())
+    assert {r["shard"] for r in drawn} == set(range(5))
+    _, _, copies = mixing.plan(docs, "doc_id", "source", "text")
+    cells = mixing.split(copies, 5).groupBy("shard").count().collect()
+    n = sum(r["count"] for r in cells)
+    assert all(abs(r["count"] - n / 5) <= 3 for r in cells)
+    assert mixing.split(copies, 5).count() == mixing.split(copies, 1).count()
+
+
+def test_ranked_is_the_global_order(spark):
+    frame = spark.createDataFrame([(x,) for x in ["b", None, "a", "é", "Z", "aa", "\U0001f600", "ﬀ"]], "source string")
+    got = mixing.ranked(frame, F.col("source").asc_nulls_last(), "t").orderBy("rank").collect()
+    assert [r.rank for r in got] == list(range(8))
+    assert [r.source for r in got] == ["Z", "a", "aa", "b", "é", "ﬀ", "\U0001f600", None]
+
+
+def test_mixing_odd_rows(documents):
+    docs = documents(ODD, ", shard int, row string, cells int, size long", (1, "x", 2, 3))
+    got = mixing.allocate(docs).collect()
+    assert len(got) == len(ODD) and all(r.taken <= 2 * r["size"] for r in got)
+    drawn = mixing.draw(docs)
+    assert drawn.columns == [*docs.columns, "_shard"]
+    assert drawn.drop("_shard").dropDuplicates().exceptAll(docs.dropDuplicates()).count() == 0
+    assert mixing.allocate(docs.limit(0)).count() == mixing.draw(docs.limit(0)).count() == 0
+    empty = docs.where("doc_id <= 3")
+    assert all(r.taken == 0 and r.target == 0 for r in mixing.allocate(empty).collect())
+
+
+def brute_ids(text):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(packing.default_tokenizer())
+    return [*t.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def check_pieces(pieces, texts, length):
+    by_doc: dict = {}
+    for r in pieces:
+        by_doc.setdefault(r.doc_id, []).append(r)
+    filled: dict = {}
+    for doc, own in by_doc.items():
+        ids, at = brute_ids(texts[doc]), 0
+        for r in sorted(own, key=lambda r: r.start):
+            assert r.start == at and r.doc_tokens == len(ids) and r.offset + r.length <= length
+            assert zlib.crc32(np.array(ids[at:at + r.length], "<u4").tobytes()) == r.ids_crc32
+            filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+            at += r.length
+        assert at == len(ids)
+    assert set(by_doc) == set(texts) and sorted(filled) == list(range(len(filled)))
+    for sequence, parts in filled.items():
+        at = 0
+        for offset, n in sorted(parts):
+            assert offset == at
+            at += n
+        assert at == length or sequence == len(filled) - 1
+
+
+def test_packing_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    check_pieces(E.queries()["op8_concat_and_cut"](spark, SF_SMALL).collect(), texts, 4096)
+
+
+def test_packing_odd_rows(spark, documents):
+    rows = [(1, None), (2, ""), (3, "A<|endoftext|>B <|ENDOFTEXT|>"), (4, "it's DON'T, 12a3.5! x... İİ ΣΑΣ ﬁ क़ Å"),
+            (5, "x" * 20_000), (6, "a\x1cb\x85c\xa0d e"), (7, "wörd " * 30_000), (8, "́ é ́")]
+    docs = documents([(*r, "en", "s") for r in rows], ", ids string, part int", ("x", 1))
+    pieces = packing.pack(docs, length=100).withColumn("ids_crc32", F.crc32("ids"))
+    check_pieces(pieces.collect(), dict(rows), 100)
+    whole = packing.pack(docs, length=100, by_word=False).withColumn("ids_crc32", F.crc32("ids"))
+    check_pieces(whole.collect(), dict(rows), 100)
+    assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_packing_cache_turns_over(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
+    monkeypatch.setattr(packing, "ENCODED_AT_ONCE", 30)
+    texts = [f"alpha beta{i} gamma, delta{i % 3}. " + "y" * 60 for i in range(20)]
+    encoder = packing.Encoder(packing.default_tokenizer(), 2, True)
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder(texts)] == [brute_ids(t) for t in texts]
+
+
+def test_pipeline_stages(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "toxicity", "simhash_dedup", "mixing", "packing"]
+    rows = docs.collect()
+    # brute force of each stage's decision on its own input
+    first = corpus_pipeline.language(spark, docs, SF_SMALL)
+    rejected = {r.doc_id for r in langid.identify(docs).where("prediction.rejected").collect()}
+    assert sorted(r.doc_id for r in first.collect()) == sorted(r.doc_id for r in rows if r.doc_id not in rejected)
+    second = corpus_pipeline.toxic(spark, docs, SF_SMALL)
+    scores = toxicity.judge(docs, table(spark, SF_SMALL, "labels")).collect()
+    assert sorted(r.doc_id for r in second.collect()) == sorted(r.doc_id for r in scores if r.toxicity < 0.5)
+    third = corpus_pipeline.near_copies(spark, docs, SF_SMALL)
+    groups = {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert sorted(r.doc_id for r in third.collect()) == sorted(groups)
+    fourth = corpus_pipeline.mixed(spark, docs, SF_SMALL)
+    for stage in (first, second, third, fourth):
+        assert stage.columns == docs.columns
+
+
+def test_pipeline_run_and_odd_documents(spark, documents, scratch):
+    out = E.queries()["pipeline"](spark, SF_SMALL)
+    assert out.columns == ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    rows = out.select("sequence_id", "offset", "length").collect()
+    ends = {}
+    for r in rows:
+        ends[r.sequence_id] = max(ends.get(r.sequence_id, 0), r.offset + r.length)
+    assert sum(r.length for r in rows) == sum(ends.values())
+    docs = documents(ODD, ", prediction string, toxicity int, shard int", ("x", 1, 2))
+    table(spark, SF_SMALL, "labels").write.parquet(f"{scratch}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        for given in (docs, docs.limit(0)):
+            got = stage(spark, given, scratch)
+            if name != "packing":
+                assert got.columns == docs.columns
+            assert got.count() >= 0
