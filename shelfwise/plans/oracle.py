@@ -22,7 +22,7 @@ employees AS (
   SELECT CAST(c_custkey AS INT) AS responsible_person_id, c_name AS full_name, c_mktsegment AS role,
          n_name AS department, CONCAT('+', CAST(c_custkey AS STRING)) AS contact,
          CASE WHEN c_custkey % 2 = 0 THEN 'day' ELSE 'night' END AS shift
-  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 9
+  FROM customer JOIN nation ON c_nationkey = n_nationkey
 ),
 equipment AS (
   SELECT CONCAT('EQ', CAST(o_orderkey AS STRING)) AS equipment_id,
@@ -32,29 +32,36 @@ equipment AS (
          CONCAT('SN-', CAST(o_orderkey AS STRING)) AS serial_number,
          CASE WHEN o_orderkey % 25 = 0 THEN 'retired' WHEN o_orderstatus = 'F' THEN 'working'
               WHEN o_orderstatus = 'O' THEN 'in_repair' ELSE 'reserve' END AS status,
-         CAST(o_custkey % 120 AS INT) AS location_id, CAST(o_orderdate AS DATE) AS purchase_date,
+         CAST(CASE WHEN o_orderkey % 6 = 5 THEN -1 - o_custkey // 15 ELSE o_custkey // 15 END AS INT) AS location_id,
+         CAST(o_orderdate AS DATE) AS purchase_date,
          CAST(o_orderdate AS DATE) + CAST(365 * (2 + o_orderkey % 4) AS INT) AS warranty_end_date,
          CAST(o_orderdate AS DATE) + CAST(90 + o_orderkey % 400 AS INT) AS last_maintenance_date,
          CASE WHEN o_orderkey % 50 = 7 THEN NULL
               ELSE CAST(o_orderdate AS DATE) + CAST(170 + o_orderkey % 1500 AS INT) END AS next_maintenance_date,
-         CAST(o_custkey AS INT) AS responsible_person_id, o_orderdate AS created_at
+         CAST(CASE WHEN o_orderkey % 10 = 9 THEN -1 - o_custkey ELSE o_custkey END AS INT) AS responsible_person_id,
+         o_orderdate AS created_at
   FROM orders
 ),
 inventory_sessions AS (
   SELECT CONCAT('INV-', CAST(o_orderkey AS STRING)) AS inventory_id, CAST(o_orderdate AS DATE) AS session_date,
-         CAST(o_custkey % 120 AS INT) AS location_id, CAST(o_custkey AS INT) AS responsible_person_id,
-         o_orderstatus AS status, CAST(0 AS INT) AS discrepancy_count, 'n' AS notes
-  FROM orders WHERE o_orderkey % 40 <> 3
+         CAST(CASE WHEN o_orderkey % 6 = 5 THEN -1 - o_custkey // 15 ELSE o_custkey // 15 END AS INT) AS location_id,
+         CAST(CASE WHEN o_orderkey % 10 = 9 THEN -1 - o_custkey ELSE o_custkey END AS INT) AS responsible_person_id,
+         o_orderstatus AS status, CAST(o_orderkey % 4 AS INT) AS discrepancy_count,
+         CASE o_orderkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'said "hi", then left'
+              WHEN 3 THEN 'two' || chr(10) || 'lines' WHEN 4 THEN '  padded  ' WHEN 5 THEN '"' ELSE 'plain' END AS notes
+  FROM orders
 ),
 inventory_results AS (
   SELECT CONCAT('RES', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS result_id,
-         CONCAT('INV-', CAST(l_orderkey AS STRING)) AS inventory_id,
+         CONCAT(CASE WHEN l_orderkey % 40 = 3 THEN 'LOST-' ELSE 'INV-' END, CAST(l_orderkey AS STRING)) AS inventory_id,
          CONCAT('EQ', CAST(l_partkey AS STRING)) AS equipment_id, CAST(l_suppkey AS INT) AS location_id,
-         1 AS expected_presence,
+         CASE WHEN l_linenumber = 5 THEN 0 ELSE 1 END AS expected_presence,
          CASE WHEN l_linenumber = 7 THEN 2 WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS actual_presence,
          l_linestatus AS condition,
          CASE WHEN l_partkey % 31 = 0 THEN NULL ELSE (l_linenumber = 7 OR l_returnflag = 'R') END AS discrepancy_flag,
-         l_returnflag AS discrepancy_type, CAST(NULL AS STRING) AS comment
+         l_returnflag AS discrepancy_type, CASE (l_orderkey + l_linenumber) % 7 WHEN 0 THEN NULL WHEN 1 THEN ''
+              WHEN 2 THEN 'said "hi", then left' WHEN 3 THEN 'two' || chr(10) || 'lines' WHEN 4 THEN '  padded  '
+              WHEN 5 THEN '"' ELSE 'plain' END AS comment
   FROM lineitem
 ),
 maintenance_logs AS (

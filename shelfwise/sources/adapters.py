@@ -2,9 +2,13 @@
 
 The derivation is the adapter-view contract of ``FIXTURES.md`` §3, written
 as ``selectExpr`` projections over Spark reads of the driver tables, so
-Spark and the SQL oracle see the same rows.  Misses are deliberate: places
-beyond the supplier count, every tenth employee and every fortieth session
-are absent, so every left join keeps orphan rows, as a real feed would.
+Spark and the SQL oracle see the same rows.  Every customer, order and line
+is kept.  Misses are deliberate and made by moving foreign keys: every sixth
+asset or session names a place that does not exist, every tenth an unknown
+person, every fortieth result an unknown session, so every left join keeps
+orphan rows, in the same share at any scale.  Places follow customers (15 to a
+supplier), so their number grows with the data.  Free text holds quotes,
+commas, newlines, padding and empty strings.
 
 ``nation`` and ``region`` are joined without a hint: they are file scans
 whose size the planner reads from file metadata, and Spark broadcasts them
@@ -33,6 +37,17 @@ DRIVER_SCHEMAS = {
 DRIVER_TABLES = tuple(DRIVER_SCHEMAS)
 
 
+# Keys are INT as in the warehouse DDL: the adapters fit driver tables whose
+# customer and supplier keys stay below 2**31.
+_PLACE = "CAST(CASE WHEN o_orderkey % 6 = 5 THEN -1 - o_custkey div 15 ELSE o_custkey div 15 END AS INT)"
+_PERSON = "CAST(CASE WHEN o_orderkey % 10 = 9 THEN -1 - o_custkey ELSE o_custkey END AS INT)"
+
+
+def _text(key: str) -> str:
+    return (f"CASE ({key}) % 7 WHEN 0 THEN CAST(NULL AS STRING) WHEN 1 THEN '' WHEN 2 THEN 'said \"hi\", then left' "
+            f"WHEN 3 THEN CONCAT('two', chr(10), 'lines') WHEN 4 THEN '  padded  ' WHEN 5 THEN '\"' ELSE 'plain' END")
+
+
 def driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(DRIVER_SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -53,7 +68,7 @@ def storage_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def employees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = driver_table(spark, sf_dir, "customer").where("c_custkey % 10 <> 9")
+    customer = driver_table(spark, sf_dir, "customer")
     nation = driver_table(spark, sf_dir, "nation")
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey).selectExpr(
         "CAST(c_custkey AS INT) AS responsible_person_id",
@@ -75,44 +90,45 @@ def equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CONCAT('SN-', CAST(o_orderkey AS STRING)) AS serial_number",
         "CASE WHEN o_orderkey % 25 = 0 THEN 'retired' WHEN o_orderstatus = 'F' THEN 'working' "
         "WHEN o_orderstatus = 'O' THEN 'in_repair' ELSE 'reserve' END AS status",
-        "CAST(o_custkey % 120 AS INT) AS location_id",
+        f"{_PLACE} AS location_id",
         "CAST(o_orderdate AS DATE) AS purchase_date",
         "date_add(CAST(o_orderdate AS DATE), CAST(365 * (2 + o_orderkey % 4) AS INT)) AS warranty_end_date",
         "date_add(CAST(o_orderdate AS DATE), CAST(90 + o_orderkey % 400 AS INT)) AS last_maintenance_date",
         "CASE WHEN o_orderkey % 50 = 7 THEN CAST(NULL AS DATE) "
         "ELSE date_add(CAST(o_orderdate AS DATE), CAST(170 + o_orderkey % 1500 AS INT)) END "
         "AS next_maintenance_date",
-        "CAST(o_custkey AS INT) AS responsible_person_id",
+        f"{_PERSON} AS responsible_person_id",
         "CAST(o_orderdate AS TIMESTAMP_NTZ) AS created_at",
     )
 
 
 def inventory_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return driver_table(spark, sf_dir, "orders").where("o_orderkey % 40 <> 3").selectExpr(
+    return driver_table(spark, sf_dir, "orders").selectExpr(
         "CONCAT('INV-', CAST(o_orderkey AS STRING)) AS inventory_id",
         "CAST(o_orderdate AS DATE) AS session_date",
-        "CAST(o_custkey % 120 AS INT) AS location_id",
-        "CAST(o_custkey AS INT) AS responsible_person_id",
+        f"{_PLACE} AS location_id",
+        f"{_PERSON} AS responsible_person_id",
         "o_orderstatus AS status",
-        "CAST(0 AS INT) AS discrepancy_count",
-        "'n' AS notes",
+        "CAST(o_orderkey % 4 AS INT) AS discrepancy_count",
+        f"{_text('o_orderkey')} AS notes",
     )
 
 
 def inventory_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return driver_table(spark, sf_dir, "lineitem").selectExpr(
         "CONCAT('RES', CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS result_id",
-        "CONCAT('INV-', CAST(l_orderkey AS STRING)) AS inventory_id",
+        "CONCAT(CASE WHEN l_orderkey % 40 = 3 THEN 'LOST-' ELSE 'INV-' END, CAST(l_orderkey AS STRING)) "
+        "AS inventory_id",
         "CONCAT('EQ', CAST(l_partkey AS STRING)) AS equipment_id",
         "CAST(l_suppkey AS INT) AS location_id",
-        "CAST(1 AS INT) AS expected_presence",
+        "CAST(CASE WHEN l_linenumber = 5 THEN 0 ELSE 1 END AS INT) AS expected_presence",
         "CAST(CASE WHEN l_linenumber = 7 THEN 2 WHEN l_returnflag = 'R' THEN 0 ELSE 1 END AS INT) "
         "AS actual_presence",
         "l_linestatus AS condition",
         "CASE WHEN l_partkey % 31 = 0 THEN CAST(NULL AS BOOLEAN) "
         "ELSE (l_linenumber = 7 OR l_returnflag = 'R') END AS discrepancy_flag",
         "l_returnflag AS discrepancy_type",
-        "CAST(NULL AS STRING) AS comment",
+        f"{_text('l_orderkey + l_linenumber')} AS comment",
     )
 
 
