@@ -45,6 +45,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split hot keys also where an aggregate reuses the join's partitioning (M2, M4)
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
@@ -80,14 +82,13 @@ def sizing_conf(input_bytes: int, total_cores: int,
     """Shuffle and scan sizing for a run over ``input_bytes`` on ``total_cores``.
 
     * initial shuffle partitions: enough for ``target_partition_bytes`` per
-      reducer on a shuffle as large as the input, between three and ten waves
-      of tasks (more would multiply map x reduce blocks); AQE coalesces small
-      ones and splits skewed ones, and sort-merge joins spill beyond memory;
+      reducer on a shuffle as large as the input, three waves of tasks at
+      least; AQE coalesces small ones and splits skewed ones;
     * scan splits: large enough to keep the task count near ten waves, never
       above 1 GiB so a split still fits an executor's memory when decoded.
     """
     waves = max(1, total_cores)
-    shuffle = min(max(3 * waves, -(-input_bytes // target_partition_bytes)), 10 * waves)
+    shuffle = max(3 * waves, -(-input_bytes // target_partition_bytes))
     split = min(max(input_bytes // (10 * waves), 128 << 20), 1 << 30)
     return {
         "spark.sql.shuffle.partitions": str(shuffle),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.casting import rejected, try_convert
+from ..sources.csv_scan import CORRUPT
 
 _RENAMES = {"maintenance_logs": {"status": "maintenance_status"}}
 
@@ -41,6 +42,8 @@ def conform_observed(name: str, raw_text: DataFrame) -> tuple[DataFrame, Observa
     obs = Observation(f"rejects_{name}")
     metrics = [F.sum(F.when(rejected(F.col(f"`{f.name}`"), f.dataType), 1).otherwise(0))
                .cast("long").alias(f.name) for f in _typed_fields(name)]
+    if CORRUPT in raw_text.columns:  # records with too few or too many fields
+        metrics.append(F.count(CORRUPT).alias(CORRUPT))
     return conform(name, raw_text.observe(obs, *metrics) if metrics else raw_text), obs
 
 

@@ -1,10 +1,9 @@
 """Left enrichment joins with a size-checked broadcast.
 
-A side is broadcast only after a bounded job has proven its size under a
+A side is broadcast only after one aggregate has proven its size under a
 byte budget (default: the session's ``spark.sql.autoBroadcastJoinThreshold``).
-Beyond the budget the join is left to Spark: a shuffle (sort-merge) join,
-which AQE may still convert from measured shuffle sizes, and whose skewed
-partitions AQE splits.
+Beyond the budget the join is a shuffle (sort-merge) join by hint, whose
+skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -31,40 +30,30 @@ def _budget(df: DataFrame, max_bytes: int | None) -> int:
     return int(raw)
 
 
-def _row_bytes_sql(df: DataFrame) -> tuple[str, int]:
+def _row_bytes_sql(df: DataFrame) -> str:
     """SQL for the in-memory bytes of one row: an 8-byte slot per field and a
     null-bitset word, plus the payload of variable-length fields."""
     fixed = 8 + 8 * len(df.schema.fields)
     var = [f"coalesce(octet_length(`{f.name}`), 0)" for f in df.schema.fields
            if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-    return " + ".join([str(fixed), *var]), fixed
+    return " + ".join([str(fixed), *var])
 
 
 def broadcast_size_ok(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """True when ``df`` is proven to fit the broadcast byte budget.
-
-    1. Row bound: ``offset(cap).limit(1)`` asks for the ``cap+1``-th row.
-       Spark answers it with an incremental take (1, 4, 16 ... partitions,
-       stopping as soon as enough rows are seen), so a large frame costs a
-       few partitions, not a scan, and no rows are funnelled into one task.
-       ``cap`` is the budget over the smallest possible row size.
-    2. Only a frame proven to have at most ``cap`` rows is then measured
-       exactly: one aggregate of its in-memory row bytes.
-    """
+    """True when ``df`` is proven to fit the broadcast byte budget: one
+    distributed aggregate of its in-memory row bytes; no row reaches the driver."""
     budget = _budget(df, max_bytes)
     if budget <= 0:
         return False
-    row_bytes, min_row = _row_bytes_sql(df)
-    cap = budget // min_row
-    if df.select(F.lit(1)).offset(cap).limit(1).collect():
-        return False
-    size = df.selectExpr(f"sum(CAST({row_bytes} AS BIGINT)) AS b").first()["b"] or 0
+    size = df.selectExpr(f"sum(CAST({_row_bytes_sql(df)} AS BIGINT)) AS b").first()["b"] or 0
     return size <= budget
 
 
 def bounded_broadcast(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """``F.broadcast(df)`` if its size is proven under budget, else ``df``."""
-    return F.broadcast(df) if broadcast_size_ok(df, max_bytes) else df
+    """``F.broadcast(df)`` if its size is proven under budget; else ``df`` with a
+    merge-join hint, since the planner might still broadcast it by the (smaller,
+    compressed) size of its files."""
+    return F.broadcast(df) if broadcast_size_ok(df, max_bytes) else df.hint("shuffle_merge")
 
 
 def bounded_broadcast_all(frames: dict[str, DataFrame],

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.conditional import flag_count
-from ..vocab import ADAPTER_VOCAB, Vocabulary
+from ..vocab import SOURCE_VOCAB, Vocabulary
 
 
 def moved(recorded: Column, home: Column) -> Column:
@@ -99,7 +99,7 @@ def followup_action(flag: Column, dtype: Column, vocab: Vocabulary) -> Column:
             .otherwise(F.lit(vocab.action_none)))
 
 
-def with_followup_action(results: DataFrame, vocab: Vocabulary = ADAPTER_VOCAB) -> DataFrame:
+def with_followup_action(results: DataFrame, vocab: Vocabulary = SOURCE_VOCAB) -> DataFrame:
     return results.select(
         "result_id", "inventory_id", "equipment_id", "discrepancy_flag", "discrepancy_type",
         followup_action(F.col("discrepancy_flag"), F.col("discrepancy_type"), vocab)
@@ -112,6 +112,7 @@ def rule_summary(tables: dict[str, DataFrame]) -> DataFrame:
     * ``discrepancy_flag_missing`` -- results with a discrepancy but no flag (D1)
     * ``items_moved``              -- results recorded away from home (D2)
     * ``sessions_unreconciled``    -- sessions whose count differs from flagged results (D3)
+    * ``flagged_without_session``  -- flagged results whose session is unknown or NULL (beside D3)
     * ``inactive_locations``       -- places not active (D4's complement)
 
     Each rule is a grouped count; D1 and D2 share one join of results to
@@ -124,8 +125,11 @@ def rule_summary(tables: dict[str, DataFrame]) -> DataFrame:
         F.count_if(~F.coalesce(F.col("is_reconciled"), F.lit(False))).alias("sessions_unreconciled"))
     places = tables["storage_locations"].agg(
         F.count_if(~F.coalesce(F.col("is_active"), F.lit(False))).alias("inactive_locations"))
-    parts = [(flags, ("discrepancy_flag_missing", "items_moved")),
-             (recon, ("sessions_unreconciled",)), (places, ("inactive_locations",))]
+    known = tables["inventory_sessions"].select("inventory_id")
+    lost = (tables["inventory_results"].groupBy("inventory_id")
+            .agg(flag_count("discrepancy_flag").alias("flagged")).join(known, "inventory_id", "left_anti")
+            .agg(F.coalesce(F.sum("flagged"), F.lit(0)).alias("flagged_without_session")))
     return reduce(DataFrame.unionByName, [
-        df.select(F.lit(name).alias("rule"), F.col(name).cast("long").alias("rows_flagged"))
-        for df, names in parts for name in names])
+        df.selectExpr(f"stack({len(df.columns)}, "
+                      + ", ".join(f"'{c}', CAST({c} AS BIGINT)" for c in df.columns) + ") AS (rule, rows_flagged)")
+        for df in (flags, recon, lost, places)])

@@ -2,7 +2,7 @@
 
 Plan choices (vs. a literal join-then-group):
 
-* Marts that aggregate are **pre-aggregated before their joins**: facts are
+* Marts that aggregate (but M2) are **pre-aggregated before their joins**: facts are
   grouped on the join key (plus any key the final grouping needs) first,
   so only partial aggregates cross the shuffle, a hot key collapses to one
   row per task, and the dimension joins touch one row per key instead of
@@ -29,7 +29,7 @@ from .. import schemas
 from ..functions.dates import as_of_column, days_between, is_before, years_from_days
 from ..operators import aggregates as agg
 from ..operators.joins import bounded_broadcast_all, enrich
-from ..vocab import ADAPTER_VOCAB, Vocabulary
+from ..vocab import SOURCE_VOCAB, Vocabulary
 
 AsOf = _dt.date | str | Column | None
 
@@ -90,6 +90,19 @@ def results_with_session(results: DataFrame, sessions: DataFrame) -> DataFrame:
     return results.join(sessions.drop("location_id"), "inventory_id", "left")
 
 
+def results_dated(results: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Counts per session, day and recorded place.
+
+    Results and sessions meet first, one exchange a side, and the aggregates
+    reuse that partitioning.  Results hardly repeat (session, place), so
+    aggregating them before the join would only add an exchange.  AQE splits a
+    hot session with ``spark.sql.adaptive.forceOptimizeSkewedJoin``.
+    """
+    dated = (results.select("inventory_id", "location_id", "discrepancy_flag", "actual_presence")
+             .join(sessions.select("inventory_id", "session_date"), "inventory_id", "left"))
+    return agg.result_counts(dated, ["inventory_id", "session_date", "location_id"])
+
+
 def inventory_accuracy(results: DataFrame, sessions: DataFrame, locations: DataFrame,
                        sort: bool = False, broadcast: str = "checked") -> DataFrame:
     """Per session and recorded place: checked, discrepancies, presence, accuracy.
@@ -97,9 +110,7 @@ def inventory_accuracy(results: DataFrame, sessions: DataFrame, locations: DataF
     The place is the **result's** location, not the session's; a session
     whose items were recorded at several places yields several rows.
     """
-    per_place = agg.result_counts(results, ["inventory_id", "location_id"])
-    dated = per_place.join(sessions.select("inventory_id", "session_date"), "inventory_id", "left")
-    placed = enrich(dated, locations.select("location_id", "zone", "rack", "shelf"),
+    placed = enrich(results_dated(results, sessions), locations.select("location_id", "zone", "rack", "shelf"),
                     "location_id", broadcast)
     keys = ["inventory_id", "session_date", "zone", "rack", "shelf"]
     out = agg.with_accuracy(agg.resum(
@@ -116,7 +127,7 @@ def inventory_accuracy(results: DataFrame, sessions: DataFrame, locations: DataF
 # --- M3 -------------------------------------------------------------------
 
 def location_utilization(equipment: DataFrame, locations: DataFrame,
-                         vocab: Vocabulary = ADAPTER_VOCAB, sort: bool = False,
+                         vocab: Vocabulary = SOURCE_VOCAB, sort: bool = False,
                          broadcast: str = "auto") -> DataFrame:
     """Assets per place and active flag, with working / repair / reserve counts.
 
@@ -138,7 +149,7 @@ def location_utilization(equipment: DataFrame, locations: DataFrame,
 # --- M4 -------------------------------------------------------------------
 
 def maintenance_summary(logs: DataFrame, equipment: DataFrame,
-                        vocab: Vocabulary = ADAPTER_VOCAB, broadcast: str = "auto") -> DataFrame:
+                        vocab: Vocabulary = SOURCE_VOCAB, broadcast: str = "auto") -> DataFrame:
     """Events, overdue events, hours, cost and last date per logged asset.
 
     Assets without logs are absent.  The asset side is a fact table, so it
@@ -157,7 +168,7 @@ def maintenance_summary(logs: DataFrame, equipment: DataFrame,
 # --- M5 -------------------------------------------------------------------
 
 def responsible_load(equipment: DataFrame, employees: DataFrame,
-                     vocab: Vocabulary = ADAPTER_VOCAB, broadcast: str = "auto") -> DataFrame:
+                     vocab: Vocabulary = SOURCE_VOCAB, broadcast: str = "auto") -> DataFrame:
     """Assets per person (total, working, in repair) with the person's attributes.
 
     People without assets are absent; assets without a known person form a
@@ -172,7 +183,7 @@ def responsible_load(equipment: DataFrame, employees: DataFrame,
 
 
 def build_marts(tables: dict[str, DataFrame], as_of: AsOf = None,
-                vocab: Vocabulary = ADAPTER_VOCAB, sort: bool = False,
+                vocab: Vocabulary = SOURCE_VOCAB, sort: bool = False,
                 broadcast: str = "checked") -> dict[str, DataFrame]:
     """All five marts from the six conformed tables.
 
