@@ -27,6 +27,7 @@ from ..sinks.files import write_csv, write_layer, write_parquet
 from ..sinks.warehouse import load_layers
 from ..sources import adapters
 from ..sources.csv_scan import load_raw, raw_uri
+from ..sources.landing import land_raw
 from ..vocab import ADAPTER_VOCAB, SOURCE_VOCAB, Vocabulary
 from .marts import build_marts
 
@@ -46,8 +47,8 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, raw_root: str,
     return raw_root
 
 
-def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = True,
-              single_file: bool = False, snapshot: _dt.date | str | None = None
+def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = False,
+              snapshot: _dt.date | str | None = None
               ) -> dict[str, DataFrame]:
     """Raw text -> try-cast conform -> dds Parquet (+ CSV); returns the
     written tables.
@@ -58,7 +59,7 @@ def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = True,
     """
     observed = {n: conform_observed(n, df) for n, df in load_raw(spark, paths, typed=False).items()}
     written = write_layer(spark, {n: df for n, (df, _) in observed.items()},
-                          paths.dds, export_csv, single_file, snapshot)
+                          paths.dds, export_csv, snapshot=snapshot)
     rejects = observed_rejects({n: obs for n, (_, obs) in observed.items()})
     for table, column, n in rejects:
         if n:
@@ -70,11 +71,11 @@ def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = True,
 
 def build_dm(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths,
              as_of: _dt.date | str | None = None, vocab: Vocabulary = SOURCE_VOCAB,
-             export_csv: bool = True, single_file: bool = False,
+             export_csv: bool = False,
              sort: bool = False, snapshot: _dt.date | str | None = None) -> dict[str, DataFrame]:
     """All five marts from the written dds tables -> dm Parquet (+ CSV)."""
     marts = build_marts(dds, as_of=as_of, vocab=vocab, sort=sort)
-    return write_layer(spark, marts, paths.dm, export_csv, single_file, snapshot)
+    return write_layer(spark, marts, paths.dm, export_csv, snapshot=snapshot)
 
 
 def build_checks(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths) -> DataFrame:
@@ -85,13 +86,19 @@ def build_checks(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPat
 
 
 def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = None,
-        vocab: Vocabulary = SOURCE_VOCAB, export_csv: bool = True, single_file: bool = False,
+        vocab: Vocabulary = SOURCE_VOCAB, export_csv: bool = False,
         sort: bool = False, warehouse_root: str | None = None,
         load_warehouse: bool = False, warehouse_source: str = "parquet",
-        snapshot: _dt.date | str | None = None, checks: bool = False
+        snapshot: _dt.date | str | None = None, checks: bool = False, source_root: str | None = None
         ) -> dict[str, dict[str, DataFrame]]:
-    dds = build_dds(spark, paths, export_csv, single_file, snapshot)
-    dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, single_file, sort, snapshot)
+    """One daily run; with ``source_root`` the sources are landed first, and a
+    missing one fails the run (the raw zone may still hold an older copy)."""
+    if source_root:
+        missing = [n for n, status in land_raw(spark, source_root, paths.raw).items() if status != "landed"]
+        if missing:
+            raise FileNotFoundError(f"no source for {', '.join(sorted(missing))} under {source_root}")
+    dds = build_dds(spark, paths, export_csv, snapshot)
+    dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, sort, snapshot)
     if checks:
         dm = {**dm, "_checks": build_checks(spark, dds, paths)}
     if load_warehouse:
@@ -107,8 +114,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--raw"), p.add_argument("--dds"), p.add_argument("--dm")
     p.add_argument("--as-of", help="reporting day YYYY-MM-DD (default: today)")
     p.add_argument("--vocab", choices=("source", "adapter"), default="source")
-    p.add_argument("--no-csv", action="store_true")
-    p.add_argument("--single-file-csv", action="store_true")
+    p.add_argument("--csv", action="store_true", help="also export the layers as CSV")
+    p.add_argument("--source", help="land {source}/{table}.csv into the raw layer first; a missing table fails")
     p.add_argument("--sort", action="store_true", help="globally sort the sorted marts before writing")
     p.add_argument("--load-warehouse", action="store_true")
     p.add_argument("--warehouse-root")
@@ -130,7 +137,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("shelfwise-daily", extra=extra)
     try:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
-            export_csv=not a.no_csv, single_file=a.single_file_csv, sort=a.sort,
+            export_csv=a.csv, sort=a.sort, source_root=a.source,
             warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse,
             warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks)
     finally:

@@ -10,6 +10,7 @@ checkpoint dir, then read it back through the operator under test.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -25,7 +26,7 @@ from ..operators.joins import enrich
 from ..sinks import files
 from ..sinks.warehouse import WAREHOUSE_LAYERS, load_layers
 from ..sources import adapters
-from ..sources.csv_scan import load_raw, read_csv_export, scan_inferred, scan_table
+from ..sources.csv_scan import load_raw, raw_uri, read_csv_export, scan_inferred, scan_table
 from ..sources.landing import land_raw, probe_source
 from ..vocab import ADAPTER_VOCAB as V
 from . import marts
@@ -126,7 +127,7 @@ _PROBE_SQL = O.with_ctes("\nUNION ALL\n".join(
 @register("probe_source", _PROBE_SQL)
 def probe_source_query(spark, sf_dir):
     root = _staged_raw(spark, sf_dir, tag="probe")
-    return _union([probe_source(scan_table(spark, root, n), n) for n in schemas.SOURCE_TABLES])
+    return _union([probe_source(spark, raw_uri(root, n)) for n in schemas.SOURCE_TABLES])
 
 
 # --- 2.2 sinks ---------------------------------------------------------------
@@ -139,8 +140,9 @@ def sink_parquet(spark, sf_dir):
 
 @register("sink_csv_single", O.table("maintenance_logs"))
 def sink_csv_single(spark, sf_dir):
+    """One export that reads back as one table, in parts of a bounded number of rows."""
     uri = files.write_csv(_t(spark, sf_dir, "maintenance_logs"), scratch_uri(spark, "csv1"),
-                          single_file=True)
+                          max_records=1_000_000)
     return read_csv_export(spark, uri, schemas.MAINTENANCE_LOGS)
 
 
@@ -181,10 +183,12 @@ _WAREHOUSE_SQL = O.with_ctes("\nUNION ALL\n".join(
 def warehouse_load(spark, sf_dir):
     paths = _layers(spark, sf_dir)
     build_dm(spark, build_dds(spark, paths), paths, as_of=AS_OF, vocab=V)
-    load_layers(spark, paths, warehouse_root=scratch_uri(spark, "warehouse"))
+    # databases of its own: a shared catalog keeps what it has
+    prefix = f"shelfwise_check_{uuid.uuid4().hex[:12]}_"
+    load_layers(spark, paths, warehouse_root=scratch_uri(spark, "warehouse"), prefix=prefix)
     names = {"dds_stg": schemas.SOURCE_TABLES, "dds": schemas.SOURCE_TABLES, "dm": schemas.MART_NAMES}
     return _union([
-        spark.table(f"`{layer}`.`{n}`").agg(F.count(F.lit(1)).alias("n_rows"))
+        spark.table(f"`{prefix}{layer}`.`{n}`").agg(F.count(F.lit(1)).alias("n_rows"))
         .select(F.lit(layer).alias("layer"), F.lit(n).alias("table_name"), "n_rows")
         for layer in WAREHOUSE_LAYERS for n in names[layer]])
 
@@ -535,6 +539,8 @@ def rule_followup_action(spark, sf_dir):
     f"SELECT 'items_moved' AS rule, {_cnt('COALESCE(item_moved, FALSE)')} AS rows_flagged FROM ({_MOVED}) b",
     f"SELECT 'sessions_unreconciled' AS rule, {_cnt('NOT COALESCE(is_reconciled, FALSE)')} "
     f"AS rows_flagged FROM ({_RECONCILE}) c",
+    f"SELECT 'flagged_without_session' AS rule, {_cnt('discrepancy_flag')} AS rows_flagged FROM inventory_results "
+    "WHERE inventory_id IS NULL OR inventory_id NOT IN (SELECT inventory_id FROM inventory_sessions)",
     f"SELECT 'inactive_locations' AS rule, {_cnt('NOT COALESCE(is_active, FALSE)')} "
     "AS rows_flagged FROM storage_locations"])))
 def rule_summary_query(spark, sf_dir):

@@ -2,9 +2,8 @@
 
 ``write_dataset`` writes Parquet once and makes the CSV export **from the
 written Parquet**, so the export neither recomputes the plan nor keeps its
-lineage alive.  A single-file CSV (``coalesce(1)``) funnels every row
-through one task; it is opt-in, and the default export writes one part per
-task, which ``read_csv_export`` reads back in full.
+lineage alive.  The export writes one part per task, or parts of at most
+``max_records`` rows, each with a header; ``read_csv_export`` reads all back.
 """
 
 from __future__ import annotations
@@ -32,28 +31,34 @@ def write_parquet(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) ->
     return uri
 
 
-def write_csv(df: DataFrame, uri: str, single_file: bool = False) -> str:
-    """Overwrite a CSV dataset with a header; ``single_file`` coalesces to
-    one part (keeps a prior sort order, costs one task for all rows)."""
-    if single_file:
-        df = df.coalesce(1)
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(uri)
+def write_csv(df: DataFrame, uri: str, max_records: int = 0) -> str:
+    """Overwrite a CSV dataset, a header in each part; with ``max_records`` no
+    part has more rows.  Parts are numbered in the order of a sorted frame."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", str(max_records)).csv(uri)
     return uri
 
 
+def _has_snapshots(spark: SparkSession, uri: str) -> bool:
+    """Whether the dataset has snapshot partitions (a listing, no read)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{uri}/{SNAPSHOT_COLUMN}=*")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def dataset_uris(layer_uri: str, name: str) -> tuple[str, str]:
     base = f"{layer_uri.rstrip('/')}/{name}"
     return base, f"{base}_csv"
 
 
 def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
-                  export_csv: bool = True, single_file: bool = False,
+                  export_csv: bool = True, max_records: int = 0,
                   snapshot: _dt.date | str | None = None) -> DataFrame:
     """Write ``{layer}/{name}`` as Parquet and, optionally, ``{layer}/{name}_csv``.
 
     With ``snapshot`` (a day), the Parquet dataset is partitioned by
     ``snapshot_date`` and only that day's partition is replaced, so earlier
-    days stay as history; the CSV export holds the current day.
+    days stay as history; the CSV export holds the current day.  Without it a
+    dataset that has snapshots is not overwritten: that raises.
 
     Returns the written data (that day's partition, read back with partition
     pruning) as a fresh DataFrame: lineage is cut at the write, and
@@ -62,6 +67,8 @@ def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
     parquet_uri, csv_uri = dataset_uris(layer_uri, name)
     # the schema is known, so the read-back skips Parquet footer inference
     if snapshot is None:
+        if _has_snapshots(spark, parquet_uri):
+            raise ValueError(f"{parquet_uri} keeps snapshots; name the snapshot day to write")
         write_parquet(df, parquet_uri)
         written = spark.read.schema(df.schema).parquet(parquet_uri)
     else:
@@ -71,17 +78,17 @@ def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
         written = (spark.read.schema(dated.schema).parquet(parquet_uri)
                    .where(F.col(SNAPSHOT_COLUMN) == F.lit(day)).drop(SNAPSHOT_COLUMN))
     if export_csv:
-        write_csv(written, csv_uri, single_file)
+        write_csv(written, csv_uri, max_records)
     return written
 
 
 def write_layer(spark: SparkSession, frames: dict[str, DataFrame], layer_uri: str,
-                export_csv: bool = True, single_file: bool = False,
+                export_csv: bool = True, max_records: int = 0,
                 snapshot: _dt.date | str | None = None,
                 max_parallel: int = 6) -> dict[str, DataFrame]:
     """``write_dataset`` for every frame of a layer, up to ``max_parallel``
     datasets at a time; returns the written frames."""
     return run_concurrently(
         {name: (lambda n=name, df=df: write_dataset(spark, df, layer_uri, n, export_csv,
-                                                    single_file, snapshot))
+                                                    max_records, snapshot))
          for name, df in frames.items()}, max_parallel)

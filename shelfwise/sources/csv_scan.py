@@ -7,14 +7,23 @@ runs, and Catalyst prunes the CSV read to the columns a plan uses.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import LayerPaths
 
 # Header on; dates ``yyyy-MM-dd``; timestamps in ISO form with ``T`` or a
-# space (Spark's default parser takes both); empty field = NULL.
-CSV_OPTIONS = {"header": "true"}
+# space (Spark's default parser takes both).  A quote in a value is doubled,
+# line breaks and padding are kept; a bare empty field is NULL and a quoted
+# one the empty string, as in ``COPY ... CSV``.
+CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
+
+# What the parser returns for a quoted empty field; ``_restored`` makes it ''.
+_EMPTY = "\u0001"
+
+CORRUPT = "_corrupt_record"
 
 
 def raw_uri(raw_root: str, name: str) -> str:
@@ -22,30 +31,62 @@ def raw_uri(raw_root: str, name: str) -> str:
     return f"{raw_root.rstrip('/')}/{name}.csv"
 
 
-def read_csv(spark: SparkSession, uri: str, schema: T.StructType | None,
-             csv_only: bool = False) -> DataFrame:
-    """Read CSV with a header.  ``schema=None`` falls back to inference
-    (two extra jobs per file; opt-in only).  Columns bind by position, as a
-    ``COPY ... CSV HEADER`` load does."""
-    reader = spark.read.options(**CSV_OPTIONS)
+def _restored(df: DataFrame) -> DataFrame:
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name != CORRUPT}
+    return df.select(*[F.when(F.col(f"`{c}`") == _EMPTY, "").otherwise(F.col(f"`{c}`")).alias(c) if c in text
+                       else F.col(f"`{c}`") for c in df.columns])
+
+
+def read_csv(spark: SparkSession, uri: str, schema: T.StructType | None = None, csv_only: bool = False,
+             by_name: bool = False, infer: bool = False, corrupt: bool = False,
+             multi_line: bool = True) -> DataFrame:
+    """Read CSV with a header.
+
+    Columns bind by position, as a ``COPY ... CSV HEADER`` load does, or with
+    ``by_name`` by the header: a missing or unknown column raises.  Without a
+    schema all columns are text (``infer=True``: inferred, two more jobs).
+    ``corrupt`` adds the text of a record with too few or too many fields as
+    ``_corrupt_record``.
+
+    ``multi_line`` lets a quoted field hold line breaks; Spark then reads each
+    file in one task, which fits part files of a task's size.  Turn it off for a
+    single very large file known to have none.
+    """
+    reader = spark.read.options(**CSV_OPTIONS).option("emptyValue", _EMPTY).option("multiLine", str(multi_line).lower())
     if csv_only:
         reader = reader.option("pathGlobFilter", "*.csv")
     if schema is None:
-        reader = reader.option("inferSchema", "true")
+        return _restored(reader.option("inferSchema", str(infer).lower()).csv(uri))
+    if by_name:
+        header = reader.csv(uri).columns
+        if header:
+            if sorted(header) != sorted(schema.fieldNames()):
+                raise ValueError(f"{uri}: header {header} does not name the columns {schema.fieldNames()}")
+            order = T.StructType([schema[c] for c in header])
+        else:
+            order = schema
     else:
-        reader = reader.schema(schema)
-    return reader.csv(uri)
-
-
-def scan_table(spark: SparkSession, raw_root: str, name: str, typed: bool = True) -> DataFrame:
-    """One raw table: typed by its schema, or as text for try-cast conforming."""
+        order = schema
+    read = order
+    if corrupt:
+        read = T.StructType([*order.fields, T.StructField(CORRUPT, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    out = _restored(reader.schema(read).csv(uri))
+    return out.select(*schema.fieldNames(), *([CORRUPT] if corrupt else []))
+
+
+def scan_table(spark: SparkSession, raw_root: str, name: str, typed: bool = True,
+               multi_line: bool = True) -> DataFrame:
+    """One raw table, bound by its header: typed by its schema, or as text for
+    try-cast conforming, then with ``_corrupt_record``."""
     schema = schemas.RAW_SCHEMAS[name]
-    return read_csv(spark, raw_uri(raw_root, name), schema if typed else schemas.all_strings(schema))
+    return read_csv(spark, raw_uri(raw_root, name), schema if typed else schemas.all_strings(schema),
+                    by_name=True, corrupt=not typed, multi_line=multi_line)
 
 
 def scan_inferred(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
     """The inference path (``inferSchema=true``)."""
-    return read_csv(spark, raw_uri(raw_root, name), None)
+    return read_csv(spark, raw_uri(raw_root, name), infer=True)
 
 
 def load_raw(spark: SparkSession, paths: LayerPaths | str, typed: bool = True) -> dict[str, DataFrame]:

@@ -1,10 +1,10 @@
 """Land source CSV files into the raw zone, and probe a source.
 
-Landing parses each source file as text with the table's column names and
-rewrites it under ``{raw}/{name}.csv`` with Spark's CSV writer: distributed,
-every part with its own header, values unchanged.  A missing source is
-skipped with a warning (the later scan of that table then fails, as it
-should).
+Landing reads each source file as text under its own header and rewrites it
+under ``{raw}/{name}.csv`` with Spark's CSV writer: distributed, every part
+with its own header, values unchanged (quotes, line breaks, padding, empty
+text).  A missing source is skipped with a warning and keeps what the raw zone
+had; the returned status says so, and the daily run fails on it.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ def land_raw(spark: SparkSession, source_root: str, raw_root: str,
     def land(name: str) -> str:
         src = raw_uri(source_root, name)
         try:
-            text = read_csv(spark, src, schemas.all_strings(schemas.RAW_SCHEMAS[name]))
+            text = read_csv(spark, src)
             text.write.mode("overwrite").options(**CSV_OPTIONS).csv(raw_uri(raw_root, name))
             return "landed"
         except AnalysisException as exc:
@@ -42,16 +42,16 @@ def land_raw(spark: SparkSession, source_root: str, raw_root: str,
     return run_concurrently({name: (lambda n=name: land(n)) for name in tables})
 
 
-def probe_source(df: DataFrame, source: str, sample: int = 5) -> DataFrame:
-    """One row ``(source, n_rows, sample_rows)``: the row count of a source and
-    how many rows a ``show(sample)`` peek returns.  One aggregation job; no
-    rows travel to the driver."""
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(source).alias("source"),
-        F.col("n_rows"),
-        F.least(F.col("n_rows"), F.lit(sample).cast("long")).alias("sample_rows"))
-
-
 def peek(df: DataFrame, n: int = 5) -> DataFrame:
     """The first ``n`` rows (``show(n)`` as a DataFrame)."""
     return df.limit(n)
+
+
+def probe_source(spark: SparkSession, uri: str, sample: int = 5) -> DataFrame:
+    """One row ``(source, n_rows, sample_rows)`` for a CSV source: its row count
+    and how many rows a sample of ``sample`` rows, read in full, really gives."""
+    df = read_csv(spark, uri)
+    rows = peek(df, sample).collect()
+    return df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit(uri.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")).alias("source"), F.col("n_rows"),
+        F.lit(len(rows)).cast("long").alias("sample_rows"))

@@ -29,7 +29,7 @@ def test_run_pipeline_entry(spark, scratch):
     assert os.path.isdir(f"{scratch}/wh/dm/responsible_load".replace("file://", ""))
     checks = {r.rule: r.rows_flagged for r in spark.read.parquet(f"{paths.dm}/_checks").collect()}
     assert set(checks) == {"discrepancy_flag_missing", "items_moved",
-                           "sessions_unreconciled", "inactive_locations"}
+                           "sessions_unreconciled", "flagged_without_session", "inactive_locations"}
 
 
 def test_object_store_settings_from_env(monkeypatch):
@@ -47,7 +47,7 @@ def test_object_store_settings_from_env(monkeypatch):
 def test_sizing_conf_bounds():
     from shelfwise.config import sizing_conf
     big = sizing_conf(100 << 40, 8000)
-    assert int(big["spark.sql.shuffle.partitions"]) == 80000
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 1 << 30
     small = sizing_conf(40 << 20, 8)
     assert int(small["spark.sql.shuffle.partitions"]) == 24

@@ -8,8 +8,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 from oracle_compare import compare, duck
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+from shelfwise.plans.registry import ORACLE_SQL as SQL
+from shelfwise.plans.registry import QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -36,10 +36,12 @@ def test_write_dataset_is_idempotent(spark, scratch):
     assert csv.exceptAll(eq).count() == 0
 
 
-def test_single_file_csv_has_one_part(spark, scratch):
+def test_csv_parts_are_bounded(spark, scratch):
     logs = adapters.maintenance_logs(spark, SF_SMALL).repartition(4)
-    uri = files.write_csv(logs, f"{scratch}/one", single_file=True)
-    assert len(glob.glob(os.path.join(local(uri), "part-*.csv"))) == 1
+    uri = files.write_csv(logs, f"{scratch}/bounded", max_records=500)
+    parts = glob.glob(os.path.join(local(uri), "part-*.csv"))
+    assert all(len(spark.read.option("header", "true").csv(f"file://{p}").take(501)) <= 500 for p in parts)
+    assert read_csv_export(spark, uri, schemas.MAINTENANCE_LOGS).exceptAll(logs).count() == 0
     uri = files.write_csv(logs, f"{scratch}/many")
     parts = glob.glob(os.path.join(local(uri), "part-*.csv"))
     assert len(parts) == 4
@@ -84,15 +86,16 @@ def test_inferred_scan_types(spark, scratch):
     assert types["responsible_person_id"] == "int"
 
 
-def test_probe_source(spark):
-    row = probe_source(adapters.employees(spark, SF_SMALL), "employees").first()
+def test_probe_source(spark, scratch):
+    pipeline.stage_driver_tables(spark, SF_SMALL, scratch, ("employees",))
+    row = probe_source(spark, f"{scratch}/employees.csv").first()
     assert row.source == "employees" and row.n_rows > 5 and row.sample_rows == 5
 
 
 def test_warehouse_full_refresh_is_positional_and_idempotent(spark, scratch):
     paths = LayerPaths.under(f"{scratch}/layers")
     pipeline.stage_driver_tables(spark, SF_SMALL, paths.raw)
-    pipeline.run(spark, paths, as_of="2001-12-31", vocab=V)
+    pipeline.run(spark, paths, as_of="2001-12-31", vocab=V, export_csv=True)
     wh = f"{scratch}/wh"
     for source in ("csv", "parquet"):
         loaded = load_layers(spark, paths, warehouse_root=wh, source=source)
@@ -109,10 +112,74 @@ def test_warehouse_full_refresh_is_positional_and_idempotent(spark, scratch):
 def test_load_via_stage_swaps(spark, scratch):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS swaptest LOCATION '{scratch}/swap.db'")
     emp = adapters.employees(spark, SF_SMALL)
-    for _ in range(2):
-        load_via_stage(spark, emp, "swaptest", "employees", schemas.EMPLOYEES, f"{scratch}/swap")
-    assert spark.table("swaptest.employees").count() == emp.count()
-    assert spark.catalog.tableExists("swaptest.employees__prev")
+    for n in (10, 3, 7):
+        load_via_stage(spark, emp.limit(n), "swaptest", "employees", schemas.EMPLOYEES, f"{scratch}/swap")
+    assert spark.table("swaptest.employees").count() == 7
+    assert spark.table("swaptest.employees__prev").count() == 3
+
+
+def test_plain_write_keeps_snapshots(spark, scratch):
+    emp = adapters.employees(spark, SF_SMALL)
+    files.write_dataset(spark, emp, scratch, "employees", export_csv=False, snapshot="2001-12-30")
+    with pytest.raises(ValueError, match="snapshot"):
+        files.write_dataset(spark, emp, scratch, "employees")
+
+
+def test_databases_after_a_prefix(spark, scratch):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS dm LOCATION '{scratch}/dm.db'")
+    before = {d.name for d in spark.catalog.listDatabases()}
+    paths = LayerPaths.under(f"{scratch}/layers")
+    pipeline.stage_driver_tables(spark, SF_SMALL, paths.raw)
+    pipeline.run(spark, paths, as_of="2001-12-31", vocab=V)
+    load_layers(spark, paths, warehouse_root=f"{scratch}/wh", prefix="px_")
+    assert {d.name for d in spark.catalog.listDatabases()} - before == {"px_dds_stg", "px_dds", "px_dm"}
+
+
+ODD = ['said "hi", then left', "two\nlines", "  padded  ", "", None, '"', ",", "plain", "\r\n", "\\", '\\"']
+
+
+def test_text_survives_landing_and_export(spark, scratch):
+    rows = [(str(i), t) for i, t in enumerate(ODD)]
+    os.makedirs(local(f"{scratch}/src"))
+    with open(local(f"{scratch}/src/inventory_results.csv"), "w", newline="", encoding="utf-8") as out:
+        names = schemas.RAW_SCHEMAS["inventory_results"].fieldNames()
+        out.write(",".join(reversed(names)) + "\n")  # the header's order is its own
+        for i, t in rows:
+            value = "" if t is None else '"' + t.replace('"', '""') + '"'
+            cells = {"result_id": i, "comment": value, "location_id": "5"}
+            out.write(",".join(cells.get(n, "") for n in reversed(names)) + "\n")
+    assert land_raw(spark, f"{scratch}/src", f"{scratch}/raw", ("inventory_results",)) == {"inventory_results": "landed"}
+    for root in (f"{scratch}/src", f"{scratch}/raw"):
+        got = scan_table(spark, root, "inventory_results").select("result_id", "comment", "location_id").collect()
+        assert sorted((r.result_id, r.comment or "", r.comment is None) for r in got) == \
+            sorted((i, t or "", t is None) for i, t in rows)
+        assert {r.location_id for r in got} == {5}
+    frame = scan_table(spark, f"{scratch}/raw", "inventory_results")
+    uri = files.write_csv(frame, f"{scratch}/export")
+    back = read_csv_export(spark, uri, schemas.RAW_SCHEMAS["inventory_results"])
+    assert back.exceptAll(frame).count() == 0 and frame.exceptAll(back).count() == 0
+
+
+def test_unknown_header_raises_and_broken_records_count(spark, scratch):
+    os.makedirs(local(f"{scratch}/storage"))
+    path = local(f"{scratch}/storage_locations.csv")
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("zone,location_id,rack,shelf,is_active\nA,7,r1,s1,True\nB,8,r2\n")
+    row = scan_table(spark, scratch, "storage_locations").where("zone = 'A'").first()
+    assert row.location_id == 7 and row.is_active is True
+    text = scan_table(spark, scratch, "storage_locations", typed=False)
+    assert sorted(r["_corrupt_record"] is not None for r in text.collect()) == [False, True]
+    with open(path, "w", encoding="utf-8") as out:
+        out.write("zone,place,rack,shelf,is_active\nA,7,r1,s1,True\n")
+    with pytest.raises(ValueError, match="header"):
+        scan_table(spark, scratch, "storage_locations")
+
+
+def test_run_lands_first_and_fails_on_a_missing_source(spark, scratch):
+    paths = LayerPaths.under(f"{scratch}/layers")
+    pipeline.stage_driver_tables(spark, SF_SMALL, f"{scratch}/src", ("equipment",))
+    with pytest.raises(FileNotFoundError, match="employees"):
+        pipeline.run(spark, paths, source_root=f"{scratch}/src")
 
 
 def test_snapshot_layers_keep_history_and_prune(spark, scratch):
@@ -158,7 +225,7 @@ def test_dds_build_counts_rejects_in_the_same_pass(spark, scratch):
     assert locs == {"S1": (1, True), "S2": (None, None), "S3": (3, None)}
 
 
-def test_sorted_mart_single_file_keeps_order(spark, scratch):
+def test_sorted_mart_parts_keep_order(spark, scratch):
     from shelfwise.plans import marts
     t = adapters.source_tables(spark, SF_SMALL)
     acc = marts.inventory_accuracy(t["inventory_results"], t["inventory_sessions"],
@@ -169,10 +236,11 @@ def test_sorted_mart_single_file_keeps_order(spark, scratch):
     nulls = sum(d is None for d in dates)
     assert all(d is None for d in dates[:nulls])
     assert dates[nulls:] == sorted(dates[nulls:])
-    uri = files.write_csv(acc, f"{scratch}/sorted", single_file=True)
-    (part,) = glob.glob(os.path.join(local(uri), "part-*.csv"))
-    with open(part, encoding="utf-8") as fh:
-        written = [line.split(",")[1] for line in fh.read().splitlines()[1:]]
+    uri = files.write_csv(acc, f"{scratch}/sorted", max_records=700)
+    written = []
+    for part in sorted(glob.glob(os.path.join(local(uri), "part-*.csv"))):
+        with open(part, encoding="utf-8") as fh:
+            written += [line.split(",")[1] for line in fh.read().splitlines()[1:]]
     assert written == ["" if d is None else d.isoformat() for d in dates]
 
 
