@@ -12,10 +12,11 @@ Linking, exact for every pair within ``radius`` bits:
 2.  The 64 bits are cut into ``radius + 1`` blocks.  Two fingerprints within
     the radius agree on one block at least, so each (block, value) is a shard
     of the search and every close pair meets in some shard.
-3.  A shard above ``SHARD_LIMIT`` fingerprints is dealt again: its members
-    agree on the block, so the same holds for the bits that are left, cut into
-    ``radius + 1`` blocks once more.  Members are distinct, so this ends: the
-    last bits left tell at most a few thousand values apart.
+3.  A shard above ``SHARD_LIMIT`` fingerprints is dealt again by the bits that
+    are left: its members agree on the block, so the same holds for those, cut
+    into ``radius + 1`` blocks once more.  What is large even then (a dense
+    ball of different fingerprints) is cut into parts of bounded size, and
+    every two parts make a shard: no pair is missed.
 4.  In each shard a BK-tree is built: the children of a node are keyed by
     their Hamming distance to it, and a search within the radius follows only
     the edges from d - radius to d + radius.  Trees of one partition grow and
@@ -39,7 +40,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, written
@@ -49,6 +50,7 @@ WORDS = 4
 RADIUS = 4
 SEED = 42
 SHARD_LIMIT = 2_048
+LEVELS = 2  # times that a shard is dealt by blocks before it is cut into parts
 FRONTIER = 1 << 18  # (query, node) pairs looked at together
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]+")
@@ -117,45 +119,46 @@ def _mask(ranges: list[tuple[int, int]]) -> int:
     return m - (1 << 64) if m >> 63 else m
 
 
-def _deal(fp: Column, left: list[tuple[int, int]], radius: int, path: str) -> list[tuple[str, Column, list]]:
-    """Per block of the bits left: the block's name, its value, the bits then left."""
+def _deal(left: list[tuple[int, int]], radius: int, path: str) -> list[tuple[str, int, list]]:
+    """Per block of the bits left: the block's name, its mask, the bits then left."""
     blocks = _blocks(left, radius + 1)
-    out = []
-    for i, own in enumerate(blocks):
-        rest = [r for k, other in enumerate(blocks) if k != i for r in other]
-        out.append((f"{path}{i}", fp.bitwiseAND(F.lit(_mask(own)).cast("long")), sorted(rest)))
-    return out
+    return [(f"{path}{i}", _mask(own), sorted(r for k, other in enumerate(blocks) if k != i for r in other))
+            for i, own in enumerate(blocks)]
 
 
 def links(fps: DataFrame, radius: int = RADIUS, limit: int = SHARD_LIMIT) -> DataFrame:
     """``fps(fp)``, distinct, to links ``(a, b)`` whose components are those of
     all pairs within the radius."""
-    # level by level: rows (shard, left) whose shard is small enough are searched, the others dealt again
+    spark = fps.sparkSession
     todo = fps.select("fp", F.lit("").alias("path"), F.lit(0).cast("long").alias("agreed"))
     ready, lefts = [], {"": [(0, 64)]}
-    while True:
-        makers = {path: _deal(F.col("fp"), left, radius, path) for path, left in lefts.items()}
-        choices = F.array()
-        for path, made in makers.items():
-            block = F.array(*[F.struct(F.lit(name).alias("path"), value.alias("value")) for name, value, _ in made])
-            choices = block if len(makers) == 1 else F.when(F.col("path") == path, block).otherwise(choices) \
-                if choices is not None else block
-        dealt = (todo.withColumn("_to", F.explode(choices))
-                 .select("fp", F.col("_to.path").alias("path"),
-                         F.col("agreed").bitwiseOR(F.col("_to.value")).alias("agreed")))
-        dealt = written(dealt, "simhash-shards")
-        sizes = dealt.groupBy("path", "agreed").agg(F.count("*").alias("n"))
-        large = written(sizes.where(F.col("n") > limit), "simhash-large")
-        names = [r["path"] for r in large.select("path").distinct().collect()]  # of a handful of block paths
-        lefts = {name: rest for made in makers.values() for name, _, rest in made
-                 if name in names and sum(n for _, n in rest) > radius}
-        if not lefts:
-            ready.append(dealt)
-            break
-        again = large.where(F.col("path").isin(list(lefts))).select("path", "agreed")
-        ready.append(dealt.join(again, ["path", "agreed"], "left_anti"))
-        todo = dealt.join(again, ["path", "agreed"], "left_semi").select("fp", "path", "agreed")
-    shards = reduce(DataFrame.union, ready)
+    for level in range(LEVELS):
+        made = {path: _deal(left, radius, path) for path, left in lefts.items()}
+        masks = spark.createDataFrame([(path, name, mask) for path, own in made.items() for name, mask, _ in own],
+                                      "path string, block string, mask long")
+        # a row per block name: (radius + 1) ** LEVELS at most
+        dealt = written(todo.join(F.broadcast(masks), "path").select(
+            "fp", F.col("block").alias("path"),
+            F.col("agreed").bitwiseOR(F.col("fp").bitwiseAND(F.col("mask"))).alias("agreed")), "simhash-shards")
+        large = written(dealt.groupBy("path", "agreed").agg(F.count("*").alias("n")).where(F.col("n") > limit),
+                        "simhash-large")
+        ready.append(dealt.join(large, ["path", "agreed"], "left_anti"))
+        todo = dealt.join(large, ["path", "agreed"])
+        if level < LEVELS - 1:
+            todo = todo.drop("n")
+            names = {r["path"] for r in large.select("path").distinct().collect()}  # block names
+            lefts = {name: rest for own in made.values() for name, _, rest in own if name in names}
+            if not lefts:
+                break
+    else:
+        # still large: parts of at most ``limit`` members; every two parts make a shard
+        parts = F.ceil(F.col("n") / limit).cast("int")
+        tiles = (todo.withColumn("parts", parts)
+                 .withColumn("part", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("part <> other"))
+        ready.append(tiles.select("fp", F.concat_ws("-", "path", F.least("part", "other"), F.greatest("part", "other"))
+                                  .alias("path"), "agreed"))
+    shards = reduce(DataFrame.unionByName, ready)
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for shard, fp in _whole_shards(batches):

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_MID, SF_SMALL
+from llm_fixtures import documents, shipped  # noqa: F401
 from shelfwise.llm import langid, toxicity
 
 
@@ -68,8 +69,8 @@ def test_long_text_in_pieces_scores_as_a_whole(spark, monkeypatch):
     whole = langid.Scorer(model).sums(texts)
     monkeypatch.setattr(langid, "CHUNK", 100)
     pieces = langid.Scorer(model).sums(texts)
-    # each cut costs a context of three symbols at most
-    assert np.allclose(whole[0], pieces[0], rtol=0.05, atol=1)
+    # a cut costs the context of the three symbols before it
+    assert np.allclose(whole[0], pieces[0], rtol=0.15, atol=1) and np.allclose(whole[1], pieces[1], atol=1)
     assert (whole[2] == pieces[2]).all()
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 import corpus_pipeline
 from conftest import SF_MID, SF_SMALL
+from llm_fixtures import documents, shipped  # noqa: F401
 from shelfwise.llm import langid, mixing, packing, sharding, simhash, toxicity
 from shelfwise.llm.common import table
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from llm_fixtures import documents, shipped  # noqa: F401
 from shelfwise.llm import simhash
 from shelfwise.llm.components import connected_components
 

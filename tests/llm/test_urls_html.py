@@ -11,6 +11,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from llm_fixtures import shipped  # noqa: F401
 from oracle_compare import compare
 from shelfwise.llm import htmltext, urlfilter
 
