@@ -23,7 +23,7 @@ ROWS = {
                           ("R2", "S1", "EQ2", "10", "1", "1", "c", "False", "t", "x"),
                           ("R3", "S9", "EQ3", "20", "1", "1", "c", "True", "t", "x")],
     "maintenance_logs": [("M1", "EQ1", "2025-01-01", "t", "1.5", "done", "1", "10.25"),
-                         ("M2", "EQ1", "2025-02-01", "t", "2.0", SV.overdue, "1", "1.0")],
+                         ("M2", "EQ1", "2025-02-01", "t", "2.0", SV.maint_overdue, "1", "1.0")],
 }
 
 
