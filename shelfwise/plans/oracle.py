@@ -10,6 +10,10 @@ is BIGINT) so schemas compare equal.
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
+
+from .. import schemas
+
 AS_OF_SQL = "DATE '2001-12-31'"
 
 ADAPTER_CTES = """
@@ -85,7 +89,7 @@ def days_sql(start: str, end: str) -> str:
 
 A = AS_OF_SQL
 
-# Mart bodies as CTEs, reused by the count queries over layers.
+# Mart bodies as CTEs, reused by the digests of layers.
 MART_CTES = f"""
 m_equipment_health AS (
   SELECT e.responsible_person_id, e.location_id, e.equipment_id, e.inventory_number, e.name,
@@ -162,10 +166,45 @@ def table(name: str, raw: bool = False) -> str:
     return with_ctes(f"SELECT * FROM {name}")
 
 
-def counts(names: tuple[str, ...], label: str, prefix: str = "", n_alias: str = "n_rows",
-           extra_cols: str = "") -> str:
-    parts = [f"SELECT '{n}' AS {label},{extra_cols} COUNT(*) AS {n_alias} FROM {prefix}{n}" for n in names]
-    return with_ctes("\nUNION ALL\n".join(parts), MART_CTES if prefix == "m_" else "")
+def _column_digest(no: int, name: str, kind: T.DataType) -> str:
+    """One column's entry of ``digest_row`` as a DuckDB struct."""
+    c, nothing = f'"{name}"', "CAST(NULL AS VARCHAR)"
+    low = f"CAST(MIN({c}) AS VARCHAR)", f"CAST(MAX({c}) AS VARCHAR)"
+    if kind == schemas.S:
+        unit = f"LENGTH({c})"
+    elif kind == schemas.B:
+        unit, low = f"CAST({c} AS INT)", (nothing, nothing)
+    elif kind == schemas.D:
+        unit, low = f"ROUND({c} * 10000)", (nothing, nothing)
+    elif isinstance(kind, T.NumericType):
+        unit, low = c, (nothing, nothing)
+    else:
+        unit = None
+    total = f"CAST(SUM(CAST({unit} AS DECIMAL(20,0))) AS VARCHAR)" if unit else nothing
+    return (f"{{'column_no': {no}, 'n_values': COUNT({c}), 'total': {total}, "
+            f"'low': {low[0]}, 'high': {low[1]}}}")
+
+
+def digest(source: str, labels: dict[str, str], schema: T.StructType) -> str:
+    """Every column of a table in schema order: counts, sum, least and greatest."""
+    fixed = "".join(f"'{v}' AS {k}, " for k, v in labels.items())
+    entries = ", ".join(_column_digest(i, f.name, f.dataType) for i, f in enumerate(schema.fields))
+    return (f"SELECT {fixed}n_rows, UNNEST(entries, recursive := true) "
+            f"FROM (SELECT COUNT(*) AS n_rows, [{entries}] AS entries FROM {source} s) d")
+
+
+def raw_digests(label: str, **fixed: str) -> str:
+    return "\nUNION ALL\n".join(
+        digest(f"({RAW_MAINTENANCE})" if n == "maintenance_logs" else n, {**fixed, label: n}, s)
+        for n, s in schemas.RAW_SCHEMAS.items())
+
+
+def dds_digests(label: str, **fixed: str) -> str:
+    return "\nUNION ALL\n".join(digest(n, {**fixed, label: n}, s) for n, s in schemas.CONFORMED_SCHEMAS.items())
+
+
+def mart_digests(label: str, **fixed: str) -> str:
+    return "\nUNION ALL\n".join(digest(f"m_{n}", {**fixed, label: n}, s) for n, s in schemas.MART_SCHEMAS.items())
 
 
 def round4(expr: str, alias: str) -> str:

@@ -22,6 +22,7 @@ from ..config import LayerPaths, scratch_uri
 from ..operators import aggregates as agg
 from ..operators import rules
 from ..operators.conform import conform, reject_counts
+from ..operators.digest import column_digest
 from ..operators.joins import enrich
 from ..sinks import files
 from ..sinks.warehouse import WAREHOUSE_LAYERS, load_layers
@@ -66,10 +67,10 @@ def _staged_raw(spark: SparkSession, sf_dir: str, tables=schemas.SOURCE_TABLES,
     return stage_driver_tables(spark, sf_dir, scratch_uri(spark, tag), tables)
 
 
-def _counts(frames: dict[str, DataFrame], label: str, **fixed: str) -> DataFrame:
+def _digests(frames: dict[str, DataFrame], label: str, **fixed: str) -> DataFrame:
+    """What each column of each table holds: a shifted or altered column shows."""
     return _union([
-        df.agg(F.count(F.lit(1)).alias("n_rows"))
-          .select(*[F.lit(v).alias(k) for k, v in fixed.items()], F.lit(n).alias(label), "n_rows")
+        column_digest(df).select(*[F.lit(v).alias(k) for k, v in fixed.items()], F.lit(n).alias(label), "*")
         for n, df in frames.items()])
 
 
@@ -92,21 +93,18 @@ def scan_infer_schema(spark, sf_dir):
     return scan_inferred(spark, root, "maintenance_logs")
 
 
-@register("load_raw_bundle", O.counts(O.TABLE_NAMES, "table_name"))
+@register("load_raw_bundle", O.with_ctes(O.raw_digests("table_name")))
 def load_raw_bundle(spark, sf_dir):
-    return _counts(load_raw(spark, _staged_raw(spark, sf_dir, tag="bundle")), "table_name")
+    return _digests(load_raw(spark, _staged_raw(spark, sf_dir, tag="bundle")), "table_name")
 
 
-@register("land_raw", O.counts(O.TABLE_NAMES, "table_name", extra_cols=" 'landed' AS status,"))
+@register("land_raw", O.with_ctes(O.raw_digests("table_name", status="landed")))
 def land_raw_query(spark, sf_dir):
     source = _staged_raw(spark, sf_dir, tag="source")
     raw = scratch_uri(spark, "landed")
     status = land_raw(spark, source, raw)
     bundle = load_raw(spark, raw)
-    return _union([
-        bundle[n].agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(n).alias("table_name"), F.lit(s).alias("status"), "n_rows")
-        for n, s in status.items()])
+    return _union([_digests({n: bundle[n]}, "table_name", status=s) for n, s in status.items()])
 
 
 @register("scan_csv_export", O.mart("equipment_health"))
@@ -160,23 +158,21 @@ def _layers(spark, sf_dir) -> LayerPaths:
     return paths
 
 
-@register("build_dds", O.counts(O.TABLE_NAMES, "table_name"))
+@register("build_dds", O.with_ctes(O.dds_digests("table_name")))
 def build_dds_query(spark, sf_dir):
-    return _counts(build_dds(spark, _layers(spark, sf_dir)), "table_name")
+    return _digests(build_dds(spark, _layers(spark, sf_dir)), "table_name")
 
 
-@register("build_dm", O.counts(O.MART_NAMES, "mart_name", prefix="m_"))
+@register("build_dm", O.with_ctes(O.mart_digests("mart_name"), O.MART_CTES))
 def build_dm_query(spark, sf_dir):
     paths = _layers(spark, sf_dir)
     dm = build_dm(spark, build_dds(spark, paths), paths, as_of=AS_OF, vocab=V)
-    return _counts(dm, "mart_name")
+    return _digests(dm, "mart_name")
 
 
-_WAREHOUSE_SQL = O.with_ctes("\nUNION ALL\n".join(
-    [f"SELECT '{layer}' AS layer, '{n}' AS table_name, COUNT(*) AS n_rows FROM {n}"
-     for layer in ("dds_stg", "dds") for n in O.TABLE_NAMES]
-    + [f"SELECT 'dm' AS layer, '{n}' AS table_name, COUNT(*) AS n_rows FROM m_{n}"
-       for n in O.MART_NAMES]), O.MART_CTES)
+_WAREHOUSE_SQL = O.with_ctes("\nUNION ALL\n".join([
+    O.raw_digests("table_name", layer="dds_stg"), O.dds_digests("table_name", layer="dds"),
+    O.mart_digests("table_name", layer="dm")]), O.MART_CTES)
 
 
 @register("warehouse_load", _WAREHOUSE_SQL)
@@ -188,9 +184,8 @@ def warehouse_load(spark, sf_dir):
     load_layers(spark, paths, warehouse_root=scratch_uri(spark, "warehouse"), prefix=prefix)
     names = {"dds_stg": schemas.SOURCE_TABLES, "dds": schemas.SOURCE_TABLES, "dm": schemas.MART_NAMES}
     return _union([
-        spark.table(f"`{prefix}{layer}`.`{n}`").agg(F.count(F.lit(1)).alias("n_rows"))
-        .select(F.lit(layer).alias("layer"), F.lit(n).alias("table_name"), "n_rows")
-        for layer in WAREHOUSE_LAYERS for n in names[layer]])
+        _digests({n: spark.table(f"`{prefix}{layer}`.`{n}`") for n in names[layer]}, "table_name", layer=layer)
+        for layer in WAREHOUSE_LAYERS])
 
 
 # --- 2.3 conform, projections, predicates -------------------------------------
@@ -210,26 +205,42 @@ _DUCK_TYPES = {"int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN", "date
                "timestamp_ntz": "TIMESTAMP"}
 
 
+def _typed(name: str) -> list[tuple[str, str, str]]:
+    """Columns that conforming converts: (name, type, digit).  A tenth to a
+    seventh of a column's values is spoilt: those of the rows whose key ends in
+    its digit."""
+    kinds = [(f.name, f.dataType.simpleString()) for f in schemas.RAW_SCHEMAS[name].fields]
+    return [(c, kind, str(i % 7 + 1)) for i, (c, kind) in enumerate(k for k in kinds if k[1] != "string")]
+
+
+def _spoilt(name: str, raw: DataFrame) -> DataFrame:
+    """The raw table as text, with values that do not convert."""
+    last = F.right(F.col(raw.columns[0]).cast("string"), F.lit(1))
+    return raw.withColumns({
+        c: F.when(last == digit, F.concat(F.lit("x"), F.col(c).cast("string"))).otherwise(F.col(c).cast("string"))
+        for c, _, digit in _typed(name)})
+
+
 def _rejects_sql() -> str:
     parts = []
     for name, schema in schemas.RAW_SCHEMAS.items():
         src = "(" + O.RAW_MAINTENANCE + ")" if name == "maintenance_logs" else name
-        for f in schema.fields:
-            dtype = f.dataType.simpleString()
-            if dtype == "string":
-                continue
-            c = f.name
+        key = schema.fields[0].name
+        for c, kind, digit in _typed(name):
             parts.append(
                 f"SELECT '{name}' AS table_name, '{c}' AS column_name, "
                 f"CAST(COALESCE(SUM(CASE WHEN {c} IS NOT NULL AND "
-                f"TRY_CAST(CAST({c} AS VARCHAR) AS {_DUCK_TYPES[dtype]}) IS NULL "
-                f"THEN 1 ELSE 0 END), 0) AS BIGINT) AS rejected_values FROM {src} x")
+                f"TRY_CAST(CASE WHEN RIGHT(CAST({key} AS VARCHAR), 1) = '{digit}' THEN 'x' ELSE '' END "
+                f"|| CAST({c} AS VARCHAR) AS {_DUCK_TYPES[kind]}) IS NULL "
+                f"THEN 1 ELSE 0 END), 0) AS BIGINT) AS rejected_values FROM {src} s")
     return O.with_ctes("\nUNION ALL\n".join(parts))
 
 
 @register("conform_rejects", _rejects_sql())
 def conform_rejects(spark, sf_dir):
-    root = _staged_raw(spark, sf_dir, tag="rejects")
+    root = scratch_uri(spark, "rejects")
+    for n in schemas.SOURCE_TABLES:
+        files.write_csv(_spoilt(n, adapters.source_table(spark, sf_dir, n, conformed=False)), raw_uri(root, n))
     return _union([reject_counts(n, scan_table(spark, root, n, typed=False))
                    for n in schemas.SOURCE_TABLES])
 
