@@ -11,9 +11,10 @@ written table, so a lost executor repeats tasks without moving any offset.
 Every document ends with ``end_id``.  Token ids travel as little-endian
 unsigned 32-bit numbers.  All sequences but the last are full.
 
-``by_word``: the tokeniser drops white space and looks at nothing across it
-(true of the default vocabulary); words are then looked up in a cache of
-bounded size.  Otherwise whole texts are encoded.
+``by_word``: the tokeniser drops white space, looks at nothing across it, and
+parts letters and digits from the marks after them (true of the default
+vocabulary); words and single marks are then looked up in a cache of bounded
+size.  Otherwise whole texts are encoded.
 
 Defined results: a null or empty text is the end id alone; null and repeated
 keys pass through; an empty table gives no row.  Extra columns are not read.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import itertools
 import os
+import re
 import struct
 from collections.abc import Iterator
 
@@ -40,7 +42,8 @@ CACHED_WORDS = 200_000
 LONGEST_CACHED = 48  # bytes of a word
 ENCODED_AT_ONCE = 1 << 20  # characters
 JOINED = 256
-MARKS = b".,;:!?"
+# one mark between an ASCII letter or digit and a blank or the end
+_MARK = re.compile(rb"[.,;:!?](?<=[A-Za-z0-9].)(?=\s|\Z)")
 
 
 def default_tokenizer() -> str:
@@ -60,7 +63,6 @@ class Encoder:
         self.end = struct.pack("<I", end_id)
         self.by_word = by_word
         self.cache: dict[bytes, bytes] = {}
-        self.after: dict[bytes, bytes] = {}  # ids of the marks that follow a word
         self.older: dict[bytes, bytes] = {}  # the cache before, for words met again
         ends = [i for w, i in self.tokenizer.get_vocab().items() if w.endswith("</w>")]
         self.ends_piece = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, bool)
@@ -73,40 +75,22 @@ class Encoder:
     def _encode_words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
         """A word of letters is one piece, and the last id of a piece says so: such
         words are encoded many at a time and told apart by it."""
-        stems: dict[bytes, list[bytes]] = {}
-        others = []
+        letters, others = [], []
         for w in words:
-            # marks after a word's letters are pieces of their own
-            stem = w.rstrip(MARKS)
-            if len(w) <= LONGEST_CACHED and stem.decode().isalpha():
-                stems.setdefault(stem, []).append(w)
-            else:
-                others.append(w)
-        letters = list(stems)
+            (letters if len(w) <= LONGEST_CACHED and w.decode().isalpha() else others).append(w)
         for at in range(0, len(letters), JOINED):
             part = letters[at:at + JOINED]
             ids = np.frombuffer(self._encode([b" ".join(part).decode()])[0], "<u4")
             cut = np.flatnonzero(self.ends_piece[ids]) + 1
             if len(cut) != len(part):  # some word has more pieces than one
-                others += [w for stem in part for w in stems[stem]]
+                others += part
                 continue
             raw, ends = ids.tobytes(), (cut * 4).tolist()
-            start = 0
-            for stem, end in zip(part, ends, strict=True):
-                for w in stems[stem]:
-                    yield w, raw[start:end] + self._marks(w[len(stem):])
-                start = end
+            yield from zip(part, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True)
         for at in range(0, len(others), JOINED):
             part = others[at:at + JOINED]
             yield from zip(part, self._encode([w.decode() for w in part]), strict=True)
 
-    def _marks(self, marks: bytes) -> bytes:
-        if marks not in self.after:
-            if len(self.after) > 1_000:
-                self.after.clear()
-            self.after[marks] = self._encode([marks.decode()])[0] if marks else b""
-        return self.after[marks]
-
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         for a, b in text_runs(texts, ENCODED_AT_ONCE):
             part = [t or "" for t in texts[a:b]]
@@ -117,7 +101,8 @@ class Encoder:
         for t in texts:
             data = t.encode()
             # the tokeniser folds case; its own special strings (none without "<|") it does not
-            split.append((data if b"<|" in data else data.lower()).split())  # at ASCII white space
+            data = data if b"<|" in data else data.lower()
+            split.append(_MARK.sub(rb" \g<0>", data).split())  # at ASCII white space
         if len(self.cache) > CACHED_WORDS:
             self.older, self.cache = self.cache, {}
         cache, older = self.cache, self.older

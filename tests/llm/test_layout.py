@@ -223,3 +223,11 @@ def test_pipeline_run_and_odd_documents(spark, documents, scratch):
             if name != "packing":
                 assert got.columns == docs.columns
             assert got.count() >= 0
+
+
+def test_marks_are_parted_from_words_only_where_the_tokeniser_does():
+    texts = ["Plain words, one mark. And? no! a: b; end.", "runs... of ,, marks?! \"q,\" (a.) [b:]", "3.14 1,000 10:30. 7,",
+             "naïve, façade. ÉTÉ; 中文,字。", "don't. it's, HELLO, Wor.LD", "<|endoftext|>. <|x|>, Y.", "a.́ b,̸ c.​ d.",
+             "x.\x0by,\x0cz.\tw,\nv. ", ",", "", ". a", "a ."]
+    path = packing.default_tokenizer()
+    assert list(packing.Encoder(path, 2, True)(texts)) == list(packing.Encoder(path, 2, False)(texts))
