@@ -278,28 +278,35 @@ def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
-                    radius: int = RADIUS) -> DataFrame:
-    """One row per input row: ``key``, ``fp`` (long) and ``component_id``."""
-    rows = written(docs.select(F.col(key).alias("key"), fingerprint_column(words)(F.col(text)).alias("fp")),
-                   "simhash-fingerprints")
+def _grouped(docs: DataFrame, key: str, text: str, words: int, radius: int) -> DataFrame:
+    """One row per input row: key, digest of the text, fp, component_id."""
+    rows = written(docs.select(F.col(key).alias("key"), F.xxhash64(text).alias("digest"),
+                               fingerprint_column(words)(F.col(text)).alias("fp")), "simhash-fingerprints")
     lowest = written(rows.groupBy("fp").agg(F.min("key").alias("low")), "simhash-distinct")
     found = connected_components(written(links(lowest.select("fp"), radius), "simhash-links"))
     groups = (lowest.join(found, lowest.fp == found.node, "left")
               .select("fp", "low", F.coalesce("component", "fp").alias("component")))
     named = groups.groupBy("component").agg(F.min("low").alias("component_id"))
     by_fp = groups.join(named, "component").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select(F.col("key").alias(key), "fp", "component_id")
+    return rows.join(by_fp, "fp")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
+                    radius: int = RADIUS) -> DataFrame:
+    """One row per input row: ``key``, ``fp`` (long) and ``component_id``."""
+    return _grouped(docs, key, text, words, radius).select(F.col("key").alias(key), "fp", "component_id")
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS,
                 radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` whose key names their component: one document of each
-    group stays.  Of repeated rows of that key one stays; rows with a null key,
-    which nothing tells apart, all stay."""
-    found = near_duplicates(docs, key, text, words, radius)
-    keep = found.where(F.col(key) == F.col("component_id")).select(F.col(key).alias("_kept")).distinct()
-    mark = free_name(docs, "_kept")
-    keep = keep.withColumnRenamed("_kept", mark)
-    own = docs.join(keep, docs[key] == keep[mark], "left_semi")
-    return own.dropDuplicates([key]).union(docs.where(F.col(key).isNull()))
+    group stays.  Of repeated rows of that key one stays, and if its texts differ
+    one that is in the group; rows with a null key, which nothing tells apart, all
+    stay."""
+    found = _grouped(docs, key, text, words, radius).where("key = component_id")
+    mark, digest = free_name(docs, "_kept"), free_name(docs, "_digest")
+    keep = found.groupBy("key").agg(F.min("digest").alias("digest")).select(F.col("key").alias(mark), F.col("digest").alias("d"))
+    rows = docs.withColumn(digest, F.xxhash64(text))
+    own = rows.join(keep, (rows[key] == keep[mark]) & (rows[digest] == keep["d"]), "left_semi")
+    own = own.dropDuplicates([key, digest]).drop(digest)
+    return own.union(docs.where(F.col(key).isNull()))

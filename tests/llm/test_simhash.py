@@ -103,3 +103,10 @@ def test_odd_rows_and_deduplicate(spark, documents):
     ids = [r.doc_id for r in left.collect()]
     assert ids.count(7) == 1 and ids.count(None) == 1 and 1 in ids and 2 not in ids and 9 not in ids
     assert simhash.deduplicate(docs.limit(0)).count() == 0
+
+
+def test_row_kept_of_a_repeated_key_is_in_its_group(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    docs = spark.createDataFrame([(3, a), (5, a), (5, b), (8, b)], "doc_id long, text string")
+    kept = {(r.doc_id, r.text) for r in simhash.deduplicate(docs).collect()}
+    assert kept == {(3, a), (5, b)}
