@@ -97,7 +97,8 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     """(a, b): each page's url and the url that it names or sends on to."""
     hint = F.col(html).rlike(r"(?i)canonical|http-equiv") & F.col(url).contains("://")
     bare = F.regexp_replace(F.col("html"), r"(?is)<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)", " ")
-    tags = F.regexp_extract_all(bare, F.lit(r"""(?is)<(?:link|meta)\b(?:[^>"']|"[^"]*"|'[^']*')*>"""), F.lit(0))
+    # possessive: a repeated group that may go back would take a stack frame a character of a long tag
+    tags = F.regexp_extract_all(bare, F.lit(r"""(?is)<(?:link|meta)\b(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""), F.lit(0))
     tag = F.col("tag")
 
     def value(name: str) -> Column:
@@ -112,7 +113,8 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         "url", F.lower(F.when(kind == "link", value("rel"))).alias("rel"), value("href").alias("href"),
         F.lower(F.when(kind == "meta", value("http-equiv"))).alias("equiv"), value("content").alias("content")),
         "url-values")
-    onward = F.regexp_extract("content", r"(?is)^[^;,]*[;,]\s*url\s*=\s*[\"']?(.*?)[\"']?\s*$", 1)
+    onward = F.trim(F.regexp_extract("content", r"(?is)^[^;,]*[;,]\s*url\s*=\s*(.*)$", 1))
+    onward = F.regexp_replace(onward, r"""^["']|["']$""", "")
     target = (F.when(F.col("rel").rlike(r"(^|\s)canonical(\s|$)"), F.col("href"))
               .when(F.col("equiv") == "refresh", onward))
     links = written(values.select("url", F.trim(_entities(target)).alias("target")), "url-links")
