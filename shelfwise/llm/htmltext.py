@@ -2,7 +2,8 @@
 
 1.  Each page is parsed into a tree of block elements (inline markup is text of
     its block).  Neighbouring siblings of the same label fold into one repeated
-    node, as a list does in a wrapper.
+    node, as a list does in a wrapper; where more than ``WIDEST`` runs of siblings
+    are left, all siblings of one element name fold, which bounds the alignment.
 2.  Per host the folded trees are aligned by simple tree matching (ordered
     alignment of children with the most matching nodes) and merged into a
     wrapper: one tree whose nodes are slots.  The wrapper is learnt from the
@@ -28,6 +29,7 @@ pages get equal texts; an empty table gives no row.  Extra columns are not read.
 from __future__ import annotations
 
 import html as entities
+import itertools
 import json
 import re
 from collections import Counter
@@ -45,6 +47,7 @@ SHAPES = 64  # shapes of a host that its wrapper is learnt from
 LEAST_PAGES = 5  # different pages of a host before a slot can be template
 VARIETY = 0.2  # a slot with at most this share of different texts is template
 BROADCAST_BYTES = 32 << 20
+WIDEST = 100  # runs of equal siblings that are aligned one by one
 DEEPEST = 200  # elements nested deeper belong to the block at this depth
 
 #: Element names of HTML, and the words that sites mark furniture with.
@@ -182,27 +185,30 @@ def _label(name: str, attributes: str, inside: bool) -> tuple[str, bool]:
 def fold(node: Node, leaves: list | None = None, path: tuple = ()) -> list:
     """The folded tree; ``leaves`` gets (path in the folded tree, text leaf)."""
     out: list = []
-    last = None
-    for child in node.children:
-        if child.label == "#":
-            part = ["#", []]
-        else:
-            part = [child.label, []]
-        if last is None or out[-1][0] != part[0]:
-            out.append(part)
-        last = child
-        at = (*path, len(out) - 1)
+    labels = [child.label for child in node.children]
+    wide = sum(a != b for a, b in itertools.pairwise(labels)) >= WIDEST
+    if wide:
+        labels = [label.split(".")[0] for label in labels]
+    places: dict[str, int] = {}
+    for label, child in zip(labels, node.children, strict=True):
+        if label not in places:
+            if not wide:
+                places.clear()  # only neighbours fold
+            places[label] = len(out)
+            out.append([label, []])
+        part = out[places[label]]
+        at = (*path, places[label])
         if child.label == "#":
             if leaves is not None:
                 leaves.append((at, child))
         else:
             own: list = []
             sub = fold(child, own, at)
-            if out[-1][1]:
+            if part[1]:
                 # members of a repeated node share one subtree: align it with what is there
-                moved = merge_children(out[-1][1], sub)
+                moved = merge_children(part[1], sub)
             else:
-                out[-1][1] = sub
+                part[1] = sub
                 moved = None
             if leaves is not None:
                 for where, leaf in own:

@@ -138,3 +138,28 @@ def test_simple_tree_matching():
     assert htmltext._matching(a, b, {}) == brute_matching(a, b) == 4
     pairs = htmltext._align(a[1], b[1], {})
     assert pairs[0] == 3 and len(pairs[1]) == 2
+
+
+def test_very_long_and_unclosed_tags_leave_the_links(spark):
+    meta = "<meta http-equiv=x data=" + "x" * 300_000 + ">"
+    link = '<link rel="canonical" href="http://b.com/de/1">'
+    refresh = "<meta http-equiv='refresh' content=\"0; url='http://example.com/de/2'\">"
+    pages = spark.createDataFrame(
+        [(1, "http://c.com/", meta + refresh), (2, "http://d.com/", "<link rel=canonical " + "y " * 200_000),
+         (3, "http://e.com/", "<link a " * 40_000 + link)], "page_id long, url string, html string")
+    edges = {(r.a, r.b) for r in urlfilter.page_edges(pages).where("a <> b").collect()}
+    assert edges == {("http://c.com/", "http://example.com/de/2"), ("http://e.com/", "http://b.com/de/1")}
+    got = {r.page_id: r.verdict for r in urlfilter.judge(pages).collect()}
+    assert got == {1: "block", 2: "allow", 3: "allow"}
+
+
+def test_very_many_siblings_fold_and_keep_their_texts():
+    blocks = [f"<h2 class=c{i}>title {i}</h2><p>text {i}</p>" for i in range(3_000)]
+    tree = htmltext.parse("<body><article>" + "".join(blocks) + "</article></body>")
+    leaves: list = []
+    shape = htmltext.fold(tree, leaves)
+    assert [leaf.text for _, leaf in leaves] == [f"{kind} {i}" for i in range(3_000) for kind in ("title", "text")]
+    wrapper: list = []
+    htmltext.merge_children(wrapper, shape)
+    placed = htmltext.place(wrapper, shape)
+    assert len({htmltext._slot(placed, path) for path, _ in leaves}) == 2
