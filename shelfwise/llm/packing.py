@@ -38,12 +38,13 @@ from .common import text_runs, written
 
 LENGTH = 4096
 END_ID = 2
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 LONGEST_CACHED = 48  # bytes of a word
 ENCODED_AT_ONCE = 1 << 20  # characters
 JOINED = 256
-# one mark between an ASCII letter or digit and a blank or the end
-_MARK = re.compile(rb"[.,;:!?](?<=[A-Za-z0-9].)(?=\s|\Z)")
+MARKS = '!"#$%&()*+,-./:;=?@[]^_`{}~'  # the apostrophe may belong to what is before it
+# a run of marks between an ASCII letter or digit and a blank or the end
+_MARK = re.compile(rb"[%b](?<=[A-Za-z0-9].)[%b]*+(?=\s|\Z)" % ((re.escape(MARKS).encode(),) * 2))
 
 
 def default_tokenizer() -> str:
@@ -72,24 +73,37 @@ class Encoder:
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+    def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """A word of letters is one piece, and the last id of a piece says so: such
-        words are encoded many at a time and told apart by it."""
-        letters, others = [], []
+        words are encoded many at a time and told apart by it.  A word of letters
+        and the marks after it is encoded in these two parts."""
+        out, parted, letters, others = {}, {}, set(), set()
         for w in words:
-            (letters if len(w) <= LONGEST_CACHED and w.decode().isalpha() else others).append(w)
+            plain = w.decode()
+            stem = plain.rstrip(MARKS)
+            if len(w) > LONGEST_CACHED or not stem.isalpha():
+                others.add(w)
+                continue
+            letters.add(stem.encode())
+            if len(stem) < len(plain):
+                parted[w] = stem.encode(), plain[len(stem):].encode()
+                others.add(parted[w][1])
+        letters = list(letters)
         for at in range(0, len(letters), JOINED):
             part = letters[at:at + JOINED]
             ids = np.frombuffer(self._encode([b" ".join(part).decode()])[0], "<u4")
             cut = np.flatnonzero(self.ends_piece[ids]) + 1
             if len(cut) != len(part):  # some word has more pieces than one
-                others += part
+                others.update(part)
                 continue
             raw, ends = ids.tobytes(), (cut * 4).tolist()
-            yield from zip(part, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True)
+            out.update(zip(part, [raw[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], strict=True))
+        others = list(others)
         for at in range(0, len(others), JOINED):
             part = others[at:at + JOINED]
-            yield from zip(part, self._encode([w.decode() for w in part]), strict=True)
+            out.update(zip(part, self._encode([w.decode() for w in part]), strict=True))
+        out.update((w, out[stem] + out[marks]) for w, (stem, marks) in parted.items())
+        return {w: out[w] for w in words}
 
     def __call__(self, texts: list[str | None]) -> Iterator[bytes]:
         for a, b in text_runs(texts, ENCODED_AT_ONCE):
@@ -108,7 +122,7 @@ class Encoder:
         cache, older = self.cache, self.older
         new = set().union(*split).difference(cache)
         if older:
-            known = new.intersection(older)
+            known = older.keys() & new  # looks up the fewer
             cache.update((w, older[w]) for w in known)
             new -= known
         cache.update(self._encode_words(list(new)))

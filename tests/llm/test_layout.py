@@ -226,7 +226,8 @@ def test_pipeline_run_and_odd_documents(spark, documents, scratch):
 
 
 def test_marks_are_parted_from_words_only_where_the_tokeniser_does():
-    texts = ["Plain words, one mark. And? no! a: b; end.", "runs... of ,, marks?! \"q,\" (a.) [b:]", "3.14 1,000 10:30. 7,",
+    texts = ["a$$$ b.c... d's. (e) f\", g'... x<y>. z|. A9.9% b_c_ d-e- f~~ i'm. don't!!", "é,ü... ß!! 語. ½. ²,, á. ́.",
+             "Plain words, one mark. And? no! a: b; end.", "runs... of ,, marks?! \"q,\" (a.) [b:]", "3.14 1,000 10:30. 7,",
              "naïve, façade. ÉTÉ; 中文,字。", "don't. it's, HELLO, Wor.LD", "<|endoftext|>. <|x|>, Y.", "a.́ b,̸ c.​ d.",
              "x.\x0by,\x0cz.\tw,\nv. ", ",", "", ". a", "a ."]
     path = packing.default_tokenizer()
