@@ -13,9 +13,12 @@
     ``LEAST_PAGES`` different pages is template; a slot whose text varies is
     content.  Pages that are exact copies count once.
 4.  Menus, headers, footers, asides, forms, adverts, notices and comments may vary
-    from page to page; their elements, roles and class or id words mark them as
-    no part of the article whatever the slot says.  If a page has an
-    ``article`` (or ``main``), its text is what stands in there.
+    from page to page; their elements and roles mark them as no part of the
+    article whatever the slot says.  Class and id words do so only outside
+    ``article`` and only for blocks beside the main text: words on blocks of one
+    label that hold half of the text of the articles (else of main, else of the
+    page) or more drop nothing, nor do words that would leave no such text.  If a
+    page has an ``article`` (or ``main``), its text is what stands in there.
 
 Text: character references decoded, white space inside a block one space,
 trimmed, blocks joined by one newline in page order.
@@ -78,10 +81,10 @@ _CAMEL = re.compile(r"([a-z0-9])([A-Z])")
 class Node:
     """A block element, or (label ``#``) a run of text in one."""
 
-    __slots__ = ("children", "dropped", "label", "text")
+    __slots__ = ("children", "dropped", "label", "text", "worded")
 
-    def __init__(self, label: str, dropped: bool = False):
-        self.label, self.dropped, self.children, self.text = label, dropped, [], None
+    def __init__(self, label: str, dropped: bool = False, worded: bool = False):
+        self.label, self.dropped, self.worded, self.children, self.text = label, dropped, worded, [], None
 
 
 def parse(page: str) -> Node:
@@ -90,6 +93,7 @@ def parse(page: str) -> Node:
     root = Node("root")
     stack: list[tuple[str, Node]] = [("root", root)]
     run: list[str] = []
+    marked = False
 
     def close_run() -> None:
         if run:
@@ -147,27 +151,68 @@ def parse(page: str) -> Node:
         if name in ("html", "body") and any(open_name == name for open_name, _ in stack):
             continue
         parent = stack[-1][1]
-        label, dropped = _label(name, attributes, any(x in ("article", "main") for x, _ in stack))
-        node = Node(label, parent.dropped or dropped)
+        label, dropped, worded = _label(name, attributes, {x for x, _ in stack})
+        node = Node(label, parent.dropped or dropped, worded)
+        marked |= worded
         if len(stack) < DEEPEST:
             parent.children.append(node)
             if name not in VOID:
                 stack.append((name, node))
     close_run()
+    if marked:
+        _drop_worded(root)
     return root
 
 
-def _label(name: str, attributes: str, inside: bool) -> tuple[str, bool]:
-    """The label that alignment compares, and whether the element is furniture."""
-    dropped = name in FURNITURE or (name == "header" and not inside)
+def _drop_worded(root: Node) -> None:
+    """Drop the blocks that class or id words mark, but for those that hold the main text."""
+    in_order: list[tuple[Node, int]] = []  # nodes with the place of their parent, parents first
+    todo = [(root, -1)]
+    while todo:
+        node, above = todo.pop()
+        in_order.append((node, above))
+        todo += [(c, len(in_order) - 1) for c in node.children]
+    for wanted in ("article", "main", "root"):
+        inside = [False] * len(in_order)
+        size = [0] * len(in_order)
+        for i, (node, above) in enumerate(in_order):
+            inside[i] = node.label.split(".")[0] == wanted or above >= 0 and inside[above]
+            if node.text and inside[i] and not node.dropped:
+                size[i] = len(node.text)
+        for i in range(len(in_order) - 1, 0, -1):
+            size[in_order[i][1]] += size[i]
+        if size[0]:
+            break
+    else:
+        return
+    held: Counter = Counter()  # a block inside another of its label counts with that
+    names: list[frozenset] = [frozenset()] * len(in_order)
+    for i, (node, above) in enumerate(in_order):
+        names[i] = names[above] if above >= 0 else frozenset()
+        if node.worded and node.label not in names[i]:
+            held[node.label] += size[i]
+            names[i] |= {node.label}
+    gone = [False] * len(in_order)
+    for i, (node, above) in enumerate(in_order):
+        gone[i] = above >= 0 and gone[above] or node.worded and 2 * held[node.label] < size[0]
+    if any(node.text and inside[i] and not node.dropped and not gone[i] for i, (node, _) in enumerate(in_order)):
+        for i, (node, _) in enumerate(in_order):
+            node.dropped |= gone[i]
+
+
+def _label(name: str, attributes: str, above: set[str]) -> tuple[str, bool, bool]:
+    """The label that alignment compares, whether the element is furniture, and
+    whether its class or id words say so."""
+    dropped = name in FURNITURE or (name == "header" and not above & {"article", "main"})
     if not attributes or "=" not in attributes and "hidden" not in attributes:
-        return name, dropped
-    kept = []
+        return name, dropped, False
+    kept, worded = [], False
+    plain = name in ("html", "body", "article", "main") or "article" in above
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
             words = [w for w in _SPLIT.split(_CAMEL.sub(r"\1 \2", value).lower()) if w]
-            dropped |= name not in ("html", "body", "article", "main") and any(w in WORDS for w in words)
+            worded |= not plain and any(w in WORDS for w in words)
             if key == "class":
                 kept += sorted(set(words))
         elif key == "role":
@@ -176,7 +221,7 @@ def _label(name: str, attributes: str, inside: bool) -> tuple[str, bool]:
             dropped = True
         elif key == "style":
             dropped |= "display:none" in value.replace(" ", "").lower()
-    return ".".join([name, *kept[:4]]), dropped
+    return ".".join([name, *kept[:4]]), dropped, worded
 
 
 # A folded tree is (label, [folded children]); its shape is the same as JSON text.

@@ -163,3 +163,23 @@ def test_very_many_siblings_fold_and_keep_their_texts():
     htmltext.merge_children(wrapper, shape)
     placed = htmltext.place(wrapper, shape)
     assert len({htmltext._slot(placed, path) for path, _ in leaves}) == 2
+
+
+def main_text(page: str) -> str:
+    """The text of a page that is alone on its host."""
+    out = next(htmltext._extracted(iter([pd.DataFrame(
+        {"key": [1], "url": ["u"], "host": ["h"], "html": [page], "wrapper": [None], "template": [None]})])))
+    return out["text"][0]
+
+
+def test_class_words_do_not_drop_the_main_text():
+    body = "<p>One long story</p><p>that goes on</p>"
+    want = "One long story\nthat goes on"
+    assert main_text(f"<div class='layout has-sidebar'><article>{body}</article><div class=ads>buy</div></div>") == want
+    assert main_text(f"<article><div class=entry-header><h1>T</h1></div>{body}</article>") == "T\n" + want
+    assert main_text(f"<main><div class=elementor-widget>{body}</div><div class=comments>no</div></main>") == want
+    widgets = "".join(f"<div class='elementor-widget'>{p}</div>" for p in re.findall("<p>.*?</p>", body))
+    assert main_text(f"<div id=menu>a</div>{widgets}<div class=share>b</div>") == want
+    assert main_text("<div class=banner>x</div><div class=widget>y</div><div class=promo>z</div>") == "x\ny\nz"
+    related = "<div class=related><article>other</article></div>"
+    assert main_text(f"<main><article>{body}</article></main>{related}") == want
