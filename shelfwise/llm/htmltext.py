@@ -21,7 +21,9 @@
     page has an ``article`` (or ``main``), its text is what stands in there.
 
 Text: character references decoded, white space inside a block one space,
-trimmed, blocks joined by one newline in page order.
+trimmed, blocks joined by one newline in page order.  Formulas (MathML) are text of
+their block; the content of ``object`` and ``template`` is content.  Drawings
+(``svg``) have no text.  Only an unclosed script or style runs to the page's end.
 
 Defined results: null or empty html, or a page without content, gives an empty
 text; a host with few pages has no template slots; null and odd urls share the
@@ -55,11 +57,15 @@ DEEPEST = 200  # elements nested deeper belong to the block at this depth
 
 #: Element names of HTML, and the words that sites mark furniture with.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "object")
+RAW = ("script", "style", "textarea", "title", "iframe")
+TO_THE_END = ("script", "style")  # without an end tag they run to the page's end
+MATHML = """annotation annotation-xml maction math menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded
+    mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none
+    semantics"""
 INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby
-    s samp small span strike strong sub sup time tt u var wbr""".split())
+    s samp small span strike strong sub sup time tt u var wbr""".split()) | frozenset(MATHML.split())
 FURNITURE = frozenset("""nav aside footer form button select option menu dialog input fieldset head script style textarea
-    title noscript iframe template svg math object""".split())
+    title noscript iframe""".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar "
                   "toolbar".split())
 WORDS = frozenset("""nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead topbar ad ads
@@ -74,6 +80,8 @@ _TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[
                   r"""|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
+_SVG = re.compile(r"""<(/?)svg(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.I)
+_SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/\s*\Z""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"([a-z0-9])([A-Z])")
 
@@ -94,6 +102,8 @@ def parse(page: str) -> Node:
     stack: list[tuple[str, Node]] = [("root", root)]
     run: list[str] = []
     marked = False
+    svgs: dict[int, int] | None = None  # start tags of svg to where the element ends
+    endless: set[str] = set()  # raw elements without an end tag in the rest of the page
 
     def close_run() -> None:
         if run:
@@ -131,9 +141,23 @@ def parse(page: str) -> Node:
                 stack.pop()
             continue
         attributes = m[3] if m[2] else m[6]
+        closed = attributes.endswith("/") and _SELF_CLOSED.search(attributes) is not None
+        if name == "svg":
+            if svgs is None:
+                svgs = _svg_ends(page)
+            at = svgs.get(low, at)
+            continue
         if name in _RAW_END:
-            end = _RAW_END[name].search(page, at)
-            at = end.end() if end else size
+            if not closed and name not in endless:
+                end = _RAW_END[name].search(page, at)
+                if end:
+                    at = end.end()
+                elif name in TO_THE_END:
+                    at = size
+                else:
+                    endless.add(name)
+            continue
+        if closed and name in ("object", "template", "noscript"):
             continue
         if name == "br":
             run.append(" ")
@@ -164,6 +188,19 @@ def parse(page: str) -> Node:
     return root
 
 
+def _svg_ends(page: str) -> dict[int, int]:
+    """Where the svg element of each start tag ends; one without an end tag is empty."""
+    ends: dict[int, int] = {}
+    opened: list[int] = []
+    for m in _SVG.finditer(page):
+        if not m[1]:
+            if not _SELF_CLOSED.search(m[2]):
+                opened.append(m.start())
+        elif opened:
+            ends[opened.pop()] = m.end()
+    return ends
+
+
 def _drop_worded(root: Node) -> None:
     """Drop the blocks that class or id words mark, but for those that hold the main text."""
     in_order: list[tuple[Node, int]] = []  # nodes with the place of their parent, parents first

@@ -183,3 +183,19 @@ def test_class_words_do_not_drop_the_main_text():
     assert main_text("<div class=banner>x</div><div class=widget>y</div><div class=promo>z</div>") == "x\ny\nz"
     related = "<div class=related><article>other</article></div>"
     assert main_text(f"<main><article>{body}</article></main>{related}") == want
+
+
+def test_icons_formulas_and_objects_keep_the_text_after_and_in_them():
+    def text(inner):
+        return main_text(f"<article><p>One</p>{inner}<p>two</p></article>").split("\n")
+
+    for empty in ("<svg class=a href='#x'/>", "<svg/>", "<svg>", "<svg><svg/><path/><svg>x</svg>y</svg>", "<math/>", "<iframe />",
+                  "<iframe src=x>", "<textarea>", "<object data='x'/>", "<template/>", "<noscript/>", "<math><mi></math>",
+                  "<svg><title>icon</title><svg><text>t</text></svg><text>u</text></svg>", "<script src='x' />"):
+        assert text(empty) == ["One", "two"], empty
+    assert text("<p>if <math><mi>x</mi><mo>=</mo><mrow><mn>2</mn></mrow></math> then") == ["One", "if x=2 then", "two"]
+    assert text("<object data=x><p>instead</p><object>nested</object></object>") == ["One", "instead", "nested", "two"]
+    assert text("<template><p>kept</p></template>") == ["One", "kept", "two"]
+    assert text("<iframe src=/a/>gone</iframe><script src=/b/>gone()</script>") == ["One", "two"]
+    assert text("<style>all the rest") == ["One"]
+    assert len(htmltext.parse("<svg><iframe><p>x</p>" * 20_000).children) == 20_000
