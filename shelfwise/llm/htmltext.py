@@ -3,7 +3,8 @@
 1.  Each page is parsed into a tree of block elements (inline markup is text of
     its block).  Neighbouring siblings of the same label fold into one repeated
     node, as a list does in a wrapper; where more than ``WIDEST`` runs of siblings
-    are left, all siblings of one element name fold, which bounds the alignment.
+    are left, labels (but for the numbers in them) of more than ``OFTEN`` siblings
+    fold too, and all others keep their own nodes.
 2.  Per host the folded trees are aligned by simple tree matching (ordered
     alignment of children with the most matching nodes) and merged into a
     wrapper: one tree whose nodes are slots.  The wrapper is learnt from the
@@ -52,7 +53,8 @@ SHAPES = 64  # shapes of a host that its wrapper is learnt from
 LEAST_PAGES = 5  # different pages of a host before a slot can be template
 VARIETY = 0.2  # a slot with at most this share of different texts is template
 BROADCAST_BYTES = 32 << 20
-WIDEST = 100  # runs of equal siblings that are aligned one by one
+WIDEST = 100  # from so many runs of siblings on, labels that recur in them fold
+OFTEN = 8  # siblings of one label that such a list keeps apart
 DEEPEST = 200  # elements nested deeper belong to the block at this depth
 
 #: Element names of HTML, and the words that sites mark furniture with.
@@ -83,6 +85,7 @@ _RAW_END = {name: re.compile(rf"</{name}\s*>", re.I) for name in RAW}
 _SVG = re.compile(r"""<(/?)svg(?=[\s/>])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.I)
 _SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/\s*\Z""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
+_NUMBER = re.compile(r"\d+")
 _CAMEL = re.compile(r"([a-z0-9])([A-Z])")
 
 
@@ -269,17 +272,22 @@ def fold(node: Node, leaves: list | None = None, path: tuple = ()) -> list:
     out: list = []
     labels = [child.label for child in node.children]
     wide = sum(a != b for a, b in itertools.pairwise(labels)) >= WIDEST
-    if wide:
-        labels = [label.split(".")[0] for label in labels]
-    places: dict[str, int] = {}
-    for label, child in zip(labels, node.children, strict=True):
-        if label not in places:
-            if not wide:
-                places.clear()  # only neighbours fold
-            places[label] = len(out)
+    names = [_NUMBER.sub("0", label) for label in labels] if wide else labels
+    often = {name for name, n in Counter(names).items() if n > OFTEN} if wide else frozenset()
+    places: dict[str, int] = {}  # of the labels that fold wherever they stand
+    last = None
+    for label, name, child in zip(labels, names, node.children, strict=True):
+        if name in often:
+            new = name not in places
+            spot = places.setdefault(name, len(out))
+        else:  # only neighbours fold
+            new = label != last
+            spot = len(out) if new else len(out) - 1
+        last = None if name in often else label
+        if new:
             out.append([label, []])
-        part = out[places[label]]
-        at = (*path, places[label])
+        part = out[spot]
+        at = (*path, spot)
         if child.label == "#":
             if leaves is not None:
                 leaves.append((at, child))
@@ -317,27 +325,42 @@ def _matching(a: list, b: list, memo: dict) -> int:
 
 
 def _align(xs: list, ys: list, memo: dict) -> tuple[int, list[tuple[int, int]]]:
-    """The best ordered alignment of two lists of subtrees: its size and pairs."""
-    n, m = len(xs), len(ys)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    weight = {}
-    for i in range(n):
-        for j in range(m):
-            w = _matching(xs[i], ys[j], memo)
-            if w:
-                weight[i, j] = w
-            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + w)
+    """The best ordered alignment of two lists of subtrees: its size and pairs.
+
+    Only pairs of one label can match: the heaviest chain of pairs that rises in
+    both lists, by the best chain up to each place of ``xs`` (a Fenwick tree).
+    """
+    where: dict[str, list[int]] = {}
+    for i, x in enumerate(xs):
+        where.setdefault(x[0], []).append(i)
+    n = len(xs)
+    best: list[tuple[int, int]] = [(0, -1)] * (n + 1)  # weight and last link of the best chain
+    links: list[tuple[int, int, int]] = []  # i, j, link before
+    top = (0, -1)
+    for j, y in enumerate(ys):
+        found = []
+        for i in where.get(y[0], ()):
+            before, k = (0, -1), i
+            while k:
+                if best[k][0] > before[0]:
+                    before = best[k]
+                k &= k - 1
+            found.append((before[0] + _matching(xs[i], y, memo), i, before[1]))
+        for weight, i, link in found:
+            links.append((i, j, link))
+            here, k = (weight, len(links) - 1), i + 1
+            if weight > top[0]:
+                top = here
+            while k <= n:
+                if weight > best[k][0]:
+                    best[k] = here
+                k += k & -k
     pairs = []
-    i, j = n, m
-    while i and j:
-        if (i - 1, j - 1) in weight and best[i][j] == best[i - 1][j - 1] + weight[i - 1, j - 1]:
-            pairs.append((i - 1, j - 1))
-            i, j = i - 1, j - 1
-        elif best[i][j] == best[i - 1][j]:
-            i -= 1
-        else:
-            j -= 1
-    return best[n][m], pairs[::-1]
+    at = top[1]
+    while at >= 0:
+        i, j, at = links[at]
+        pairs.append((i, j))
+    return top[0], pairs[::-1]
 
 
 def merge_children(into: list, other: list) -> list:

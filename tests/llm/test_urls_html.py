@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+import itertools
+import random
 import re
 
 import duckdb
@@ -199,3 +201,37 @@ def test_icons_formulas_and_objects_keep_the_text_after_and_in_them():
     assert text("<iframe src=/a/>gone</iframe><script src=/b/>gone()</script>") == ["One", "two"]
     assert text("<style>all the rest") == ["One"]
     assert len(htmltext.parse("<svg><iframe><p>x</p>" * 20_000).children) == 20_000
+
+
+def test_alignment_is_the_best_one():
+    rng = random.Random(3)
+
+    def tree(depth):
+        return [rng.choice("abc"), [tree(depth - 1) for _ in range(rng.randrange(5))] if depth else []]
+
+    for _ in range(300):
+        a, b = ["r", [tree(2) for _ in range(5)]], ["r", [tree(2) for _ in range(6)]]
+        assert htmltext._matching(a, b, {}) == brute_matching(a, b)
+        size, pairs = htmltext._align(a[1], b[1], {})
+        assert size == sum(brute_matching(a[1][i], b[1][j]) for i, j in pairs)
+        assert all(i < k and j < m for (i, j), (k, m) in itertools.pairwise(pairs))
+
+
+def test_long_page_in_the_wrapper_of_short_ones(spark):
+    """No mark anywhere: the same blocks are template on a page of very many siblings."""
+    def page(n, name):
+        parts = "".join(f"<h2>{name} title {i}</h2><p>{name} text {i}</p>" for i in range(n))
+        return (f"<body><div>Welcome</div><div class=x1><p>Lead {name}</p></div>{parts}<div class=x2><p>Tell others</p>"
+                "</div><div>All rights</div></body>")
+
+    sizes = [3] * 11 + [200]
+    rows = [(i, f"http://one.com/{i}", page(n, f"n{i}")) for i, n in enumerate(sizes)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    for i, n in enumerate(sizes):
+        assert got[i].split("\n") == [f"Lead n{i}", *(f"n{i} {k} {x}" for x in range(n) for k in ("title", "text"))]
+
+
+def test_many_different_siblings_align_in_time():
+    names = [f"div.{a}{b}{c}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij"] * 3
+    xs, ys = [[x, [["#", []]]] for x in names], [[x, [["#", []]]] for x in names[500:]]
+    assert htmltext._align(xs, ys, {})[0] == 2 * len(ys)
