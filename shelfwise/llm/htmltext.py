@@ -7,8 +7,9 @@
     fold too, and all others keep their own nodes.
 2.  Per host the folded trees are aligned by simple tree matching (ordered
     alignment of children with the most matching nodes) and merged into a
-    wrapper: one tree whose nodes are slots.  The wrapper is learnt from the
-    ``SHAPES`` most frequent shapes of the host; every page is aligned with it.
+    wrapper: one tree whose nodes are slots.  The wrapper is learnt from all shapes
+    of the host, ``FAN`` at a time and then the wrappers of these in turn; merging
+    keeps the order of both sides, so that every node of every page has its slot.
 3.  For every slot all pages of the host are counted: how many show it and how
     many different texts it has.  A slot whose text hardly varies over at least
     ``LEAST_PAGES`` different pages is template; a slot whose text varies is
@@ -43,13 +44,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 from .urlfilter import host_of
 
-SHAPES = 64  # shapes of a host that its wrapper is learnt from
+FAN = 64  # shapes, then partial wrappers of a host, that one task merges
 LEAST_PAGES = 5  # different pages of a host before a slot can be template
 VARIETY = 0.2  # a slot with at most this share of different texts is template
 BROADCAST_BYTES = 32 << 20
@@ -377,6 +378,18 @@ def merge_children(into: list, other: list) -> list:
     return moved
 
 
+def _merged(a: list, b: list) -> list:
+    """The shortest wrapper by their best alignment in which both lists of subtrees
+    are found in their order."""
+    out: list = []
+    i = j = 0
+    for k, m in _align(a, b, {})[1]:
+        out += a[i:k] + b[j:m]
+        out.append([a[k][0], _merged(a[k][1], b[m][1])])
+        i, j = k + 1, m + 1
+    return out + a[i:] + b[j:]
+
+
 def _same(children: list) -> list:
     return [(i, _same(c[1])) for i, c in enumerate(children)]
 
@@ -418,15 +431,28 @@ def _shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counted: Counter = Counter()
         for host, page in zip(pdf["host"], pdf["html"], strict=True):
             counted[host, json.dumps(fold(parse(page)))] += 1
-        yield pd.DataFrame([(h, s, n) for (h, s), n in counted.items()], columns=["host", "shape", "n"])
+        yield pd.DataFrame([(h, s, n) for (h, s), n in counted.items()], columns=["host", "wrapper", "n"])
 
 
 def _induce(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One host's wrapper from its most frequent shapes."""
+    """One wrapper from shapes or partial wrappers of a host, the most frequent first."""
     wrapper: list = []
-    for shape in pdf.sort_values(["n", "shape"], ascending=[False, True])["shape"]:
-        merge_children(wrapper, json.loads(shape))
-    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(wrapper)]})
+    for shape in pdf.sort_values(["n", "wrapper"], ascending=[False, True])["wrapper"]:
+        wrapper = _merged(wrapper, json.loads(shape))
+    return pd.DataFrame({"host": [pdf["host"].iloc[0]], "wrapper": [json.dumps(wrapper)], "n": [pdf["n"].sum()]})
+
+
+def induce(shapes: DataFrame) -> DataFrame:
+    """``shapes(host, wrapper, n)`` to one row per host, merged in a tree."""
+    while True:
+        sizes = shapes.groupBy("host").agg(F.count("*").alias("parts"))
+        most = sizes.agg(F.max("parts")).first()[0] or 0
+        tasks = F.ceil(F.col("parts") / FAN)
+        dealt = joined(shapes, sizes).withColumn("task", F.pmod(F.xxhash64("wrapper"), tasks))
+        shapes = written(dealt.select("host", "task", "wrapper", "n").groupBy("host", "task")
+                         .applyInPandas(_induce, "host string, wrapper string, n long"), "html-wrappers")
+        if most <= FAN:
+            return shapes.select("host", "wrapper")
 
 
 def _slot_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -499,11 +525,9 @@ def _articles(tree: Node) -> set[int]:
 def wrappers(pages: DataFrame) -> DataFrame:
     """``pages(host, html)`` to one row per host: wrapper (JSON) and its template slots."""
     some = pages.where("html IS NOT NULL AND html <> ''")
-    shapes = (some.mapInPandas(_shapes, "host string, shape string, n long")
-              .groupBy("host", "shape").agg(F.sum("n").alias("n")))
-    turn = F.row_number().over(Window.partitionBy("host").orderBy(F.desc("n"), "shape"))
-    top = shapes.withColumn("turn", turn).where(F.col("turn") <= SHAPES).select("host", "shape", "n")
-    induced = written(top.groupBy("host").applyInPandas(_induce, "host string, wrapper string"), "html-wrappers")
+    shapes = (some.mapInPandas(_shapes, "host string, wrapper string, n long")
+              .groupBy("host", "wrapper").agg(F.sum("n").alias("n")))
+    induced = induce(written(shapes, "html-shapes"))
     values = (joined(some, induced).select("host", "html", "wrapper")
               .mapInPandas(_slot_texts, "host string, slot string, page long, value long"))
     # equal pages count once; then the values of a slot, then the slots

@@ -235,3 +235,30 @@ def test_many_different_siblings_align_in_time():
     names = [f"div.{a}{b}{c}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghij"] * 3
     xs, ys = [[x, [["#", []]]] for x in names], [[x, [["#", []]]] for x in names[500:]]
     assert htmltext._align(xs, ys, {})[0] == 2 * len(ys)
+
+
+def test_merged_wrappers_hold_every_node_of_every_shape():
+    rng = random.Random(5)
+
+    def forest(depth):
+        return [[rng.choice("abcd"), forest(depth - 1) if depth else []] for _ in range(rng.randrange(5))]
+
+    def whole(placed):
+        return all(at >= 0 and whole(below) for at, below in placed)
+
+    shapes = [forest(2) for _ in range(60)]
+    parts = []
+    for a in range(0, 60, 20):
+        parts.append([])
+        for shape in shapes[a:a + 20]:
+            parts[-1] = htmltext._merged(parts[-1], shape)
+    wrapper = htmltext._merged(htmltext._merged(parts[0], parts[1]), parts[2])
+    assert all(whole(htmltext.place(wrapper, shape)) for shape in shapes)
+
+
+def test_template_of_rare_shapes(spark):
+    """Every page has a shape of its own; a block repeats only in the later ones."""
+    rows = [(i, f"http://one.com/{i}", f"<body><div class=k{i:03}><p>Story {i}</p></div>"
+             + ("<div class=zz><p>Tell others</p></div>" if i >= 100 else "")) for i in range(150)]
+    got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: f"Story {i}" for i in range(150)}
