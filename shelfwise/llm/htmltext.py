@@ -10,10 +10,13 @@
     wrapper: one tree whose nodes are slots.  The wrapper is learnt from all shapes
     of the host, ``FAN`` at a time and then the wrappers of these in turn; merging
     keeps the order of both sides, so that every node of every page has its slot.
-3.  For every slot all pages of the host are counted: how many show it and how
-    many different texts it has.  A slot whose text hardly varies over at least
-    ``LEAST_PAGES`` different pages is template; a slot whose text varies is
-    content.  Pages that are exact copies count once.
+3.  For every slot all pages of the host are counted by their body: the text of the
+    article (else main), else of the page's slots that vary on the host the text in
+    the one with the most different text, or a text that hardly varies if it is longer
+    than all varying text of the page.  A text that stands in a slot with at least
+    1 - ``VARIETY`` of the bodies that show the slot, and these are ``LEAST_PAGES``
+    or more, is template; all other texts are content, be they as few as they may.
+    So copies of one article under changing menus count once, however many they are.
 4.  Menus, headers, footers, asides, forms, adverts, notices and comments may vary
     from page to page; their elements and roles mark them as no part of the
     article whatever the slot says.  Class and id words do so only outside
@@ -51,8 +54,8 @@ from .common import written
 from .urlfilter import host_of
 
 FAN = 64  # shapes, then partial wrappers of a host, that one task merges
-LEAST_PAGES = 5  # different pages of a host before a slot can be template
-VARIETY = 0.2  # a slot with at most this share of different texts is template
+LEAST_PAGES = 5  # different bodies of a host before a slot can be template
+VARIETY = 0.2  # at most this share of a template slot's bodies has another text in it
 BROADCAST_BYTES = 32 << 20
 WIDEST = 100  # from so many runs of siblings on, labels that recur in them fold
 OFTEN = 8  # siblings of one label that such a list keeps apart
@@ -455,11 +458,28 @@ def induce(shapes: DataFrame) -> DataFrame:
             return shapes.select("host", "wrapper")
 
 
+def _by_slot(placed: list, leaves: list) -> dict[str, list[str]]:
+    """The texts of the undropped leaves in each slot."""
+    texts: dict[str, list[str]] = {}
+    for path, leaf in leaves:
+        if not leaf.dropped and (slot := _slot(placed, path)) is not None:
+            texts.setdefault(slot, []).append(leaf.text)
+    return texts
+
+
+def _digest(texts: list[str]) -> int:
+    return xxhash.xxh64_intdigest("\n".join(texts).encode("utf-8", "replace")) >> 1
+
+
+SLOT_TEXTS = "host string, page long, body long, slots array<struct<slot string, value long, size long>>"
+
+
 def _slot_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(host, slot, hash of the slot's text on a page) of undropped slots."""
+    """Per page: digests of its unmarked texts and of its article (null without
+    one), and each slot with the digest and length of its text; equal rows once."""
     known, parsed = Wrappers(), {}
     for pdf in batches:
-        rows: set = set()
+        rows: dict = {}
         for host, page, wrapper in zip(pdf["host"], pdf["html"], pdf["wrapper"], strict=True):
             if not page or wrapper is None:
                 continue
@@ -468,15 +488,16 @@ def _slot_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     parsed.clear()
                 parsed[host] = json.loads(wrapper)
             leaves: list = []
-            placed = known.placed(host, parsed[host], fold(parse(page), leaves))
-            texts: dict[str, list[str]] = {}
-            for path, leaf in leaves:
-                if not leaf.dropped and (slot := _slot(placed, path)) is not None:
-                    texts.setdefault(slot, []).append(leaf.text)
-            own = xxhash.xxh64_intdigest(page.encode("utf-8", "replace")) >> 1
-            rows.update((host, slot, own, xxhash.xxh64_intdigest("\n".join(t).encode("utf-8", "replace")) >> 1)
-                        for slot, t in texts.items())
-        yield pd.DataFrame(list(rows), columns=["host", "slot", "page", "value"])
+            tree = parse(page)
+            placed = known.placed(host, parsed[host], fold(tree, leaves))
+            slots = sorted((slot, _digest(t), sum(map(len, t))) for slot, t in _by_slot(placed, leaves).items())
+            inside = _articles(tree)
+            body = _digest([leaf.text for _, leaf in leaves if id(leaf) in inside]) if inside else None
+            if slots:
+                own = _digest([f"{slot} {value}" for slot, value, _ in slots])
+                rows[host, own, body] = [{"slot": a, "value": b, "size": c} for a, b, c in slots]
+        out = pd.DataFrame([(*key, slots) for key, slots in rows.items()], columns=["host", "page", "body", "slots"])
+        yield out.astype({"body": "Int64"})
 
 
 def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -497,7 +518,8 @@ def _extracted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         parsed.clear()
                     parsed[host] = json.loads(wrapper)
                 placed = known.placed(host, parsed[host], shape)
-                leaves = [x for x in leaves if _slot(placed, x[0]) not in fixed]
+                drop = {slot for slot, t in _by_slot(placed, leaves).items() if f"{slot} {_digest(t)}" in fixed}
+                leaves = [x for x in leaves if _slot(placed, x[0]) not in drop]
             inside = _articles(tree)
             kept = [leaf for _, leaf in leaves if not leaf.dropped]
             if inside:
@@ -523,21 +545,41 @@ def _articles(tree: Node) -> set[int]:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """``pages(host, html)`` to one row per host: wrapper (JSON) and its template slots."""
+    """``pages(host, html)`` to one row per host: wrapper (JSON) and its template slots with their texts."""
     some = pages.where("html IS NOT NULL AND html <> ''")
     shapes = (some.mapInPandas(_shapes, "host string, wrapper string, n long")
               .groupBy("host", "wrapper").agg(F.sum("n").alias("n")))
     induced = induce(written(shapes, "html-shapes"))
-    values = (joined(some, induced).select("host", "html", "wrapper")
-              .mapInPandas(_slot_texts, "host string, slot string, page long, value long"))
-    # equal pages count once; then the values of a slot, then the slots
-    by_value = (values.distinct().groupBy("host", "slot", "value").agg(F.count("*").alias("pages")))
-    slots = by_value.groupBy("host", "slot").agg(F.sum("pages").alias("pages"), F.count("*").alias("values"))
-    template = (slots.where((F.col("pages") >= LEAST_PAGES) & (F.col("values") <= F.col("pages") * VARIETY))
-                .groupBy("host").agg(F.sort_array(F.collect_set("slot")).alias("template")))  # slots of one wrapper
+    texts = written(joined(some, induced).select("host", "html", "wrapper")
+                    .mapInPandas(_slot_texts, SLOT_TEXTS), "html-slots")
+    facts = joined(texts, _weights(texts)).withColumn("varying", F.expr(
+        "aggregate(slots, 0L, (n, x) -> n + if(weights[x.slot].fixed, 0L, x.size))")).select(
+        "host", F.expr("coalesce(body, array_max(transform(slots, x -> struct(if(weights[x.slot].fixed, x.size, varying), "
+                       "weights[x.slot].own, x.slot, x.value AS value))).value)").alias("body"),
+        F.explode("slots").alias("x"))
+    facts = facts.select("host", "body", "x.slot", "x.value").distinct()
+    # the bodies of a text, those of the slot, then the slots
+    most = (facts.groupBy("host", "slot", "value").agg(F.count("*").alias("bodies"))
+            .groupBy("host", "slot").agg(F.max(F.struct("bodies", "value")).alias("top")))
+    bodies = facts.select("host", "slot", "body").distinct().groupBy("host", "slot").agg(F.count("*").alias("bodies"))
+    template = (most.join(bodies, ["host", "slot"])
+                .where((F.col("bodies") >= LEAST_PAGES) & (F.col("top.bodies") >= F.col("bodies") * (1 - VARIETY)))
+                .groupBy("host").agg(F.sort_array(F.collect_set(F.concat_ws(" ", "slot", "top.value")))
+                                     .alias("template")))  # slots of one wrapper
     return written(induced.join(template, "host", "left"), "html-templates")
 
 
+def _weights(texts: DataFrame) -> DataFrame:
+    """Per host and slot: whether its text hardly varies, and how much different text it has."""
+    rows = texts.select("host", "page", F.explode("slots").alias("x")).select("host", "page", "x.*").distinct()
+    slots = (rows.groupBy("host", "slot", "value").agg(F.max("size").alias("size"), F.count("*").alias("pages"))
+             .groupBy("host", "slot").agg(F.sum("size").alias("own"), F.sum("pages").alias("pages"),
+                                          F.max("pages").alias("top")))
+    fixed = (F.col("pages") >= LEAST_PAGES) & (F.col("top") >= F.col("pages") * (1 - VARIETY))
+    weight = F.struct("slot", F.struct(fixed.alias("fixed"), "own"))
+    return slots.groupBy("host").agg(F.map_from_entries(F.collect_list(weight)).alias("weights"))  # slots of one wrapper
+
+
 def joined(pages: DataFrame, by_host: DataFrame) -> DataFrame:
     """Pages with their host's row: broadcast if that table is small, else an
     ordinary join, whose hot hosts adaptive execution splits."""

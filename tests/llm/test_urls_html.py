@@ -258,7 +258,27 @@ def test_merged_wrappers_hold_every_node_of_every_shape():
 
 def test_template_of_rare_shapes(spark):
     """Every page has a shape of its own; a block repeats only in the later ones."""
-    rows = [(i, f"http://one.com/{i}", f"<body><div class=k{i:03}><p>Story {i}</p></div>"
+    rows = [(i, f"http://one.com/{i}", f"<body><div class=k{i:03}><p>Story {i} is told</p></div>"
              + ("<div class=zz><p>Tell others</p></div>" if i >= 100 else "")) for i in range(150)]
     got = {r.page_id: r.text for r in htmltext.extract(spark.createDataFrame(rows, PAGES)).collect()}
-    assert got == {i: f"Story {i}" for i in range(150)}
+    assert got == {i: f"Story {i} is told" for i in range(150)}
+
+
+def test_copies_under_changing_menus_and_small_vocabularies_stay(spark):
+    def page(host, i, story, inner="div class=x1"):
+        story = f"<{inner}><p>The story {story} is told here at some length, to its end.</p></{inner.split()[0]}>"
+        return (f"http://{host}/{i}", f"<body><div class=x0><p>Menu {i}</p></div>{story}<div class=x2><p>Part {i % 4}</p>"
+                "</div><div class=x3><p>All rights</p></div></body>")
+
+    pages = [page("copies.com", i, "A" if i < 40 else f"n{i}") for i in range(48)]
+    pages += [page("one.com", i, "A") for i in range(9)]
+    pages += [page("marked.com", i, "A", "article") for i in range(30)]
+    pages += [page("many.com", i, f"n{i}") for i in range(100)]
+    frame = spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], PAGES)
+    got = {r.url: r.text.split("\n") for r in htmltext.extract(frame).collect()}
+    assert len(got) == len(pages)
+    for url, html_text in pages:
+        story = re.search("The story.*?end[.]", html_text)[0]
+        assert story in got[url], url
+        assert ("All rights" in got[url]) == ("one.com" in url)
+        assert "marked.com" in url or got[url][2] == f"Part {int(url.split('/')[-1]) % 4}"
