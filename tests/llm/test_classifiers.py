@@ -148,3 +148,32 @@ def test_toxicity_odd_rows(spark, documents):
 def test_small_tables_run(spark):
     n = spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     assert E.queries()["op9_toxicity"](spark, SF_SMALL).count() == n
+
+
+def test_language_model_in_tables_equals_the_gathered_one(spark, documents, monkeypatch):
+    docs = odd_documents(documents)
+    rows = "doc_id", "held_out", "_prediction.*"
+    gathered = langid.identify(docs)
+    want = sorted(gathered.select(*rows).collect(), key=str)
+    monkeypatch.setattr(langid, "MODEL_BYTES", 0)
+    tabled = langid.identify(docs)
+    got = sorted(tabled.select(*rows).collect(), key=str)
+    assert tabled.columns == gathered.columns and len(got) == len(want)
+    for a, b in zip(sorted(got, key=lambda r: (str(r.doc_id), r.score)), sorted(want, key=lambda r: (str(r.doc_id), r.score)),
+                    strict=True):
+        assert (a.doc_id, a.held_out, a.lang_pred, a.rejected) == (b.doc_id, b.held_out, b.lang_pred, b.rejected)
+        assert a.score == pytest.approx(b.score) and (a.cross_entropy or 0) == pytest.approx(
+            0 if b.cross_entropy is None or math.isnan(b.cross_entropy) else b.cross_entropy)
+
+
+def test_millions_of_grams_leave_foreign_text_unseen(spark, documents):
+    """1.5 million distinct grams of one language say nothing about another's text."""
+    rng = np.random.default_rng(4)
+
+    def text(first, last, n):
+        return "".join(map(chr, rng.integers(first, last, n)))
+
+    docs = documents([(i, text(0x4E00, 0x8000, 5_000), "zh", "s") for i in range(600)]
+                     + [(1_000 + i, text(97, 123, 100), "en", "s") for i in range(60)])
+    got = langid.identify(docs).select("lang", "prediction.lang_pred").groupBy("lang", "lang_pred").count().collect()
+    assert sorted(map(tuple, got)) == [("en", "en", 60), ("zh", "zh", 600)]
