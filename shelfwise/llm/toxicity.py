@@ -219,8 +219,7 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
                                     "label": part["label"], "features": [x.astype(np.uint32).view(np.int32) for x in
                                                                       feature_sets(part["text"].tolist())]})
 
-    # the sample has MAX_POSITIVE + MAX_NEGATIVE rows of three numbers at most, in expectation
-    rows = (docs.join(F.broadcast(chosen), "key")
+    rows = (_one_of_each_key(docs, chosen)
             .mapInPandas(features, "shard long, turn long, label int, features array<int>"))
     learned = rows.groupBy("shard").applyInPandas(_learn_shard, "place long, weight double")
     got = learned.groupBy("place").agg((F.sum("weight") / shards).alias("weight")).toPandas()
@@ -232,6 +231,14 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
     return places[order], got["weight"].to_numpy(float)[order], intercept + math.log(keep[0] / keep[1])
 
 
+def _one_of_each_key(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One document of each chosen key, that with the least hash of its text; a key
+    of very many rows is reduced where these are read."""
+    # the sample has MAX_POSITIVE + MAX_NEGATIVE rows of three numbers at most, in expectation
+    return (docs.join(F.broadcast(chosen), "key").groupBy("key", "turn", "label")
+            .agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+
+
 def predictor(spark, model):
     """A column function: text to the probability of label 1."""
     shared = spark.sparkContext.broadcast(model)

@@ -177,3 +177,16 @@ def test_millions_of_grams_leave_foreign_text_unseen(spark, documents):
                      + [(1_000 + i, text(97, 123, 100), "en", "s") for i in range(60)])
     got = langid.identify(docs).select("lang", "prediction.lang_pred").groupBy("lang", "lang_pred").count().collect()
     assert sorted(map(tuple, got)) == [("en", "en", 60), ("zh", "zh", 600)]
+
+
+def test_samples_are_not_swamped_by_a_hot_key_or_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(2_000)] + [(8, "x"), (9, None), (10, "y")],
+                                 "key long, text string")
+    chosen = spark.createDataFrame([(k, k, 1) for k in (7, 8, 9)], "key long, turn long, label int")
+    assert sorted(r.key for r in toxicity._one_of_each_key(docs, chosen).collect()) == [7, 8, 9]
+    monkeypatch.setattr(langid, "CALIBRATION_ROWS", 200)
+    copies = spark.createDataFrame([(i, "the same", "en") for i in range(2_000)] + [(5_000, "again", "en")] * 1_000,
+                                   "key long, text string, lang string")
+    drawn = langid._calibration_rows(copies).collect()
+    assert 80 < sum(r.text == "the same" for r in drawn) < 190 and sum(r.text == "again" for r in drawn) <= 1
+    assert langid._calibration_rows(copies.limit(0)).count() == 0
