@@ -190,3 +190,13 @@ def test_samples_are_not_swamped_by_a_hot_key_or_text(spark, monkeypatch):
     drawn = langid._calibration_rows(copies).collect()
     assert 80 < sum(r.text == "the same" for r in drawn) < 190 and sum(r.text == "again" for r in drawn) <= 1
     assert langid._calibration_rows(copies.limit(0)).count() == 0
+
+
+def test_grams_that_never_occurred_count_as_unseen(spark, monkeypatch):
+    """Latin letters in a model of 0.3 million distinct grams of another script."""
+    monkeypatch.setattr(langid, "MODEL_BYTES", 1 << 40, raising=False)
+    rng = np.random.default_rng(4)
+    rows = [("".join(map(chr, rng.integers(0x4E00, 0x8000, 5_000))), "zh") for _ in range(60)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    keys, _, _ = langid._keys(["".join(map(chr, rng.integers(97, 123, 2_000)))])
+    assert model.log_probs(keys)[langid.ORDER - 1:-1].max() < math.log(1 / (1 << langid.SYMBOL_BITS))
