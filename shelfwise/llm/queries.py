@@ -11,11 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import htmltext, langid, mixing, neighbours, packing, sharding, simhash, toxicity, urlfilter, vafile
+from . import (fillmiddle, htmltext, langid, mixing, neighbours, packing, periods, sharding, simhash, tokencounts, toxicity,
+               urlfilter, vafile)
 from .common import ship, table
 
 #: Searches ask for this many neighbours of every row whose id the step divides.
 TOP, QUERY_STEP = 20, 20
+#: Texts of more tokens are over the limit.
+TOKEN_LIMIT = 2048
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,3 +96,29 @@ def op9(spark, sf_dir):
 @register("op10_va_file")
 def op10(spark, sf_dir):
     return vafile.search(table(spark, sf_dir, "embeddings"), lambda c: c % QUERY_STEP == 0, TOP)
+
+
+@register("op11_token_counts")
+def op11(spark, sf_dir):
+    counts = tokencounts.stored(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@register("op12_fill_in_middle", fillmiddle.oracle_sql())
+def op12(spark, sf_dir):
+    return fillmiddle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periods.periodic_runs(docs, text=periods.planted(F.col("doc_id"), F.col("text")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    ).select("doc_id", "n_runs", (-F.col("best.col2")).alias("start"), F.col("best.length").alias("length"),
+             (-F.col("best.col3")).alias("period"), F.expr("1000 * best.length div -best.col3").alias("exponent_milli"),
+             "runs_sha256", "collapsed_sha256")
