@@ -386,7 +386,10 @@ class PrefixCounter:
             held.push(symbols[n:])
             before = symbols
             total = [held.total[e] for e in ends] if ends else held.total
-            self.pieces[p] = bytes([b - a & 255 for a, b in itertools.pairwise(total)])
+            steps = [b - a for a, b in itertools.pairwise(total)]
+            if len(steps) > 127 and max(map(abs, steps)) > 127:
+                raise OverflowError(f"neighbouring prefixes of a piece of {len(p)} characters differ by over 127 tokens")
+            self.pieces[p] = bytes([s & 255 for s in steps])
 
 
 def decoded(steps: bytes) -> np.ndarray:
