@@ -54,18 +54,20 @@ def observed_rejects(observations: dict[str, Observation]) -> list[tuple[str, st
 
 
 def reject_counts(name: str, raw_text: DataFrame) -> DataFrame:
-    """One row per typed column: ``(table_name, column_name, rejected_values)``.
+    """One row per typed column: ``(table_name, column_name, rejected_values)``, and
+    one for the broken records of a scan that marks them.
 
     A single aggregation pass over the table, whatever the column count.
     """
-    typed = [f for f in schemas.RAW_SCHEMAS[name].fields if f.dataType != schemas.S]
-    if not typed:
+    sums = {f.name: F.sum(F.when(rejected(F.col(f"`{f.name}`"), f.dataType), 1).otherwise(0))
+            for f in _typed_fields(name)}
+    if CORRUPT in raw_text.columns:
+        sums[CORRUPT] = F.count(CORRUPT)
+    if not sums:
         return raw_text.sparkSession.createDataFrame(
             [], "table_name string, column_name string, rejected_values long")
-    sums = raw_text.agg(*[
-        F.coalesce(F.sum(F.when(rejected(F.col(f"`{f.name}`"), f.dataType), 1).otherwise(0)),
-                   F.lit(0)).cast("long").alias(f.name) for f in typed])
-    stacked = ", ".join(f"'{f.name}', `{f.name}`" for f in typed)
-    return sums.selectExpr(
+    counted = raw_text.agg(*[F.coalesce(n, F.lit(0)).cast("long").alias(c) for c, n in sums.items()])
+    stacked = ", ".join(f"'{c}', `{c}`" for c in sums)
+    return counted.selectExpr(
         f"'{name}' AS table_name",
-        f"stack({len(typed)}, {stacked}) AS (column_name, rejected_values)")
+        f"stack({len(sums)}, {stacked}) AS (column_name, rejected_values)")

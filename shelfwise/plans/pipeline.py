@@ -48,7 +48,7 @@ def stage_driver_tables(spark: SparkSession, sf_dir: str, raw_root: str,
 
 
 def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = False,
-              snapshot: _dt.date | str | None = None
+              snapshot: _dt.date | str | None = None, multi_line: bool = True
               ) -> dict[str, DataFrame]:
     """Raw text -> try-cast conform -> dds Parquet (+ CSV); returns the
     written tables.
@@ -57,7 +57,7 @@ def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = False,
     during the same write (observed metrics) and saved as the small dataset
     ``{dds}/_rejects`` (table_name, column_name, rejected_values).
     """
-    observed = {n: conform_observed(n, df) for n, df in load_raw(spark, paths, typed=False).items()}
+    observed = {n: conform_observed(n, df) for n, df in load_raw(spark, paths, typed=False, multi_line=multi_line).items()}
     written = write_layer(spark, {n: df for n, (df, _) in observed.items()},
                           paths.dds, export_csv, snapshot=snapshot)
     rejects = observed_rejects({n: obs for n, (_, obs) in observed.items()})
@@ -89,15 +89,15 @@ def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = N
         vocab: Vocabulary = SOURCE_VOCAB, export_csv: bool = False,
         sort: bool = False, warehouse_root: str | None = None,
         load_warehouse: bool = False, warehouse_source: str = "parquet",
-        snapshot: _dt.date | str | None = None, checks: bool = False, source_root: str | None = None
-        ) -> dict[str, dict[str, DataFrame]]:
+        snapshot: _dt.date | str | None = None, checks: bool = False, source_root: str | None = None,
+        multi_line: bool = True) -> dict[str, dict[str, DataFrame]]:
     """One daily run; with ``source_root`` the sources are landed first, and a
     missing one fails the run (the raw zone may still hold an older copy)."""
     if source_root:
         missing = [n for n, status in land_raw(spark, source_root, paths.raw).items() if status != "landed"]
         if missing:
             raise FileNotFoundError(f"no source for {', '.join(sorted(missing))} under {source_root}")
-    dds = build_dds(spark, paths, export_csv, snapshot)
+    dds = build_dds(spark, paths, export_csv, snapshot, multi_line)
     dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, sort, snapshot)
     if checks:
         dm = {**dm, "_checks": build_checks(spark, dds, paths)}
@@ -116,6 +116,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--vocab", choices=("source", "adapter"), default="source")
     p.add_argument("--csv", action="store_true", help="also export the layers as CSV")
     p.add_argument("--source", help="land {source}/{table}.csv into the raw layer first; a missing table fails")
+    p.add_argument("--single-line", action="store_true",
+                   help="no field of the source holds a line break: large files are read by many tasks")
     p.add_argument("--sort", action="store_true", help="globally sort the sorted marts before writing")
     p.add_argument("--load-warehouse", action="store_true")
     p.add_argument("--warehouse-root")
@@ -139,7 +141,7 @@ def main(argv: list[str] | None = None) -> None:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
             export_csv=a.csv, sort=a.sort, source_root=a.source,
             warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse,
-            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks)
+            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks, multi_line=not a.single_line)
     finally:
         spark.stop()
 

@@ -233,14 +233,25 @@ def _rejects_sql() -> str:
                 f"TRY_CAST(CASE WHEN RIGHT(CAST({key} AS VARCHAR), 1) = '{digit}' THEN 'x' ELSE '' END "
                 f"|| CAST({c} AS VARCHAR) AS {_DUCK_TYPES[kind]}) IS NULL "
                 f"THEN 1 ELSE 0 END), 0) AS BIGINT) AS rejected_values FROM {src} s")
+        parts.append(f"SELECT '{name}' AS table_name, '_corrupt_record' AS column_name, COUNT(*) AS rejected_values "
+                     "FROM nation")
     return O.with_ctes("\nUNION ALL\n".join(parts))
 
 
+def _broken_part(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lines of one more part: a header, and a record of two fields per nation."""
+    header = spark.range(1).select(F.lit(",".join(schemas.RAW_SCHEMAS[name].fieldNames())).alias("value"))
+    return header.union(spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.lit(",").alias("value"))).coalesce(1)
+
+
 @register("conform_rejects", _rejects_sql())
 def conform_rejects(spark, sf_dir):
-    root = scratch_uri(spark, "rejects")
+    """Spoilt values and broken records of landed sources: counted, not lost."""
+    source, root = scratch_uri(spark, "rejects-source"), scratch_uri(spark, "rejects")
     for n in schemas.SOURCE_TABLES:
-        files.write_csv(_spoilt(n, adapters.source_table(spark, sf_dir, n, conformed=False)), raw_uri(root, n))
+        files.write_csv(_spoilt(n, adapters.source_table(spark, sf_dir, n, conformed=False)), raw_uri(source, n))
+        _broken_part(spark, sf_dir, n).write.mode("append").text(raw_uri(source, n))
+    land_raw(spark, source, root)
     return _union([reject_counts(n, scan_table(spark, root, n, typed=False))
                    for n in schemas.SOURCE_TABLES])
 

@@ -6,12 +6,17 @@ runs, and Catalyst prunes the CSV read to the columns a plan uses.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
 from ..config import LayerPaths
+from .parts import header_groups
 
 # Header on; dates ``yyyy-MM-dd``; timestamps in ISO form with ``T`` or a
 # space (Spark's default parser takes both).  A quote in a value is doubled,
@@ -21,7 +26,8 @@ CSV_OPTIONS = {"header": "true", "escape": '"', "ignoreLeadingWhiteSpace": "fals
                "ignoreTrailingWhiteSpace": "false"}
 
 # What the parser returns for a quoted empty field; ``_restored`` makes it ''.
-_EMPTY = "\u0001"
+# Drawn anew by each application, so no source can hold it.
+_EMPTY = uuid.uuid4().hex
 
 CORRUPT = "_corrupt_record"
 
@@ -43,7 +49,8 @@ def read_csv(spark: SparkSession, uri: str, schema: T.StructType | None = None,
     """Read CSV with a header.
 
     Columns bind by position, as a ``COPY ... CSV HEADER`` load does, or with
-    ``by_name`` by the header: a missing or unknown column raises.  Without a
+    ``by_name`` by the header of each part: parts with another order of columns are
+    scanned apart, and a missing or unknown column raises and names the part.  Without a
     schema all columns are text (``infer=True``: inferred, two more jobs).
     ``corrupt`` adds the text of a record with too few or too many fields as
     ``_corrupt_record``.
@@ -57,22 +64,21 @@ def read_csv(spark: SparkSession, uri: str, schema: T.StructType | None = None,
         reader = reader.option("pathGlobFilter", "*.csv")
     if schema is None:
         return _restored(reader.option("inferSchema", str(infer).lower()).csv(uri))
-    if by_name:
-        header = reader.csv(uri).columns
-        if header:
-            if sorted(header) != sorted(schema.fieldNames()):
-                raise ValueError(f"{uri}: header {header} does not name the columns {schema.fieldNames()}")
-            order = T.StructType([schema[c] for c in header])
-        else:
-            order = schema
-    else:
-        order = schema
-    read = order
     if corrupt:
-        read = T.StructType([*order.fields, T.StructField(CORRUPT, T.StringType())])
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    out = _restored(reader.schema(read).csv(uri))
-    return out.select(*schema.fieldNames(), *([CORRUPT] if corrupt else []))
+    added = [T.StructField(CORRUPT, T.StringType())] if corrupt else []
+
+    def scan(columns: Sequence[str], paths: str | list[str]) -> DataFrame:
+        order = T.StructType([*(schema[c] for c in columns), *added])
+        return _restored(reader.schema(order).csv(paths)).select(*schema.fieldNames(), *([CORRUPT] if corrupt else []))
+
+    groups = header_groups(spark, uri, csv_only) if by_name else {}
+    for header, paths in groups.items():
+        if sorted(header) != sorted(schema.fieldNames()):
+            raise ValueError(f"{paths[0]}: header {list(header)} does not name the columns {schema.fieldNames()}")
+    if len(groups) < 2:
+        return scan(next(iter(groups), schema.fieldNames()), uri)
+    return reduce(DataFrame.unionByName, [scan(header, paths) for header, paths in groups.items()])
 
 
 def scan_table(spark: SparkSession, raw_root: str, name: str, typed: bool = True,
@@ -89,10 +95,12 @@ def scan_inferred(spark: SparkSession, raw_root: str, name: str) -> DataFrame:
     return read_csv(spark, raw_uri(raw_root, name), infer=True)
 
 
-def load_raw(spark: SparkSession, paths: LayerPaths | str, typed: bool = True) -> dict[str, DataFrame]:
-    """All six raw tables as a lazy ``{name: DataFrame}`` bundle."""
+def load_raw(spark: SparkSession, paths: LayerPaths | str, typed: bool = True,
+             multi_line: bool = True) -> dict[str, DataFrame]:
+    """All six raw tables as a lazy ``{name: DataFrame}`` bundle.  Without
+    ``multi_line`` large files are read by many tasks (see ``read_csv``)."""
     root = paths.raw if isinstance(paths, LayerPaths) else paths
-    return {n: scan_table(spark, root, n, typed) for n in schemas.SOURCE_TABLES}
+    return {n: scan_table(spark, root, n, typed, multi_line) for n in schemas.SOURCE_TABLES}
 
 
 def read_csv_export(spark: SparkSession, uri: str, schema: T.StructType) -> DataFrame:
