@@ -24,6 +24,7 @@ from ..operators.conform import conform_observed, observed_rejects
 from ..operators.rules import rule_summary
 from ..actions import run_concurrently
 from ..sinks.files import write_csv, write_layer, write_parquet
+from ..sinks.publish import publish_layers
 from ..sinks.warehouse import load_layers
 from ..sources import adapters
 from ..sources.csv_scan import load_raw, raw_uri
@@ -90,7 +91,8 @@ def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = N
         sort: bool = False, warehouse_root: str | None = None,
         load_warehouse: bool = False, warehouse_source: str = "parquet",
         snapshot: _dt.date | str | None = None, checks: bool = False, source_root: str | None = None,
-        multi_line: bool = True) -> dict[str, dict[str, DataFrame]]:
+        multi_line: bool = True, max_rejects: int | None = 0, publish: bool = False
+        ) -> dict[str, dict[str, DataFrame]]:
     """One daily run; with ``source_root`` the sources are landed first, and a
     missing one fails the run (the raw zone may still hold an older copy)."""
     if source_root:
@@ -104,7 +106,9 @@ def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = N
     if load_warehouse:
         if warehouse_source == "csv" and not export_csv:
             raise ValueError("a warehouse load from CSV needs the CSV exports")
-        load_layers(spark, paths, warehouse_root, source=warehouse_source, snapshot=snapshot)
+        load = publish_layers if publish else load_layers
+        load(spark, paths, warehouse_root, source=warehouse_source, snapshot=snapshot, max_rejects=max_rejects,
+             multi_line=multi_line)
     return {"dds": dds, "dm": dm}
 
 
@@ -121,6 +125,10 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--sort", action="store_true", help="globally sort the sorted marts before writing")
     p.add_argument("--load-warehouse", action="store_true")
     p.add_argument("--warehouse-root")
+    p.add_argument("--publish", action="store_true",
+                   help="load a new generation of the warehouse and switch all its tables at once")
+    p.add_argument("--max-rejects", type=int, default=0,
+                   help="values of the raw files that may fail to convert in a warehouse load (-1: any number)")
     p.add_argument("--warehouse-source", choices=("parquet", "csv"), default="parquet")
     p.add_argument("--snapshot-date", help="keep history: partition Parquet layers by this day")
     p.add_argument("--checks", action="store_true", help="write the data-rule summary {dm}/_checks")
@@ -141,7 +149,8 @@ def main(argv: list[str] | None = None) -> None:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
             export_csv=a.csv, sort=a.sort, source_root=a.source,
             warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse,
-            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks, multi_line=not a.single_line)
+            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks, multi_line=not a.single_line, publish=a.publish,
+            max_rejects=None if a.max_rejects < 0 else a.max_rejects)
     finally:
         spark.stop()
 

@@ -24,8 +24,8 @@ from ..operators import rules
 from ..operators.conform import conform, reject_counts
 from ..operators.digest import column_digest
 from ..operators.joins import enrich
-from ..sinks import files
-from ..sinks.warehouse import WAREHOUSE_LAYERS, load_layers
+from ..sinks import files, publish
+from ..sinks.warehouse import WAREHOUSE_LAYERS, layer_sources, load_layers
 from ..sources import adapters
 from ..sources.csv_scan import load_raw, raw_uri, read_csv_export, scan_inferred, scan_table
 from ..sources.landing import land_raw, probe_source
@@ -175,17 +175,48 @@ _WAREHOUSE_SQL = O.with_ctes("\nUNION ALL\n".join([
     O.mart_digests("table_name", layer="dm")]), O.MART_CTES)
 
 
+def _of_own_databases(spark: SparkSession, load: Callable[[str], list[str]]) -> DataFrame:
+    """Digests of all warehouse tables after ``load(prefix)``.  The databases are the
+    query's own, since a shared catalog keeps what it has, and go once the digests
+    (a row per column) are written."""
+    prefix = f"shelfwise_check_{uuid.uuid4().hex[:12]}_"
+    names = {"dds_stg": schemas.SOURCE_TABLES, "dds": schemas.SOURCE_TABLES, "dm": schemas.MART_NAMES}
+    try:
+        load(prefix)
+        found = _union([
+            _digests({n: spark.table(f"`{prefix}{layer}`.`{n}`") for n in names[layer]}, "table_name", layer=layer)
+            for layer in WAREHOUSE_LAYERS])
+        uri = files.write_parquet(found.coalesce(1), scratch_uri(spark, "warehouse-digests"))
+        return spark.read.schema(found.schema).parquet(uri)
+    finally:
+        for layer in WAREHOUSE_LAYERS:
+            spark.sql(f"DROP DATABASE IF EXISTS `{prefix}{layer}` CASCADE")
+
+
 @register("warehouse_load", _WAREHOUSE_SQL)
 def warehouse_load(spark, sf_dir):
     paths = _layers(spark, sf_dir)
     build_dm(spark, build_dds(spark, paths), paths, as_of=AS_OF, vocab=V)
-    # databases of its own: a shared catalog keeps what it has
-    prefix = f"shelfwise_check_{uuid.uuid4().hex[:12]}_"
-    load_layers(spark, paths, warehouse_root=scratch_uri(spark, "warehouse"), prefix=prefix)
-    names = {"dds_stg": schemas.SOURCE_TABLES, "dds": schemas.SOURCE_TABLES, "dm": schemas.MART_NAMES}
-    return _union([
-        _digests({n: spark.table(f"`{prefix}{layer}`.`{n}`") for n in names[layer]}, "table_name", layer=layer)
-        for layer in WAREHOUSE_LAYERS])
+    root = scratch_uri(spark, "warehouse")
+    return _of_own_databases(spark, lambda prefix: load_layers(spark, paths, warehouse_root=root, prefix=prefix))
+
+
+@register("warehouse_publish", _WAREHOUSE_SQL)
+def warehouse_publish(spark, sf_dir):
+    """All 17 tables as generations: a first one without rows, for which the views are
+    made, and the second, which they show after its switch."""
+    paths = _layers(spark, sf_dir)
+    build_dm(spark, build_dds(spark, paths), paths, as_of=AS_OF, vocab=V)
+    root = scratch_uri(spark, "published")
+    sources = layer_sources(spark, paths)
+    publish.publish(spark, {layer: {n: (df.limit(0), schema) for n, (df, schema) in held.items()}
+                            for layer, held in sources.items()}, root)
+
+    def load(prefix: str) -> list[str]:
+        views = publish.create_views(spark, sources, root, prefix)
+        publish.publish(spark, sources, root)
+        return views
+    return _of_own_databases(spark, load)
 
 
 # --- 2.3 conform, projections, predicates -------------------------------------

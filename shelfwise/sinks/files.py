@@ -10,12 +10,14 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..actions import run_concurrently
 from ..sources.csv_scan import CSV_OPTIONS
+from ..sources.parts import FILES_DDL, SourceFile, check_copies, describe
 
 SNAPSHOT_COLUMN = "snapshot_date"
 
@@ -31,13 +33,25 @@ def write_parquet(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) ->
     return uri
 
 
-def write_csv(df: DataFrame, uri: str, max_records: int = 0) -> str:
+def write_csv(df: DataFrame, uri: str, max_records: int = 0, manifest: bool = False) -> str:
     """Overwrite a CSV dataset, a header in each part; with ``max_records`` no
-    part has more rows.  Parts are numbered in the order of a sorted frame."""
+    part has more rows.  Parts are numbered in the order of a sorted frame.  With
+    ``manifest`` lines, bytes and checksum of every part are kept beside them."""
     df.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", str(max_records)).csv(uri)
+    if manifest:
+        spark = df.sparkSession
+        rows = [(f.path, f.size, f.n_lines, f.n_bytes, Decimal(f.digest), f.line_end, f.marked) for f in describe(spark, uri)]
+        spark.createDataFrame(rows, FILES_DDL).coalesce(1).write.mode("overwrite").parquet(f"{uri}/_manifest")
     return uri
 
 
+def check_export(spark: SparkSession, uri: str) -> None:
+    """Raise ``OSError`` unless the export's parts are those of its manifest: none
+    lost, altered or added.  An export without a manifest raises ``PATH_NOT_FOUND``."""
+    kept = spark.read.schema(FILES_DDL).parquet(f"{uri}/_manifest").collect()
+    check_copies(spark, [SourceFile(*r[:4], int(r.digest), r.line_end, r.marked) for r in kept], uri)
+
+
 def _has_snapshots(spark: SparkSession, uri: str) -> bool:
     """Whether the dataset has snapshot partitions (a listing, no read)."""
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{uri}/{SNAPSHOT_COLUMN}=*")
@@ -78,7 +92,7 @@ def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
         written = (spark.read.schema(dated.schema).parquet(parquet_uri)
                    .where(F.col(SNAPSHOT_COLUMN) == F.lit(day)).drop(SNAPSHOT_COLUMN))
     if export_csv:
-        write_csv(written, csv_uri, max_records)
+        write_csv(written, csv_uri, max_records, manifest=True)
     return written
 
 

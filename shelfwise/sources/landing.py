@@ -22,15 +22,11 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..actions import run_concurrently
 from .csv_scan import raw_uri, read_csv
-from .parts import SourceFile, check_copies, copy_files
+from .parts import FILES_DDL, SourceFile, check_copies, copy_files
 
 log = logging.getLogger(__name__)
 
 
-LANDED_SCHEMA = ("source_file STRING, size BIGINT, n_lines BIGINT, n_bytes BIGINT, digest DECIMAL(38,0), "
-                 "line_end STRING, marked BOOLEAN")
-
-
 def landed_uri(raw_root: str, name: str) -> str:
     return f"{raw_root.rstrip('/')}/_landed/{name}"
 
@@ -49,7 +45,7 @@ def land_raw(spark: SparkSession, source_root: str, raw_root: str,
             log.warning("source %s not found, skipped", src)
             return "missing"
         rows = [(f.path, f.size, f.n_lines, f.n_bytes, Decimal(f.digest), f.line_end, f.marked) for f in files]
-        spark.createDataFrame(rows, LANDED_SCHEMA).coalesce(1).write.mode("overwrite").parquet(landed_uri(raw_root, name))
+        spark.createDataFrame(rows, FILES_DDL).coalesce(1).write.mode("overwrite").parquet(landed_uri(raw_root, name))
         return "landed"
 
     # independent tables land side by side
@@ -60,9 +56,8 @@ def verify_landed(spark: SparkSession, raw_root: str, tables: tuple[str, ...] =
     """Raise ``OSError`` if a landed table is not what was landed (a part lost,
     added or altered since)."""
     for name in tables:
-        kept = spark.read.schema(LANDED_SCHEMA).parquet(landed_uri(raw_root, name)).collect()
-        check_copies(spark, [SourceFile(r.source_file, r.size, r.n_lines, r.n_bytes, int(r.digest), r.line_end, r.marked)
-                             for r in kept], raw_uri(raw_root, name))
+        kept = spark.read.schema(FILES_DDL).parquet(landed_uri(raw_root, name)).collect()
+        check_copies(spark, [SourceFile(*r[:4], int(r.digest), r.line_end, r.marked) for r in kept], raw_uri(raw_root, name))
 
 
 def peek(df: DataFrame, n: int = 5) -> DataFrame:

@@ -101,6 +101,11 @@ def file_digests(spark: SparkSession, uris: str | list[str]) -> DataFrame:
         F.max_by(F.right("value", F.lit(1)), "line").alias("last_char"), F.max("block").alias("last_block"))
 
 
+#: How descriptions of files are kept.
+FILES_DDL = ("source_file STRING, size BIGINT, n_lines BIGINT, n_bytes BIGINT, digest DECIMAL(38,0), "
+             "line_end STRING, marked BOOLEAN")
+
+
 @dataclass(frozen=True)
 class SourceFile:
     """A file of a source, and what a line-wise copy must know of it."""

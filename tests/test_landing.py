@@ -14,7 +14,7 @@ from shelfwise.config import LayerPaths
 from shelfwise.plans import pipeline
 from shelfwise.sources import parts
 from shelfwise.sources.csv_scan import load_raw, scan_table
-from shelfwise.sources.landing import LANDED_SCHEMA, land_raw, landed_uri, verify_landed
+from shelfwise.sources.landing import land_raw, landed_uri, verify_landed
 
 HEADER = b"location_id,zone,rack,shelf,is_active\n"
 BODIES = {
@@ -65,7 +65,7 @@ def test_a_folder_lands_file_by_file(spark, scratch):
     for _ in range(2):  # a second landing leaves one copy
         land_raw(spark, src, f"{scratch}/raw", ("storage_locations",))
     assert landed_bytes(f"{scratch}/raw") == sorted(BODIES.values())
-    kept = spark.read.schema(LANDED_SCHEMA).parquet(landed_uri(f"{scratch}/raw", "storage_locations")).collect()
+    kept = spark.read.schema(parts.FILES_DDL).parquet(landed_uri(f"{scratch}/raw", "storage_locations")).collect()
     assert {os.path.basename(r.source_file): r.size for r in kept} == {f"{k}.csv": len(v) for k, v in BODIES.items()}
 
 
