@@ -96,6 +96,8 @@ def sizing_conf(input_bytes: int, total_cores: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 << 20),
+        # files and tasks of the advisory size rather than as many as there are cores
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     }
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.conditional import accuracy, flag_count, value_count, value_counts
 from ..vocab import Vocabulary
+from .exact import exact_sum, merged, parts
 
 
 def status_counts(vocab: Vocabulary, *, with_reserve: bool = True) -> dict[str, str]:
@@ -48,18 +49,22 @@ def with_accuracy(counts: DataFrame) -> DataFrame:
         "inventory_accuracy", accuracy("discrepancies", "checked_equipment"))
 
 
-def maintenance_totals(logs: DataFrame, keys: list[str], vocab: Vocabulary) -> DataFrame:
-    """Events, overdue events, hours, cost and last date per key."""
+def maintenance_totals(logs: DataFrame, keys: list[str], vocab: Vocabulary, again: bool = False) -> DataFrame:
+    """Events, overdue events, hours, cost and last date per key.  The sums of
+    doubles are exact; ``again`` leaves them as parts that ``resum`` can add up."""
+    doubles = {"total_duration_hours": "duration_hours", "total_cost": "cost"}
+    sums = [part for name, c in doubles.items() for part in parts(c, name)] if again else [
+        exact_sum(c).alias(name) for name, c in doubles.items()]
     return logs.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("maintenance_events"),
         value_count("maintenance_status", vocab.maint_overdue).alias("overdue_events"),
-        F.sum("duration_hours").alias("total_duration_hours"),
-        F.sum("cost").alias("total_cost"),
-        F.max("maintenance_date").alias("last_maintenance_date"))
+        *sums, F.max("maintenance_date").alias("last_maintenance_date"))
 
 
-def resum(df: DataFrame, keys: list[str], sums: list[str], maxes: tuple[str, ...] = ()) -> DataFrame:
+def resum(df: DataFrame, keys: list[str], sums: list[str], maxes: tuple[str, ...] = (),
+          exact: tuple[str, ...] = ()) -> DataFrame:
     """Re-aggregate partial results after a join: counts and sums add up,
-    maxima take the max, so pre-aggregating before a join is exact."""
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums],
+    maxima take the max, ``exact`` sums merge their parts, so pre-aggregating
+    before a join is exact."""
+    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], *[merged(c) for c in exact],
                                  *[F.max(c).alias(c) for c in maxes])

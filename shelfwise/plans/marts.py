@@ -157,11 +157,11 @@ def maintenance_summary(logs: DataFrame, equipment: DataFrame,
     before the join, and the join's hash partitioning on ``equipment_id``
     serves the final re-aggregation without another exchange.
     """
-    per_asset = agg.maintenance_totals(logs, ["equipment_id"], vocab)
+    per_asset = agg.maintenance_totals(logs, ["equipment_id"], vocab, again=True)
     joined = enrich(per_asset, equipment_category_dim(equipment), "equipment_id", broadcast)
     out = agg.resum(joined, ["equipment_id", "category"],
-                    ["maintenance_events", "overdue_events", "total_duration_hours", "total_cost"],
-                    maxes=("last_maintenance_date",))
+                    ["maintenance_events", "overdue_events"], maxes=("last_maintenance_date",),
+                    exact=("total_duration_hours", "total_cost"))
     return _in_order(out, schemas.MAINTENANCE_SUMMARY)
 
 

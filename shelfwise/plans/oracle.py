@@ -87,6 +87,12 @@ def days_sql(start: str, end: str) -> str:
     return f"CAST(date_diff('day', {start}, {end}) AS INTEGER)"
 
 
+def exact_sum(expr: str) -> str:
+    """The sum of doubles without rounding on the way: whole numbers of 2^-60, and
+    one conversion of their digits."""
+    return f"CAST(CAST(SUM(CAST({expr} * {2.0 ** 60!r} AS HUGEINT)) AS VARCHAR) AS DOUBLE) / {2.0 ** 60!r}"
+
+
 A = AS_OF_SQL
 
 # Mart bodies as CTEs, reused by the digests of layers.
@@ -130,7 +136,7 @@ m_location_utilization AS (
 m_maintenance_summary AS (
   SELECT m.equipment_id, q.category, COUNT(*) AS maintenance_events,
          CAST(SUM(CASE WHEN m.maintenance_status = 'overdue' THEN 1 ELSE 0 END) AS BIGINT) AS overdue_events,
-         SUM(m.duration_hours) AS total_duration_hours, SUM(m.cost) AS total_cost,
+         {exact_sum('m.duration_hours')} AS total_duration_hours, {exact_sum('m.cost')} AS total_cost,
          MAX(m.maintenance_date) AS last_maintenance_date
   FROM maintenance_logs m
   LEFT JOIN (SELECT equipment_id, category FROM equipment) q ON m.equipment_id = q.equipment_id
@@ -205,7 +211,3 @@ def dds_digests(label: str, **fixed: str) -> str:
 
 def mart_digests(label: str, **fixed: str) -> str:
     return "\nUNION ALL\n".join(digest(f"m_{n}", {**fixed, label: n}, s) for n, s in schemas.MART_SCHEMAS.items())
-
-
-def round4(expr: str, alias: str) -> str:
-    return f"ROUND({expr}, 4) AS {alias}"

@@ -73,10 +73,12 @@ def build_dds(spark: SparkSession, paths: LayerPaths, export_csv: bool = False,
 def build_dm(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths,
              as_of: _dt.date | str | None = None, vocab: Vocabulary = SOURCE_VOCAB,
              export_csv: bool = False,
-             sort: bool = False, snapshot: _dt.date | str | None = None) -> dict[str, DataFrame]:
-    """All five marts from the written dds tables -> dm Parquet (+ CSV)."""
+             sort: bool = False, snapshot: _dt.date | str | None = None,
+             rebalance: bool = False) -> dict[str, DataFrame]:
+    """All five marts from the written dds tables -> dm Parquet (+ CSV).
+    ``rebalance`` sizes the files of unsorted marts (see ``write_parquet``)."""
     marts = build_marts(dds, as_of=as_of, vocab=vocab, sort=sort)
-    return write_layer(spark, marts, paths.dm, export_csv, snapshot=snapshot)
+    return write_layer(spark, marts, paths.dm, export_csv, snapshot=snapshot, rebalance=rebalance and not sort)
 
 
 def build_checks(spark: SparkSession, dds: dict[str, DataFrame], paths: LayerPaths) -> DataFrame:
@@ -91,7 +93,7 @@ def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = N
         sort: bool = False, warehouse_root: str | None = None,
         load_warehouse: bool = False, warehouse_source: str = "parquet",
         snapshot: _dt.date | str | None = None, checks: bool = False, source_root: str | None = None,
-        multi_line: bool = True, max_rejects: int | None = 0, publish: bool = False
+        multi_line: bool = True, max_rejects: int | None = 0, publish: bool = False, rebalance: bool = False
         ) -> dict[str, dict[str, DataFrame]]:
     """One daily run; with ``source_root`` the sources are landed first, and a
     missing one fails the run (the raw zone may still hold an older copy)."""
@@ -100,7 +102,7 @@ def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = N
         if missing:
             raise FileNotFoundError(f"no source for {', '.join(sorted(missing))} under {source_root}")
     dds = build_dds(spark, paths, export_csv, snapshot, multi_line)
-    dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, sort, snapshot)
+    dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, sort, snapshot, rebalance)
     if checks:
         dm = {**dm, "_checks": build_checks(spark, dds, paths)}
     if load_warehouse:
@@ -123,6 +125,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--single-line", action="store_true",
                    help="no field of the source holds a line break: large files are read by many tasks")
     p.add_argument("--sort", action="store_true", help="globally sort the sorted marts before writing")
+    p.add_argument("--rebalance", action="store_true",
+                   help="deal the marts out again before writing, for files near the advisory partition size")
     p.add_argument("--load-warehouse", action="store_true")
     p.add_argument("--warehouse-root")
     p.add_argument("--publish", action="store_true",
@@ -149,7 +153,7 @@ def main(argv: list[str] | None = None) -> None:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
             export_csv=a.csv, sort=a.sort, source_root=a.source,
             warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse,
-            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks, multi_line=not a.single_line, publish=a.publish,
+            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks, multi_line=not a.single_line, publish=a.publish, rebalance=a.rebalance,
             max_rejects=None if a.max_rejects < 0 else a.max_rejects)
     finally:
         spark.stop()

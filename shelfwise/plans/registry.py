@@ -24,9 +24,11 @@ from ..operators import rules
 from ..operators.conform import conform, reject_counts
 from ..operators.digest import column_digest
 from ..operators.joins import enrich
+from ..operators.order import order_digest
 from ..sinks import files, publish
 from ..sinks.warehouse import WAREHOUSE_LAYERS, layer_sources, load_layers
 from ..sources import adapters
+from ..sources.contract import type_report
 from ..sources.csv_scan import load_raw, raw_uri, read_csv_export, scan_inferred, scan_table
 from ..sources.landing import land_raw, probe_source
 from ..vocab import ADAPTER_VOCAB as V
@@ -54,11 +56,6 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return adapters.source_table(spark, sf_dir, name)
 
 
-def _round(df: DataFrame, cols: tuple[str, ...], digits: int = 4) -> DataFrame:
-    """Round order-dependent double sums for comparison (query side only)."""
-    return df.withColumns({c: F.round(F.col(c), digits) for c in cols})
-
-
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -287,6 +284,29 @@ def conform_rejects(spark, sf_dir):
                    for n in schemas.SOURCE_TABLES])
 
 
+def _contract_sql() -> str:
+    parts = []
+    for name, schema in schemas.RAW_SCHEMAS.items():
+        src = "(" + O.RAW_MAINTENANCE + ")" if name == "maintenance_logs" else name
+        key = schema.fields[0].name
+        for c, kind, digit in _typed(name):
+            odd = f"COUNT(CASE WHEN RIGHT(CAST({key} AS VARCHAR), 1) = '{digit}' THEN {c} END)"
+            parts.append(f"SELECT '{name}' AS table_name, '{c}' AS column_name, '{kind}' AS declared, "
+                         f"CASE WHEN COUNT({c}) = 0 THEN 'void' WHEN {odd} > 0 THEN 'string' ELSE '{kind}' END AS inferred, "
+                         f"COUNT({c}) AS n_values, {odd} AS n_conflicts FROM {src} s")
+    return O.with_ctes("\nUNION ALL\n".join(parts))
+
+
+@register("scan_contract", _contract_sql())
+def scan_contract(spark, sf_dir):
+    """Typed columns whose values are partly spoilt: named, with the inferred type."""
+    root = scratch_uri(spark, "contract")
+    for n in schemas.SOURCE_TABLES:
+        files.write_csv(_spoilt(n, adapters.source_table(spark, sf_dir, n, conformed=False)), raw_uri(root, n))
+    return _union([type_report(spark, root, n).where("declared <> 'string'").drop("example")
+                   for n in schemas.SOURCE_TABLES])
+
+
 @register("project_employee_dim",
           O.with_ctes("SELECT responsible_person_id, full_name, department, shift FROM employees"))
 def project_employee_dim(spark, sf_dir):
@@ -372,6 +392,16 @@ def join_results_location(spark, sf_dir):
     return enrich(with_session, _t(spark, sf_dir, "storage_locations"), "location_id")
 
 
+@register("join_utilization_location", O.with_ctes(
+    "SELECT a.location_id, a.equipment_count, l.zone, l.rack, l.shelf, l.is_active FROM (SELECT location_id, "
+    "COUNT(*) AS equipment_count FROM equipment GROUP BY location_id) a "
+    "LEFT JOIN storage_locations l ON a.location_id = l.location_id"))
+def join_utilization_location(spark, sf_dir):
+    """M3's join: counts per place, left to the planner to join with the places."""
+    per_place = agg.count_rows(_t(spark, sf_dir, "equipment"), ["location_id"], "equipment_count")
+    return enrich(per_place, _t(spark, sf_dir, "storage_locations"), "location_id", broadcast="auto")
+
+
 @register("join_maintenance_equipment", O.with_ctes(
     "SELECT m.*, q.category FROM maintenance_logs m "
     "LEFT JOIN (SELECT equipment_id, category FROM equipment) q ON m.equipment_id = q.equipment_id"))
@@ -453,12 +483,11 @@ def agg_sum_int(spark, sf_dir):
 
 
 @register("agg_sum_double", O.with_ctes(
-    f"SELECT equipment_id, {O.round4('SUM(duration_hours)', 'total_duration_hours')}, "
-    f"{O.round4('SUM(cost)', 'total_cost')} FROM maintenance_logs GROUP BY equipment_id"))
+    f"SELECT equipment_id, {O.exact_sum('duration_hours')} AS total_duration_hours, "
+    f"{O.exact_sum('cost')} AS total_cost FROM maintenance_logs GROUP BY equipment_id"))
 def agg_sum_double(spark, sf_dir):
-    out = agg.maintenance_totals(_t(spark, sf_dir, "maintenance_logs"), ["equipment_id"], V) \
+    return agg.maintenance_totals(_t(spark, sf_dir, "maintenance_logs"), ["equipment_id"], V) \
         .select("equipment_id", "total_duration_hours", "total_cost")
-    return _round(out, ("total_duration_hours", "total_cost"))
 
 
 @register("agg_max_date", O.with_ctes(
@@ -496,6 +525,29 @@ def sort_location(spark, sf_dir):
                                       _t(spark, sf_dir, "storage_locations"), V, sort=True)
 
 
+def _order_sql(mart: str, key: str) -> str:
+    return O.with_ctes(
+        f"SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS inversions, CAST(0 AS BIGINT) AS overlaps, "
+        f"CASE WHEN COUNT(*) = COUNT({key}) THEN MIN({key}) END AS first_{key}, MAX({key}) AS last_{key} "
+        f"FROM m_{mart}", O.MART_CTES)
+
+
+def _written_order(spark: SparkSession, mart: DataFrame, keys: list[str]) -> DataFrame:
+    uri = files.write_parquet(mart, scratch_uri(spark, "sorted"))
+    return order_digest(spark, uri, keys).drop("n_parts")
+
+
+@register("order_session_date", _order_sql("inventory_accuracy", "session_date"))
+def order_session_date(spark, sf_dir):
+    """The written parts of the sorted mart are in order, within and between them."""
+    return _written_order(spark, sort_session_date(spark, sf_dir), ["session_date"])
+
+
+@register("order_location", _order_sql("location_utilization", "zone"))
+def order_location(spark, sf_dir):
+    return _written_order(spark, sort_location(spark, sf_dir), ["zone", "rack", "shelf"])
+
+
 # --- 2.7 marts ---------------------------------------------------------------------
 
 @register("mart_equipment_health", O.mart("equipment_health"))
@@ -517,16 +569,9 @@ def mart_location_utilization(spark, sf_dir):
                                       _t(spark, sf_dir, "storage_locations"), V)
 
 
-_M4_DOUBLES = ("total_duration_hours", "total_cost")
-
-
-@register("mart_maintenance_summary", O.with_ctes(
-    "SELECT equipment_id, category, maintenance_events, overdue_events, "
-    f"{O.round4('total_duration_hours', 'total_duration_hours')}, {O.round4('total_cost', 'total_cost')}, "
-    "last_maintenance_date FROM m_maintenance_summary", O.MART_CTES))
+@register("mart_maintenance_summary", O.mart("maintenance_summary"))
 def mart_maintenance_summary(spark, sf_dir):
-    out = marts.maintenance_summary(_t(spark, sf_dir, "maintenance_logs"), _t(spark, sf_dir, "equipment"), V)
-    return _round(out, _M4_DOUBLES)
+    return marts.maintenance_summary(_t(spark, sf_dir, "maintenance_logs"), _t(spark, sf_dir, "equipment"), V)
 
 
 @register("mart_responsible_load", O.mart("responsible_load"))

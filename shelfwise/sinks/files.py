@@ -22,11 +22,17 @@ from ..sources.parts import FILES_DDL, SourceFile, check_copies, describe
 SNAPSHOT_COLUMN = "snapshot_date"
 
 
-def write_parquet(df: DataFrame, uri: str, partition_by: Sequence[str] = ()) -> str:
+def write_parquet(df: DataFrame, uri: str, partition_by: Sequence[str] = (), rebalance: bool = False) -> str:
     """Overwrite a Parquet dataset.  With ``partition_by`` only the partitions
     present in ``df`` are replaced (dynamic partition overwrite), so a daily
-    snapshot partition can be rewritten without touching history."""
-    writer = df.write.mode("overwrite")
+    snapshot partition can be rewritten without touching history.
+
+    ``rebalance`` deals the rows out again before the write, for one more exchange:
+    AQE then joins small and splits large partitions to about
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, whatever the number of
+    shuffle partitions and however hot a key.  Not for sorted frames.
+    """
+    writer = (df.hint("rebalance") if rebalance else df).write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.parquet(uri)
@@ -66,7 +72,7 @@ def dataset_uris(layer_uri: str, name: str) -> tuple[str, str]:
 
 def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
                   export_csv: bool = True, max_records: int = 0,
-                  snapshot: _dt.date | str | None = None) -> DataFrame:
+                  snapshot: _dt.date | str | None = None, rebalance: bool = False) -> DataFrame:
     """Write ``{layer}/{name}`` as Parquet and, optionally, ``{layer}/{name}_csv``.
 
     With ``snapshot`` (a day), the Parquet dataset is partitioned by
@@ -83,12 +89,12 @@ def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
     if snapshot is None:
         if _has_snapshots(spark, parquet_uri):
             raise ValueError(f"{parquet_uri} keeps snapshots; name the snapshot day to write")
-        write_parquet(df, parquet_uri)
+        write_parquet(df, parquet_uri, rebalance=rebalance)
         written = spark.read.schema(df.schema).parquet(parquet_uri)
     else:
         day = _dt.date.fromisoformat(snapshot) if isinstance(snapshot, str) else snapshot
         dated = df.withColumn(SNAPSHOT_COLUMN, F.lit(day))
-        write_parquet(dated, parquet_uri, partition_by=[SNAPSHOT_COLUMN])
+        write_parquet(dated, parquet_uri, partition_by=[SNAPSHOT_COLUMN], rebalance=rebalance)
         written = (spark.read.schema(dated.schema).parquet(parquet_uri)
                    .where(F.col(SNAPSHOT_COLUMN) == F.lit(day)).drop(SNAPSHOT_COLUMN))
     if export_csv:
@@ -99,10 +105,10 @@ def write_dataset(spark: SparkSession, df: DataFrame, layer_uri: str, name: str,
 def write_layer(spark: SparkSession, frames: dict[str, DataFrame], layer_uri: str,
                 export_csv: bool = True, max_records: int = 0,
                 snapshot: _dt.date | str | None = None,
-                max_parallel: int = 6) -> dict[str, DataFrame]:
+                max_parallel: int = 6, rebalance: bool = False) -> dict[str, DataFrame]:
     """``write_dataset`` for every frame of a layer, up to ``max_parallel``
     datasets at a time; returns the written frames."""
     return run_concurrently(
         {name: (lambda n=name, df=df: write_dataset(spark, df, layer_uri, n, export_csv,
-                                                    max_records, snapshot))
+                                                    max_records, snapshot, rebalance))
          for name, df in frames.items()}, max_parallel)
