@@ -118,7 +118,8 @@ def rule_summary(tables: dict[str, DataFrame]) -> DataFrame:
     Each rule is a grouped count; D1 and D2 share one join of results to
     assets and one aggregate.
     """
-    flags = check_discrepancy_flags(tables["inventory_results"], tables["equipment"]).agg(
+    by_equipment = tables.get("inventory_results_by_equipment", tables["inventory_results"])
+    flags = check_discrepancy_flags(by_equipment, tables["equipment"]).agg(
         F.count_if(F.col("flag_violation")).alias("discrepancy_flag_missing"),
         F.count_if(F.coalesce(F.col("item_moved"), F.lit(False))).alias("items_moved"))
     recon = reconcile_sessions(tables["inventory_sessions"], tables["inventory_results"]).agg(

@@ -23,6 +23,7 @@ from ..config import LayerPaths, build_session, object_store_conf_from_env, sizi
 from ..operators.conform import conform_observed, observed_rejects
 from ..operators.rules import rule_summary
 from ..actions import run_concurrently
+from ..sinks.buckets import bucketed
 from ..sinks.files import write_csv, write_layer, write_parquet
 from ..sinks.publish import publish_layers
 from ..sinks.warehouse import load_layers
@@ -93,7 +94,8 @@ def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = N
         sort: bool = False, warehouse_root: str | None = None,
         load_warehouse: bool = False, warehouse_source: str = "parquet",
         snapshot: _dt.date | str | None = None, checks: bool = False, source_root: str | None = None,
-        multi_line: bool = True, max_rejects: int | None = 0, publish: bool = False, rebalance: bool = False
+        multi_line: bool = True, max_rejects: int | None = 0, publish: bool = False, rebalance: bool = False,
+        buckets: int = 0
         ) -> dict[str, dict[str, DataFrame]]:
     """One daily run; with ``source_root`` the sources are landed first, and a
     missing one fails the run (the raw zone may still hold an older copy)."""
@@ -102,9 +104,10 @@ def run(spark: SparkSession, paths: LayerPaths, as_of: _dt.date | str | None = N
         if missing:
             raise FileNotFoundError(f"no source for {', '.join(sorted(missing))} under {source_root}")
     dds = build_dds(spark, paths, export_csv, snapshot, multi_line)
-    dm = build_dm(spark, dds, paths, as_of, vocab, export_csv, sort, snapshot, rebalance)
+    facts = bucketed(spark, dds, "dds_buckets", f"{paths.dds.rstrip('/')}/_buckets", buckets) if buckets else dds
+    dm = build_dm(spark, facts, paths, as_of, vocab, export_csv, sort, snapshot, rebalance)
     if checks:
-        dm = {**dm, "_checks": build_checks(spark, dds, paths)}
+        dm = {**dm, "_checks": build_checks(spark, facts, paths)}
     if load_warehouse:
         if warehouse_source == "csv" and not export_csv:
             raise ValueError("a warehouse load from CSV needs the CSV exports")
@@ -125,6 +128,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--single-line", action="store_true",
                    help="no field of the source holds a line break: large files are read by many tasks")
     p.add_argument("--sort", action="store_true", help="globally sort the sorted marts before writing")
+    p.add_argument("--buckets", type=int, default=0,
+                   help="write the conformed facts in so many buckets too, so that their joins need no exchange")
     p.add_argument("--rebalance", action="store_true",
                    help="deal the marts out again before writing, for files near the advisory partition size")
     p.add_argument("--load-warehouse", action="store_true")
@@ -153,7 +158,7 @@ def main(argv: list[str] | None = None) -> None:
         run(spark, paths, as_of=a.as_of, vocab=SOURCE_VOCAB if a.vocab == "source" else ADAPTER_VOCAB,
             export_csv=a.csv, sort=a.sort, source_root=a.source,
             warehouse_root=a.warehouse_root, load_warehouse=a.load_warehouse,
-            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks, multi_line=not a.single_line, publish=a.publish, rebalance=a.rebalance,
+            warehouse_source=a.warehouse_source, snapshot=a.snapshot_date, checks=a.checks, multi_line=not a.single_line, publish=a.publish, rebalance=a.rebalance, buckets=a.buckets,
             max_rejects=None if a.max_rejects < 0 else a.max_rejects)
     finally:
         spark.stop()

@@ -26,6 +26,7 @@ from ..operators.digest import column_digest
 from ..operators.joins import enrich
 from ..operators.order import order_digest
 from ..sinks import files, publish
+from ..sinks.buckets import bucketed
 from ..sinks.warehouse import WAREHOUSE_LAYERS, layer_sources, load_layers
 from ..sources import adapters
 from ..sources.contract import type_report
@@ -216,6 +217,24 @@ def warehouse_publish(spark, sf_dir):
     return _of_own_databases(spark, load)
 
 
+@register("bucketed_marts", O.with_ctes("\nUNION ALL\n".join(
+    O.digest(f"m_{n}", {"mart_name": n}, schemas.MART_SCHEMAS[n]) for n in ("inventory_accuracy", "maintenance_summary")),
+    O.MART_CTES))
+def bucketed_marts(spark, sf_dir):
+    """M2 and M4 over conformed facts in buckets."""
+    database = f"shelfwise_check_{uuid.uuid4().hex[:12]}"
+    try:
+        t = bucketed(spark, adapters.source_tables(spark, sf_dir), database, scratch_uri(spark, "buckets"), buckets=8)
+        found = _digests({
+            "inventory_accuracy": marts.inventory_accuracy(
+                t["inventory_results"], t["inventory_sessions"], t["storage_locations"]),
+            "maintenance_summary": marts.maintenance_summary(t["maintenance_logs"], t["equipment"], V)}, "mart_name")
+        uri = files.write_parquet(found.coalesce(1), scratch_uri(spark, "bucketed-digests"))
+        return spark.read.schema(found.schema).parquet(uri)
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+
 # --- 2.3 conform, projections, predicates -------------------------------------
 
 def _conform_query(name: str) -> Query:
