@@ -19,15 +19,17 @@
     So copies of one article under changing menus count once, however many they are.
 4.  Menus, headers, footers, asides, forms, adverts, notices and comments may vary
     from page to page; their elements and roles mark them as no part of the
-    article whatever the slot says.  Class and id words do so only outside
-    ``article`` and only for blocks beside the main text: words on blocks of one
+    article whatever the slot says (a form around an ``article`` or ``main`` does
+    not).  Class and id words (within an ``article`` those of adverts and reader
+    comments) do so only for blocks beside the main text: words on blocks of one
     label that hold half of the text of the articles (else of main, else of the
     page) or more drop nothing, nor do words that would leave no such text.  If a
     page has an ``article`` (or ``main``), its text is what stands in there.
 
 Text: character references decoded, white space inside a block one space,
 trimmed, blocks joined by one newline in page order.  Formulas (MathML) are text of
-their block; the content of ``object`` and ``template`` is content.  Drawings
+their block; the content of ``object`` and ``template`` is content.  Elements nested more than
+``DEEPEST`` deep lose nothing: they stand side by side there, in page order.  Drawings
 (``svg``) have no text.  Only an unclosed script or style runs to the page's end.
 
 Defined results: null or empty html, or a page without content, gives an empty
@@ -59,7 +61,7 @@ VARIETY = 0.2  # at most this share of a template slot's bodies has another text
 BROADCAST_BYTES = 32 << 20
 WIDEST = 100  # from so many runs of siblings on, labels that recur in them fold
 OFTEN = 8  # siblings of one label that such a list keeps apart
-DEEPEST = 200  # elements nested deeper belong to the block at this depth
+DEEPEST = 200  # elements nested deeper stand side by side, in page order, in the one at this depth
 
 #: Element names of HTML, and the words that sites mark furniture with.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -79,6 +81,8 @@ WORDS = frozenset("""nav navbar navigation menu breadcrumb breadcrumbs sidebar a
     notice popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended
     recommendations comment comments disqus respond reply replies widget widgets pager pagination toolbar skip
     teaser""".split())
+INSIDE_WORDS = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored comment comments disqus
+    respond replies""".split())  # what marks furniture within an article too
 PARAGRAPH_ENDS = frozenset("""address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr
     main nav ol p pre section table ul figure details center""".split())
 
@@ -104,9 +108,11 @@ class Node:
 
 def parse(page: str) -> Node:
     """The tree of a page.  Unclosed elements end with their parent; an end tag
-    without an open element is ignored."""
+    without an open element is ignored.  A form around an article or main is no
+    furniture."""
     root = Node("root")
-    stack: list[tuple[str, Node]] = [("root", root)]
+    stack: list[tuple[str, Node, bool]] = [("root", root, False)]  # with what the element itself says of dropping
+    opened: Counter = Counter()
     run: list[str] = []
     marked = False
     svgs: dict[int, int] | None = None  # start tags of svg to where the element ends
@@ -119,8 +125,16 @@ def parse(page: str) -> Node:
             if text:
                 leaf = Node("#", stack[-1][1].dropped)
                 leaf.text = text
+                if len(stack) > DEEPEST and stack[DEEPEST - 1][1].children[-1] is not stack[-1][1]:
+                    # others stand after this element by now: it goes on behind them
+                    name, before, own = stack[-1]
+                    stack[-1] = name, Node(before.label, before.dropped, before.worded), own
+                    stack[DEEPEST - 1][1].children.append(stack[-1][1])
                 stack[-1][1].children.append(leaf)
 
+    def pop() -> None:
+        opened[stack.pop()[0]] -= 1
+
     at, size = 0, len(page)
     while at < size:
         low = page.find("<", at)
@@ -141,11 +155,11 @@ def parse(page: str) -> Node:
         if name in INLINE:
             continue
         if m[1] or m[4]:
-            if any(open_name == name for open_name, _ in stack):
+            if opened[name] > 0:
                 close_run()
                 while stack[-1][0] != name:
-                    stack.pop()
-                stack.pop()
+                    pop()
+                pop()
             continue
         attributes = m[3] if m[2] else m[6]
         closed = attributes.endswith("/") and _SELF_CLOSED.search(attributes) is not None
@@ -173,22 +187,27 @@ def parse(page: str) -> Node:
             continue
         close_run()
         if name in PARAGRAPH_ENDS and stack[-1][0] == "p":
-            stack.pop()
+            pop()
         elif name in ("li", "dt", "dd", "tr", "td", "th", "option"):
             same = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"),
                     "tr": ("tr", "td", "th")}.get(name, (name,))
-            while stack[-1][0] in same or (stack[-1][0] == "p" and any(x in same for x, _ in stack)):
-                stack.pop()
-        if name in ("html", "body") and any(open_name == name for open_name, _ in stack):
+            while stack[-1][0] in same or (stack[-1][0] == "p" and any(opened[x] > 0 for x in same)):
+                pop()
+        if name in ("html", "body") and opened[name] > 0:
             continue
-        parent = stack[-1][1]
-        label, dropped, worded = _label(name, attributes, {x for x, _ in stack})
-        node = Node(label, parent.dropped or dropped, worded)
+        if name in ("article", "main") and opened["form"] > 0:
+            gone = False
+            for i, (open_name, held, own) in enumerate(stack):
+                own = own and open_name != "form"
+                gone = held.dropped = gone or own
+                stack[i] = open_name, held, own
+        label, dropped, worded = _label(name, attributes, {x for x in ("article", "main") if opened[x] > 0})
+        node = Node(label, stack[-1][1].dropped or dropped, worded)
         marked |= worded
-        if len(stack) < DEEPEST:
-            parent.children.append(node)
-            if name not in VOID:
-                stack.append((name, node))
+        stack[min(len(stack), DEEPEST) - 1][1].children.append(node)
+        if name not in VOID:
+            stack.append((name, node, dropped))
+            opened[name] += 1
     close_run()
     if marked:
         _drop_worded(root)
@@ -251,12 +270,13 @@ def _label(name: str, attributes: str, above: set[str]) -> tuple[str, bool, bool
     if not attributes or "=" not in attributes and "hidden" not in attributes:
         return name, dropped, False
     kept, worded = [], False
-    plain = name in ("html", "body", "article", "main") or "article" in above
+    plain = name in ("html", "body", "article", "main")
+    marks = INSIDE_WORDS if "article" in above else WORDS
     for key, value in _ATTRIBUTE.findall(attributes):
         key, value = key.lower(), value.strip("\"'")
         if key in ("class", "id"):
             words = [w for w in _SPLIT.split(_CAMEL.sub(r"\1 \2", value).lower()) if w]
-            worded |= not plain and any(w in WORDS for w in words)
+            worded |= not plain and any(w in marks for w in words)
             if key == "class":
                 kept += sorted(set(words))
         elif key == "role":

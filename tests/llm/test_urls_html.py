@@ -282,3 +282,24 @@ def test_copies_under_changing_menus_and_small_vocabularies_stay(spark):
         assert story in got[url], url
         assert ("All rights" in got[url]) == ("one.com" in url)
         assert "marked.com" in url or got[url][2] == f"Part {int(url.split('/')[-1]) % 4}"
+
+
+def test_deep_elements_keep_their_text_and_order():
+    for depth in (150, 190, 195, 199, 200, 201, 400, 3_000):
+        nested = "".join(f"<div>in{i}" for i in range(depth)) + "deep" + "".join(f"</div>out{i}" for i in range(depth))
+        page = f"<div class=page><article><p>head</p>{nested}<nav>menu</nav><p>tail</p></article></div><p>after</p>"
+        want = ["head", *(f"in{i}" for i in range(depth - 1)), f"in{depth - 1}deep", *(f"out{i}" for i in range(depth)), "tail"]
+        assert main_text(page).split("\n") == want
+        hidden = "<div>" * depth + "<nav>menu<p>more</p></nav><p>text</p>" + "</div>" * depth
+        assert main_text(f"<article><p>head</p>{hidden}<p>tail</p></article>") == "head\ntext\ntail"
+
+
+def test_forms_around_articles_and_adverts_inside_them():
+    body = "<p>" + "Long text of the article. " * 9 + "</p>"
+    want = " ".join(["Long text of the article."] * 9)
+    page = f"<form id=f><div>name</div><label>Go</label><article>{body}</article><footer>foot</footer></form>"
+    assert main_text(page) == want
+    assert main_text(f"<nav>m<form><main>{body}</main></form></nav><p>x</p>") != want  # the menu around it stays one
+    assert main_text(f"<article>{body}<form>mail <input></form></article>") == want
+    assert main_text(f"<article>{body}<div class=ad>Buy now</div><section class=comments>Nice!</section></article>") == want
+    assert main_text(f"<article class=post-ads><div class='has-comments'>{body}</div></article>") == want
