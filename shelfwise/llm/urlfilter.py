@@ -8,8 +8,9 @@ expression, so every url is judged without a join.
 Aliases: a page names another url as its own by ``<link rel="canonical">`` or
 sends readers on by ``<meta http-equiv="refresh">``; known redirects may be
 given as a table.  Both are edges between urls (scheme and host in lower case,
-fragment dropped, relative targets resolved); comments, scripts and styles are
-not looked into.  Distributed connected components join the aliases, and a url
+fragment dropped, character references decoded, relative targets resolved against
+the page's ``<base>`` or url, dot segments removed); comments, scripts and styles
+are not looked into.  Distributed connected components join the aliases, and a url
 that no rule fits takes its component's decision: allow if a rule allows some
 alias (explicit allow comes first), else block if a rule blocks one, else
 ``DEFAULT``.  A url with a rule of its own keeps that rule's verdict.  Targets
@@ -65,13 +66,23 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return found
 
 
+def _without_dots(rest: Column) -> Column:
+    """A path (with its query) without ``.`` and ``..`` segments, as RFC 3986 has it."""
+    path, query = F.regexp_extract(rest, r"(?s)^([^?]*)", 1), F.regexp_extract(rest, r"(?s)^[^?]*(.*)$", 1)
+    segments = F.split(F.regexp_replace(path, "^/", ""), "/")
+    plain = F.aggregate(segments, F.lit(""), lambda done, x: F.when(x == ".", done).when(
+        x == "..", F.regexp_replace(done, r"(?s)/[^/]*$", "")).otherwise(F.concat(done, F.lit("/"), x)))
+    end = F.when(path.rlike(r"/\.\.?$"), "/").otherwise("")  # such a path names a folder
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(plain, end, query)).otherwise(rest)
+
+
 def node_of(url: Column) -> Column:
-    """The url as a vertex: scheme and host in lower case, no fragment; null
-    without ``://``."""
+    """The url as a vertex: scheme and host in lower case, no fragment, no dot
+    segments; null without ``://``."""
     plain = F.regexp_replace(F.trim(url), r"(?s)#.*$", "")
     head = F.regexp_extract(plain, r"(?s)^(.*?://[^/?]*)", 1)
     rest = F.regexp_extract(plain, r"(?s)^.*?://[^/?]*(.*)$", 1)
-    return F.when(head != "", F.concat(lower_ascii(head), F.when(rest == "", "/").otherwise(rest)))
+    return F.when(head != "", F.concat(lower_ascii(head), F.when(rest == "", "/").otherwise(_without_dots(rest))))
 
 
 def _resolved(url: Column, target: Column) -> Column:
@@ -88,9 +99,26 @@ def _resolved(url: Column, target: Column) -> Column:
             .otherwise(F.concat(folder, target)))
 
 
+#: The named references that markup needs in attribute values.
+NAMED = {"amp": "&", "quot": '"', "apos": "'", "lt": "<", "gt": ">"}
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|amp|quot|apos|lt|gt);"
+
+
 def _entities(c: Column) -> Column:
-    return F.replace(F.replace(F.replace(c, F.lit("&#38;"), F.lit("&")), F.lit("&quot;"), F.lit('"')),
-                     F.lit("&amp;"), F.lit("&"))
+    """Character references decoded, each once; those of no character stay."""
+    def decoded(reference: Column) -> Column:
+        hexadecimal = F.regexp_extract(reference, r"^&#[xX]([0-9a-fA-F]+);$", 1)
+        decimal = F.regexp_extract(reference, r"^&#([0-9]+);$", 1)
+        code = F.when(hexadecimal != "", F.conv(hexadecimal, 16, 10)).otherwise(decimal).try_cast("int")
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        out = F.when(code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF), char)
+        for name, value in NAMED.items():
+            out = out.when(reference == f"&{name};", F.lit(value))
+        return out.otherwise(reference)
+
+    between = F.split(c, _REFERENCE)
+    references = F.concat(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)), F.array(F.lit("")))
+    return F.array_join(F.zip_with(between, references, lambda text, ref: F.concat(text, decoded(ref))), "")
 
 
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -99,27 +127,30 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     bare = F.regexp_replace(F.col("html"), r"(?is)<!--.*?(?:-->|$)|<(script|style)\b.*?(?:</\1\s*>|$)", " ")
     # possessive: a repeated group that may go back would take a stack frame a character of a long tag
     tags = F.regexp_extract_all(bare, F.lit(r"""(?is)<(?:link|meta)\b(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>"""), F.lit(0))
-    tag = F.col("tag")
+    based = F.regexp_extract(bare, r"""(?is)<base\b(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>""", 0)
 
-    def value(name: str) -> Column:
+    def value(name: str, tag: Column = F.col("tag")) -> Column:
         found = F.regexp_extract(tag, rf"""(?is)[\s"']{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
         return F.trim(F.regexp_replace(found, r"""^["']|["']$""", ""))
 
     # tables in between keep each expression small and evaluated once
     found = written(pages.select(F.col(url).alias("url"), F.col(html).alias("html")).where(hint)
-                    .select("url", F.explode(tags).alias("tag")), "url-tags")
-    kind = F.lower(F.substring(tag, 2, 4))
+                    .select("url", based.alias("base"), F.explode(tags).alias("tag")), "url-tags")
+    kind = F.lower(F.substring("tag", 2, 4))
     values = written(found.select(
-        "url", F.lower(F.when(kind == "link", value("rel"))).alias("rel"), value("href").alias("href"),
+        "url", value("href", F.col("base")).alias("base"), F.lower(F.when(kind == "link", value("rel"))).alias("rel"), value("href").alias("href"),
         F.lower(F.when(kind == "meta", value("http-equiv"))).alias("equiv"), value("content").alias("content")),
         "url-values")
     onward = F.trim(F.regexp_extract("content", r"(?is)^[^;,]*[;,]\s*url\s*=\s*(.*)$", 1))
     onward = F.regexp_replace(onward, r"""^["']|["']$""", "")
     target = (F.when(F.col("rel").rlike(r"(^|\s)canonical(\s|$)"), F.col("href"))
               .when(F.col("equiv") == "refresh", onward))
-    links = written(values.select("url", F.trim(_entities(target)).alias("target")), "url-links")
-    whole = written(links.where("target <> ''").select("url", _resolved(F.col("url"), F.col("target")).alias("target")),
-                    "url-targets")
+    links = written(values.where(target != "").select(
+        "url", F.trim(_entities(F.col("base"))).alias("base"), F.trim(_entities(target)).alias("target")), "url-links")
+    based = written(links.where("target <> ''").select(
+        "url", F.coalesce(F.when(F.col("base") != "", _resolved(F.col("url"), F.col("base"))), "url").alias("from"),
+        "target"), "url-bases")
+    whole = written(based.select("url", _resolved(F.col("from"), F.col("target")).alias("target")), "url-targets")
     return written(whole.select(node_of(F.col("url")).alias("a"), node_of(F.col("target")).alias("b")), "url-edges")
 
 
@@ -157,6 +188,18 @@ def oracle_sql() -> str:
     rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
     host = r"lower(regexp_extract({u}, '^(?s:.*?)://([^/?#]*)', 1))"
     path = r"regexp_extract({u}, '^(?s:.*?)://[^/?#]*([^?#]*)', 1)"
+    # a path without dot segments, and what follows it
+    rest = r"regexp_extract({u}, '://[^/?#]*([^#]*)', 1)"
+    dotless = (r"CASE WHEN regexp_matches({u}, '://[^/?#]*[^?#]*/\.\.?(/|[?#]|$)') THEN "
+               r"list_reduce(list_prepend('', string_split(regexp_extract({u}, '://[^/?#]*/([^?#]*)', 1), '/')), lambda done, x: "
+               r"CASE x WHEN '.' THEN done WHEN '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || x END) || "
+               r"CASE WHEN regexp_matches({u}, '://[^?#]*/\.\.?([?#]|$)') THEN '/' ELSE '' END || "
+               r"regexp_extract({u}, '://[^?#]*([?][^#]*)', 1) ELSE " + rest + " END")
+
+    def node(u: str) -> str:
+        return (f"lower(regexp_extract({u}, '^(.*?://[^/?#]*)', 1)) || CASE WHEN {rest.format(u=u)} = '' THEN '/' "
+                f"ELSE {dotless.format(u=u)} END")
+
     canonical = (r"""(?is)<link\s[^>]*rel\s*=\s*["'']?canonical["'']?[^>]*>""")
     return rf"""
 WITH RECURSIVE rules(rh, rp, rv) AS (VALUES {rules}),
@@ -177,8 +220,8 @@ resolved AS (
                                        '^(.*/)', 1) || target END AS target
   FROM named WHERE target <> '' AND url LIKE '%://%'),
 edges AS (
-  SELECT lower(regexp_extract(url, '^(.*?://[^/?#]*)', 1)) || CASE WHEN regexp_extract(url, '://[^/?#]*([^#]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '://[^/?#]*([^#]*)', 1) END AS a,
-         lower(regexp_extract(target, '^(.*?://[^/?#]*)', 1)) || CASE WHEN regexp_extract(target, '://[^/?#]*([^#]*)', 1) = '' THEN '/' ELSE regexp_extract(target, '://[^/?#]*([^#]*)', 1) END AS b
+  SELECT {node('url')} AS a,
+         {node('target')} AS b
   FROM resolved WHERE target IS NOT NULL),
 both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
 reach(node, other) AS (
@@ -193,7 +236,7 @@ shared AS (
   FROM ruled GROUP BY node),
 urls AS (
   SELECT page_id, row_number() OVER () AS row_no, coalesce({host.format(u='url')}, '') AS host, coalesce({path.format(u='url')}, '') AS path,
-         lower(regexp_extract(url, '^(.*?://[^/?#]*)', 1)) || CASE WHEN regexp_extract(url, '://[^/?#]*([^#]*)', 1) = '' THEN '/' ELSE regexp_extract(url, '://[^/?#]*([^#]*)', 1) END AS node
+         {node('url')} AS node
   FROM pages),
 own AS (
   SELECT page_id, row_no, host, path, node, max_by(rh || rp, length(rh) + length(rp)) AS rule,
