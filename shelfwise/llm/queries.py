@@ -58,7 +58,7 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     rows, _ = sharding.shard(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-                       F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+                       F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "next_shard")
 
 
 @register("op5_simhash_dedup")

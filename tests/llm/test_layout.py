@@ -51,7 +51,7 @@ def test_slot_map_versions(spark, scratch):
     share = sum(size.values()) / 11
     assert abs(sum(size[s] for s in after if after[s] == 10) - share) <= 110
     sharding.save_map(spark, first, f"{scratch}/map")
-    sharding.save_map(spark, grown, f"{scratch}/map")
+    sharding.save_map(spark, grown, f"{scratch}/map", 2)
     assert sharding.read_map(spark, f"{scratch}/map") == grown
     assert sharding.read_map(spark, f"{scratch}/map", 1) == first
 
@@ -66,6 +66,39 @@ def test_sharding_odd_rows(documents):
     assert sharding.shard(docs.limit(0))[0].count() == 0
 
 
+def test_a_row_that_is_a_third_of_the_table_keeps_shards_level(spark):
+    docs = table(spark, SF_MID, "documents").select("doc_id", "text")
+    n = docs.count()
+    hot = docs.orderBy("doc_id").limit(1).crossJoin(spark.range(n // 2).select()).select("doc_id", "text")
+    rows, uri = sharding.shard(docs.unionByName(hot))
+    got = rows.collect()
+    assert len(got) == n + n // 2
+    first, second = sharding.read_map(spark, uri, 1), sharding.read_map(spark, uri)
+    assert {r[0] for r in second} == {2} and sum(r[2] for r in first) == len(got)
+    at, later = {r[1]: r[4] for r in first}, {r[1]: r[4] for r in second}
+    for column, shards, where in (("shard", 40, at), ("next_shard", 41, later)):
+        held = [0] * shards
+        for r in got:
+            held[r[column]] += r.size
+            assert r[column] == where[r.virtual_slot]
+        assert max(held) - min(held) <= 0.02 * np.mean(held)
+    assert all(r.next_shard in (r.shard, 40) for r in got)
+    for s in range(40):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    # a row there once stays where it was without the repeated row
+    alone = {r.key: r.virtual_slot for r in sharding.shard(docs)[0].collect()}
+    often = min(alone)
+    assert all(alone[r.key] == r.virtual_slot for r in got if r.key != often)
+
+
+def test_copies_go_round_the_slots(spark):
+    docs = spark.createDataFrame([(1, "a")] * 11 + [(2, None), (None, "b")], "doc_id long, text string")
+    loads = dict((s, n) for s, n, _ in sharding.slot_loads(sharding.digests(docs, slots=4)))
+    assert sum(loads.values()) == 13 and min(loads.values()) >= 2
+    rows = sharding.shard(docs, shards=2, slots=4)[0].collect()
+    assert sorted((r.key or 0) for r in rows) == [0] + [1] * 11 + [2]
+
+
 def brute_targets(sizes):
     """Water filling, one source at a time."""
     order = sorted(sizes, key=lambda s: (s is None, s.encode() if s is not None else b""))
