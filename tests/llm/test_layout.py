@@ -149,6 +149,35 @@ def test_draw_agrees_with_allocate_and_quotas_are_exact(spark):
     assert mixing.split(copies, 5).count() == mixing.split(copies, 1).count()
 
 
+def test_a_row_that_is_half_of_its_source_is_dealt_like_different_rows(spark):
+    words_of = "a b c d e f g h i j"
+    rows = [(-1, words_of, "x")] * 2_500 + [(i, words_of, "x") for i in range(2_000)] + [(9_000 + i, words_of, "y") for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6, "doc_id", F.rand(1))
+    docs = docs.withColumn("row", F.lit("clashes")).withColumn("_row", F.lit(1))
+    first = sorted(mixing.allocate(docs, blocks=64).collect())
+    assert first == sorted(mixing.allocate(docs.repartition(3), blocks=64).collect())
+    want = brute_targets({"x": 45_000, "y": 30_000})
+    for s, own in (("x", [r for r in first if r.doc_id < 9_000]), ("y", [r for r in first if r.doc_id >= 9_000])):
+        assert all(r.target == pytest.approx(want[s]) and r.taken in (0, 10, 20) for r in own)
+        assert abs(sum(r.taken for r in own) - want[s]) <= 5
+    hot = [r.taken for r in first if r.doc_id == -1]
+    assert len(hot) == 2_500 and len(set(hot)) == 2  # some of the equal rows once more than others
+    drawn = mixing.draw(docs, blocks=64, shards=4)
+    assert drawn.columns == [*docs.columns, "shard"]
+    held: dict = {}
+    for r in drawn.collect():
+        held[r.doc_id] = held.get(r.doc_id, 0) + 10
+    assert held.pop(-1) == sum(hot)
+    assert held == {r.doc_id: r.taken for r in first if r.doc_id != -1 and r.taken}
+
+
+def test_running_sums_by_ranges(spark):
+    rows = [(s, i * 2_654_435_761 * 40_503 * 7 % (1 << 63), i % 9) for s in ("a", None) for i in range(500)]
+    got = mixing._running(spark.createDataFrame(rows, "s string, h long, size long"), ["s"], "h", 4).collect()
+    for r in got:
+        assert r.upto == sum(n for s, h, n in rows if s == r.s and h <= r.h)
+
+
 def test_ranked_is_the_global_order(spark):
     frame = spark.createDataFrame([(x,) for x in ["b", None, "a", "é", "Z", "aa", "\U0001f600", "ﬀ"]], "source string")
     got = mixing.ranked(frame, F.col("source").asc_nulls_last(), "t").orderBy("rank").collect()
