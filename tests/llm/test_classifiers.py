@@ -200,3 +200,46 @@ def test_grams_that_never_occurred_count_as_unseen(spark, monkeypatch):
     model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
     keys, _, _ = langid._keys(["".join(map(chr, rng.integers(97, 123, 2_000)))])
     assert model.log_probs(keys)[langid.ORDER - 1:-1].max() < math.log(1 / (1 << langid.SYMBOL_BITS))
+
+
+def test_letters_of_the_basic_plane_keep_their_own_symbols():
+    symbol, letter = langid._symbols()
+    ranges = [range(0x61, 0x7B), range(0x430, 0x450), range(0x3041, 0x3097), range(0x4E00, 0xA000), range(0xAC00, 0xD7A4)]
+    cps = np.concatenate([np.fromiter(r, int) for r in ranges])
+    assert letter[cps].all() and len(set(symbol[cps])) == len(cps)
+    basic = {int(s) for cp, s in enumerate(symbol[:0x10000]) if s != langid._BLANK and chr(cp).lower() == chr(cp)}
+    beyond = {int(s) for s in symbol[0x10000:] if s != langid._BLANK}
+    assert beyond and not basic & beyond and max(basic | beyond) < 1 << langid.SYMBOL_BITS
+    keys, _, _ = langid._keys(["\uffdc\uff9f漢語한글"])  # keys beyond 63 bits
+    assert len(set(keys.tolist())) == len(keys)
+
+
+@pytest.mark.parametrize("model_bytes", [1 << 30, 0])
+def test_scripts_that_once_shared_symbols_are_told_apart(spark, documents, monkeypatch, model_bytes):
+    monkeypatch.setattr(langid, "MODEL_BYTES", model_bytes)
+    rng = np.random.default_rng(7)
+    letters = {"en": "abcdefghijklmnopqrstuvwxyz", "zh": "".join(chr(0x8000 + ord(c)) for c in "abcdefghijklmnopqrstuvwxyz"),
+               "ko": "".join(map(chr, range(0xCE00, 0xCE20))), "ja": "ｱｲｳｴｵｶｷｸｹｺｻｼｽﾀﾁﾂ"}
+
+    def text(lang):
+        return "".join(rng.choice(list(letters[lang] + " "), 200))
+
+    docs = documents([(i, text(x), x, "s") for i in range(200) for x in ([*letters][i % 4],)])
+    got = langid.identify(docs).select("lang", "prediction.lang_pred", "prediction.score").collect()
+    assert all(r.lang == r.lang_pred and r.score > 0.9 for r in got)
+
+
+def test_ties_go_to_the_first_language(spark, documents):
+    docs = documents([(i, "the same words in two languages " * 3, x, "s") for i in range(80) for x in ("xx", "aa")])
+    assert {r.lang_pred for r in langid.identify(docs).select("prediction.lang_pred").collect()} == {"aa"}
+
+
+def test_rows_that_do_not_calibrate_train(spark, documents, monkeypatch):
+    """A label that only rows of remainder 3 carry is learnt once they are many."""
+    from zlib import crc32
+    monkeypatch.setattr(langid, "CALIBRATION_ROWS", 20)
+    ids = [i for i in range(2_000) if crc32(str(i).encode()) % 4 == 3][:300]
+    other = [i for i in range(2_000) if crc32(str(i).encode()) % 4 == 0][:300]
+    docs = documents([(i, f"qqq zzz xxq {i} " * 5, "qq", "s") for i in ids] + [(i, "common words here " * 5, "en", "s") for i in other])
+    got = {r.lang_pred for r in langid.identify(docs).where("lang = 'qq'").select("prediction.lang_pred").collect()}
+    assert got == {"qq"}
