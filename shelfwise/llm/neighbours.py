@@ -18,7 +18,9 @@ distance of the kth best so far, a query stops at the first projected distance
 D with chi2cdf(D^2 / d^2) >= ``CERTAINTY``: a nearer vector would lie beyond D
 with a probability of at most 1 - CERTAINTY.  First each query searches its
 home shard; the kth score found there and the shards' boxes then tell which
-other shards the test still lets in, and only those are searched.
+other shards the test still lets in, and only those are searched.  Queries of
+neighbouring leaves form a block, and a shard travels to the blocks only that
+need it: once in the first pass, wherever the queries are.
 
 Scores are exact inner products of the given vectors in double precision.
 
@@ -46,6 +48,7 @@ DIMS = 8
 SAMPLE_ROWS = 20_000
 CELL_ROWS = 256
 CERTAINTY = 0.97
+ROUTED_AT_ONCE = 1 << 21  # pairs of query and box that a task looks at together
 SEED = 7
 
 
@@ -86,6 +89,20 @@ def _norms(v: np.ndarray) -> np.ndarray:
     return scale * np.sqrt(np.einsum("ij,ij->i", w, w))
 
 
+def _query_blocks(counts: dict[int, int], query_rows: int) -> list[tuple[int, int, int]]:
+    """(home leaf, first block, blocks): leaves next to each other in the tree share a
+    block as long as it holds ``query_rows`` queries; a leaf with more gets several."""
+    out, block, held = [], -1, query_rows
+    for leaf in sorted(counts):
+        n = counts[leaf]
+        if held + n > query_rows:
+            block, held = block + 1, 0
+        parts = max(1, math.ceil(n / query_rows))
+        out.append((leaf, block, parts))
+        block, held = block + parts - 1, query_rows if parts > 1 else held + n
+    return out
+
+
 class Splits:
     """The upper part of the kd-tree: a complete binary tree of (dimension, value)."""
 
@@ -228,8 +245,11 @@ def search(vectors: DataFrame, is_query, k: int, key: str = "vec_id", vector: st
               .select("id", "vec", (F.col("first") + F.pmod(F.xxhash64("id", "vec"), F.col("parts"))).cast("int").alias("shard")))
     stored = written(stored, "neighbours-shards")
     queries = dealt.where(is_query(F.col("id"))).select("id", "vec", "home")
-    blocks = max(1, math.ceil(queries.count() / query_rows))
-    queries = queries.withColumn("block", F.pmod(F.xxhash64("id", "vec", F.lit(1)), F.lit(blocks)).cast("int"))
+    held = {r["home"]: r["n"] for r in queries.groupBy("home").agg(F.count("*").alias("n")).collect()}  # a row per leaf
+    blocks = spark.createDataFrame(_query_blocks(held, query_rows), "home int, start int, blocks int")
+    part = F.pmod(F.xxhash64("id", "vec", F.lit(1)), F.col("blocks")).cast("int")
+    queries = (queries.join(F.broadcast(blocks), "home").withColumn("block", F.col("start") + part)
+               .drop("start", "blocks"))
 
     def task(shard: pa.Table, block: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
@@ -248,29 +268,30 @@ def search(vectors: DataFrame, is_query, k: int, key: str = "vec_id", vector: st
         return pa.table([np.concatenate(x) for x in out], names)
 
     def searched(asked: DataFrame) -> DataFrame:
-        spread = stored.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        pairs = asked.groupBy("shard").agg(F.collect_set("block").alias("blocks"))
+        pairs = written(pairs, "neighbours-pairs")  # a row per shard
+        spread = stored.join(pairs, "shard").select("id", "vec", "shard", F.explode("blocks").alias("block"))
         return (spread.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
                 .applyInArrow(task, "query_id long, vec_id long, score double"))
 
     def route(batches):
         """The shards besides the first that the test lets in, given the bound."""
         limit = chi2_quantile(certainty)
+        rows_at_once = max(1, ROUTED_AT_ONCE // len(low))
         for b in batches:
-            q = matrix(b.column("vec"), width)
-            bound = np.asarray(b.column("bound"))
-            scale = _norms(q) * projection.longest if len(q) else np.zeros(0)
-            reach = np.where(np.isfinite(bound), limit * np.maximum(0.0, 2 - 2 * bound / np.maximum(scale, 1e-300)) + 1e-12,
-                             np.inf)
-            go = _box_distance(projection.queries(q), low, high) <= reach[:, None] if len(q) else np.zeros((0, 0), bool)
-            if len(q):
-                go[np.arange(len(q)), np.asarray(b.column("shard"))] = False
-            who, to = np.nonzero(go)
-            for lo in range(0, len(who), 10_000):
-                w = pa.array(who[lo:lo + 10_000])
+            for at in range(0, b.num_rows, rows_at_once):
+                some = b.slice(at, rows_at_once)
+                q, bound = matrix(some.column("vec"), width), np.asarray(some.column("bound"))
+                scale = np.maximum(_norms(q) * projection.longest, 1e-300)
+                reach = np.where(np.isfinite(bound), limit * np.maximum(0.0, 2 - 2 * bound / scale) + 1e-12, np.inf)
+                go = _box_distance(projection.queries(q), low, high) <= reach[:, None]
+                go[np.arange(len(q)), np.asarray(some.column("shard"))] = False
+                who, to = np.nonzero(go)
+                ends = np.searchsorted(who, np.arange(len(q) + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("id").take(w), b.column("vec").take(w), b.column("block").take(w),
-                     b.column("bound").take(w), pa.array(to[lo:lo + 10_000].astype(np.int32))],
-                    ["id", "vec", "block", "bound", "shard"])
+                    [*(some.column(c) for c in ("id", "vec", "block", "bound")),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(to.astype(np.int32)))],
+                    ["id", "vec", "block", "bound", "shards"])
 
     if not shards:
         return merged(spark.createDataFrame([], "query_id long, vec_id long, score double"), k)
@@ -288,6 +309,7 @@ def search(vectors: DataFrame, is_query, k: int, key: str = "vec_id", vector: st
     kth = (merged(near, k).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("low"))
            .where(F.col("n") == k).select(F.col("query_id").alias("id"), F.col("low").alias("bound")))
     asked = queries.join(kth, "id", "left").withColumn("bound", F.coalesce("bound", F.lit(float("-inf"))))
-    routed = asked.select("id", "vec", "block", "bound", "shard").mapInArrow(
-        route, "id long, vec array<double>, block int, bound double, shard int")
+    routed = written(asked.select("id", "vec", "block", "bound", "shard").mapInArrow(
+        route, "id long, vec array<double>, block int, bound double, shards array<int>"), "neighbours-routed")
+    routed = routed.select("id", "vec", "block", "bound", F.explode("shards").alias("shard"))
     return merged(near.union(searched(routed)), k)

@@ -74,6 +74,27 @@ def test_shards_and_blocks_change_nothing(spark):
             assert list(own.vec_id) == [a for a, _ in want]
 
 
+def test_query_blocks_follow_the_leaves():
+    blocks = neighbours._query_blocks({0: 3, 1: 4, 2: 6, 3: 25, 4: 1, 7: 2}, 10)
+    assert blocks == [(0, 0, 1), (1, 0, 1), (2, 1, 1), (3, 2, 3), (4, 5, 1), (7, 5, 1)]
+    assert neighbours._query_blocks({}, 10) == []
+
+
+def test_clustered_vectors_keep_their_recall_in_many_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROUTED_AT_ONCE", 100)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(40, 16))
+    v = centres[rng.integers(0, 40, 4_000)] + 0.1 * rng.normal(size=(4_000, 16))
+    frame = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    got = neighbours.search(frame, lambda c: c % 20 == 0, 10, shard_rows=200, query_rows=30).toPandas()
+    hit = 0
+    for i in range(0, 4_000, 20):
+        own = got[got.query_id == i]
+        assert sorted(own["rank"]) == list(range(1, 11))
+        hit += len(set(own.vec_id) & {a for a, _ in brute(np.arange(4_000), v, i, 10)})
+    assert hit / 2_000 >= 0.95
+
+
 def test_odd_vectors(spark):
     inf, nan = math.inf, math.nan
     rows = [(0, [1.0, 0.0]), (5, [0.0, 0.0]), (1, None), (2, [nan, 1.0]), (3, [1.0, None]), (4, [inf, 0.0]),
