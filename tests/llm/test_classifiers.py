@@ -243,3 +243,51 @@ def test_rows_that_do_not_calibrate_train(spark, documents, monkeypatch):
     docs = documents([(i, f"qqq zzz xxq {i} " * 5, "qq", "s") for i in ids] + [(i, "common words here " * 5, "en", "s") for i in other])
     got = {r.lang_pred for r in langid.identify(docs).where("lang = 'qq'").select("prediction.lang_pred").collect()}
     assert got == {"qq"}
+
+
+def test_decisions_equal_brute_force(spark, documents):
+    """Lowest cross-entropy per symbol under the textbook models of all training rows."""
+    from zlib import crc32
+    rng = np.random.default_rng(11)
+    lexicon = {"aa": "the cat sat on a mat and ran", "bb": "le chat est sur la table et dort", "cc": "der hund ist im haus und bellt"}
+    everything = " ".join(lexicon.values()).split()
+    rows = []
+    for i in range(120):
+        lang = [*lexicon][i % 3]
+        own = rng.choice(lexicon[lang].split(), 12)
+        mixed = rng.choice(everything, 12)
+        rows.append((i, " ".join(own if i % 5 else mixed), lang, "s"))
+    rows += [rows[0]] * 3
+    train = {x: [t for i, t, lang, _ in rows if lang == x and crc32(str(i).encode()) % 4 < 2] for x in lexicon}
+    models = {}
+    for x, texts in train.items():
+        grams = {4: Counter(g for t in texts for g in [("   " + t + " ")[j:j + 4] for j in range(len(t) + 1)])}
+        for n in (3, 2, 1):
+            grams[n] = Counter(g[1:] for g in grams[n + 1])
+        d = {}
+        for n in grams:
+            once, twice = (sum(c == k for c in grams[n].values()) for k in (1, 2))
+            d[n] = min(max(once / (once + 2 * twice) if once else 0.75, 0.1), 0.95)
+        models[x] = grams, d
+
+    def p(x, gram):
+        grams, d = models[x]
+        n = len(gram)
+        if n == 0:
+            return 1.0 / (1 << langid.SYMBOL_BITS)
+        follow = [c for g, c in grams[n].items() if g[:-1] == gram[:-1]]
+        if not follow:
+            return p(x, gram[1:])
+        own = grams[n].get(gram, 0)
+        return (max(own - d[n], 0) + d[n] * len(follow) * p(x, gram[1:])) / sum(follow)
+
+    def entropies(text):
+        grams = [("   " + text + " ")[j:j + 4] for j in range(len(text) + 1)]
+        return {x: -sum(math.log(p(x, g)) for g in grams) / len(grams) for x in models}
+
+    docs = documents(rows)
+    got = {r.doc_id: r for r in langid.identify(docs).select("doc_id", "text", "prediction.*").collect()}
+    for i in range(0, 120, 2):
+        want = entropies(got[i].text)
+        best = min(want, key=lambda x: (want[x], x))
+        assert got[i].lang_pred == best and got[i].cross_entropy == pytest.approx(want[best], rel=1e-5)
