@@ -9,7 +9,8 @@ Exact for values under 2^40 in size, to 2^-60 (smaller bits of a value are cut o
 A group with a larger value, an infinity or NaN, or a total beyond 2^62, has the plain
 sum.  NULL values do not count, and a group of only NULLs sums to NULL, as with ``sum``.
 
-``parts`` and ``merged`` carry the exact total through a second aggregation.
+``parts`` and ``merged`` carry the exact total through a second aggregation.  The
+aggregates are SQL text: a call to the JVM each, not one per operator in them.
 """
 
 from __future__ import annotations
@@ -19,55 +20,51 @@ from pyspark.sql import functions as F
 
 LIMB_BITS, LIMBS = 20, 3
 _LIMB = 1 << LIMB_BITS
-_LARGEST = float(1 << 40)
-_UNIT = float(_LIMB ** LIMBS)  # units a whole number has
+_LARGEST = f"{float(1 << 40)!r}D"
+_UNIT = f"{float(_LIMB ** LIMBS)!r}D"  # units a whole number has
 
 
-def _limbs(value: Column) -> list[Column]:
-    """The value in whole numbers, each a limb finer than the one before.  Scaling by
-    powers of two and taking off the whole part are exact; casts cut towards zero."""
-    scaled = value * F.lit(float(_LIMB))
-    upper = scaled.cast("bigint")
-    lower = ((scaled - upper.cast("double")) * F.lit(float(_LIMB * _LIMB))).cast("bigint")
-    low = F.lit(_LIMB - 1).cast("bigint")
-    return [F.shiftright(upper, LIMB_BITS), upper.bitwiseAND(low), F.shiftright(lower, LIMB_BITS), lower.bitwiseAND(low)]
+def _sums(value: str) -> list[str]:
+    """Sums of the value in whole numbers, each a limb finer than the one before.  Scaling
+    by powers of two and taking off the whole part are exact; casts cut towards zero."""
+    scaled = f"(CASE WHEN abs({value}) < {_LARGEST} THEN {value} END * {float(_LIMB)!r}D)"
+    upper = f"CAST({scaled} AS BIGINT)"
+    lower = f"CAST(({scaled} - CAST({upper} AS DOUBLE)) * {float(_LIMB * _LIMB)!r}D AS BIGINT)"
+    limbs = [f(x) for x in (upper, lower) for f in (lambda x: f"shiftright({x}, {LIMB_BITS})", lambda x: f"({x} & {_LIMB - 1}L)")]
+    return [f"try_sum({limb})" for limb in limbs]
 
 
-def _total(limbs: list[Column]) -> Column:
+def _total(limbs: list[str]) -> str:
     """Limb sums as one number, rounded once to a double (NULL if one overflowed)."""
-    total = limbs[0].cast("decimal(38,0)")
+    total = f"CAST({limbs[0]} AS DECIMAL(38,0))"
     for limb in limbs[1:]:
-        total = (total * F.lit(_LIMB).cast("decimal(8,0)")).cast("decimal(38,0)") + limb.cast("decimal(38,0)")
-    return total.cast("decimal(38,0)").cast("double") / F.lit(_UNIT)
+        total = f"CAST(CAST({total} * CAST({_LIMB} AS DECIMAL(8,0)) AS DECIMAL(38,0)) + CAST({limb} AS DECIMAL(38,0)) AS DECIMAL(38,0))"
+    return f"CAST({total} AS DOUBLE) / {_UNIT}"
 
 
-def _sums(value: Column) -> list[Column]:
-    return [F.try_sum(limb) for limb in _limbs(F.when(F.abs(value) < F.lit(_LARGEST), value))]
+def _quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
 
 
-def _in_range(value: Column) -> Column:
-    return F.max(F.abs(value)) < F.lit(_LARGEST)
-
-
-def exact_sum(column: str | Column) -> Column:
+def exact_sum(column: str) -> Column:
     """Aggregate: the sum of a double column, the same for every order of its rows."""
-    value = F.col(column) if isinstance(column, str) else column
-    return F.coalesce(F.when(_in_range(value), _total(_sums(value))), F.sum(value))
+    value = _quoted(column)
+    return F.expr(f"coalesce(CASE WHEN max(abs({value})) < {_LARGEST} THEN {_total(_sums(value))} END, sum({value}))")
 
 
 def parts(column: str, name: str) -> list[Column]:
     """Aggregates that ``merged`` can sum again: limbs, their range, the plain sum."""
-    value = F.col(column)
-    return [*[s.alias(f"{name}__{i}") for i, s in enumerate(_sums(value))], _in_range(value).alias(f"{name}__in_range"),
-            F.sum(value).alias(f"{name}__plain")]
+    value = _quoted(column)
+    made = {str(i): limb for i, limb in enumerate(_sums(value))} | {
+        "in_range": f"max(abs({value})) < {_LARGEST}", "plain": f"sum({value})"}
+    return [F.expr(f"{sql} AS {_quoted(f'{name}__{part}')}") for part, sql in made.items()]
 
 
 def merged(name: str) -> Column:
     """Aggregate over rows of ``parts``: the sum of all their values."""
-    limbs = [F.col(f"{name}__{i}") for i in range(LIMBS + 1)]
-    plain = F.col(f"{name}__plain")
-    whole = F.col(f"{name}__in_range")  # NULL: the part has no value
-    for limb in limbs:
-        whole = whole & limb.isNotNull()
-    exact = F.when(F.bool_and(plain.isNull() | whole), _total([F.try_sum(limb) for limb in limbs]))
-    return F.coalesce(exact, F.sum(plain)).alias(name)
+    limbs = [_quoted(f"{name}__{i}") for i in range(LIMBS + 1)]
+    plain = _quoted(f"{name}__plain")
+    # in_range is NULL if the part has no value
+    whole = " AND ".join([_quoted(f"{name}__in_range"), *[f"{limb} IS NOT NULL" for limb in limbs]])
+    exact = _total([f"try_sum({limb})" for limb in limbs])
+    return F.expr(f"coalesce(CASE WHEN bool_and({plain} IS NULL OR ({whole})) THEN {exact} END, sum({plain})) AS {_quoted(name)}")
