@@ -5,11 +5,13 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_MID
+from shelfwise.operators import joins
 from shelfwise.plans import marts
 from shelfwise.sources import adapters
 from shelfwise.vocab import ADAPTER_VOCAB as V
@@ -82,3 +84,23 @@ def test_aggregating_marts_are_exact_under_skew(spark, skewed):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     load = marts.responsible_load(eq, t["employees"], V)
     assert load.agg(F.sum("assigned_equipment")).first()[0] == eq.count()
+
+
+def test_accuracy_mart_deals_facts_by_their_rows(spark, monkeypatch):
+    """A task of the join holds a bounded number of rows, whatever the shuffle partitions;
+    a hot session, sessions without a key and repeated sessions change no result."""
+    t = adapters.source_tables(spark, SF_MID)
+    results, sessions = t["inventory_results"], t["inventory_sessions"]
+    odd = results.withColumn("inventory_id", F.when(F.col("result_id").rlike("[0-4]$"), F.lit("INV-1"))
+                             .when(F.col("result_id").rlike("5$"), F.lit(None).cast("string"))
+                             .otherwise(F.col("inventory_id")))
+    twice = sessions.unionByName(sessions.where("inventory_id = 'INV-1' OR inventory_id LIKE '%7'"))
+    for facts, days in ((results, sessions), (odd, twice), (results.limit(0), sessions)):
+        monkeypatch.setattr(joins, "TASK_ROWS", 1 << 40)
+        want = sorted(map(str, marts.inventory_accuracy(facts, days, t["storage_locations"]).collect()))
+        monkeypatch.setattr(joins, "TASK_ROWS", 2_000)
+        got = marts.inventory_accuracy(facts, days, t["storage_locations"])
+        assert sorted(map(str, got.collect())) == want
+        n, hot = joins.deal_over(facts, days, "inventory_id")
+        assert n == -(-(facts.count() + days.count()) // 2_000) and hot is (facts is odd)
+        assert facts.isEmpty() or re.search(rf"hashpartitioning\(inventory_id#\d+, {n}\), REPARTITION_BY_NUM", final_plan(got))
