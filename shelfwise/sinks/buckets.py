@@ -9,15 +9,20 @@ and D3 shuffle no fact.
 A bucket is read by one task, and AQE cannot split it.  So the rows per bucket are
 counted first (one row per bucket reaches the driver): where the fullest of a table
 holds over ``skew`` times the mean, its key is too hot, and the tables of that key
-stay unbucketed, for shuffle joins whose skewed partitions AQE splits.
+stay unbucketed, for shuffle joins that deal with it.  For the same reason the number
+asked for is the least one: it is doubled until a bucket of no table would have over
+``TASK_ROWS`` rows on average.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..actions import run_concurrently
+from ..operators.joins import TASK_ROWS
 from .warehouse import ensure_schema
 
 #: Bucketed table: (conformed table, key).
@@ -40,6 +45,13 @@ def fullest_bucket(df: DataFrame, key: str, buckets: int) -> float:
     return most * buckets / rows if rows else 0.0
 
 
+def enough_buckets(tables: dict[str, DataFrame], least: int) -> int:
+    """``least``, or its first doubling that leaves no table over ``TASK_ROWS`` rows a
+    bucket on average."""
+    rows = run_concurrently({n: tables[n].count for n in {n for n, _ in BUCKETED.values()}})
+    return least << max(0, math.ceil(math.log2(max(*rows.values(), 1) / (least * TASK_ROWS))))
+
+
 def write_bucketed(df: DataFrame, database: str, table: str, key: str, buckets: int, uri: str) -> DataFrame:
     """Replace a bucketed, sorted table, a file per bucket; returns its scan."""
     spark = df.sparkSession
@@ -51,9 +63,11 @@ def write_bucketed(df: DataFrame, database: str, table: str, key: str, buckets:
 
 def bucketed(spark: SparkSession, tables: dict[str, DataFrame], database: str, root: str, buckets: int,
              skew: float = 4.0) -> dict[str, DataFrame]:
-    """``tables`` with the facts read from buckets where no bucket is too full, and
-    ``inventory_results_by_equipment`` where that is so for its key."""
+    """``tables`` with the facts read from ``buckets`` buckets, or more for large tables,
+    where no bucket is too full, and ``inventory_results_by_equipment`` where that is so
+    for its key."""
     ensure_schema(spark, database)
+    buckets = enough_buckets(tables, buckets)
     full = run_concurrently({name: (lambda n=n, key=key: fullest_bucket(tables[n], key, buckets))
                              for name, (n, key) in BUCKETED.items()})
     even = {t for pair in JOINED if all(full[t] <= skew for t in pair) for t in pair}

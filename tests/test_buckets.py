@@ -11,6 +11,7 @@ from conftest import SF_SMALL
 from shelfwise.config import LayerPaths
 from shelfwise.operators import rules
 from shelfwise.plans import marts, pipeline
+from shelfwise.sinks import buckets
 from shelfwise.sinks.buckets import bucketed, fullest_bucket
 from shelfwise.sources import adapters
 from shelfwise.vocab import ADAPTER_VOCAB as V
@@ -75,3 +76,15 @@ def test_daily_run_with_buckets(spark, scratch):
         runs.append({n: sorted(map(str, df.collect())) for n, df in out.items()})
     assert runs[0] == runs[1]
     spark.sql("DROP DATABASE dds_buckets CASCADE")
+
+
+def test_buckets_follow_the_rows(spark, plain, tmp_path, monkeypatch):
+    monkeypatch.setattr(buckets, "TASK_ROWS", 200)
+    most = max(plain[n].count() for n, _ in buckets.BUCKETED.values())
+    t = bucketed(spark, plain, "buckets_more", f"file://{tmp_path}", 3)
+    told = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED buckets_more.inventory_results").collect()}
+    n = int(told["Num Buckets"])
+    assert n % 3 == 0 and most / n <= 200 < most / (n // 2) and buckets.enough_buckets(plain, 3) == n
+    assert buckets.enough_buckets({k: df.limit(0) for k, df in plain.items()}, 3) == 3
+    assert "Bucketed: true" in plan(t["inventory_results"].groupBy("inventory_id").count())
+    spark.sql("DROP DATABASE buckets_more CASCADE")
