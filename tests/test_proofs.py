@@ -6,6 +6,7 @@ import glob
 import math
 import os
 import random
+import re
 from fractions import Fraction
 
 import pytest
@@ -13,13 +14,15 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from shelfwise import schemas
+from shelfwise.functions import casting
+from shelfwise.functions.casting import try_convert
 from shelfwise.operators import aggregates as agg
 from shelfwise.operators.exact import exact_sum, merged, parts
 from shelfwise.operators.order import order_digest
 from shelfwise.plans import marts, pipeline
 from shelfwise.sinks import files
 from shelfwise.sources import adapters
-from shelfwise.sources.contract import hold_types, type_report
+from shelfwise.sources.contract import CANDIDATES, hold_types, tried, type_report
 from shelfwise.vocab import ADAPTER_VOCAB as V
 
 GROUPS = {
@@ -144,3 +147,26 @@ def test_written_files_have_a_stated_size(spark, scratch):
     sizes = [os.path.getsize(p) for p in glob.glob(f"{uri.removeprefix('file://')}/part-*.parquet")]
     assert 4 < len(sizes) < 40 and max(sizes) < 3 * sorted(sizes)[len(sizes) // 2]
     assert spark.read.parquet(uri).count() == 60_000
+
+
+def test_texts_convert_by_shape_as_by_cast(spark):
+    """Texts that are not cast are texts whose cast fails, blanks and odd spellings included."""
+    texts = ["", " ", "0", "1", "-1", "+7", "+-5", "--1", "5-", "007", "1.0", "1.", ".5", ".", "1e3", "1E-3", "1e", "1d", "2F", "0x1p3", "0x1.8P1d",
+             "0x", "NaN", "nan", "-NaN", "inf", "-Infinity", "+INF", "infinit", "t", "TRUE", "Yes", "n", "no", "off", "2", "\t1\n", "1\x00", "\x7f1",
+             "1 ", "١", "1_000", "1,5", "2147483647", "2147483648", "-2147483649", "00000000002147483647", "9223372036854775807",
+             "9223372036854775808", "000000000000000000009", "1234", "12345", "123456", "1234567", "12345678", "-1234", "+1234-5", "2024-1",
+             "2024-01-02", "2024-1-2", "2024-13-01", "2024-02-30", "2024-01-02 ", "2024-01-02 x", "2024-01-02T", "2024-01-02Tx\ny", "2024-01-02\n",
+             "2024-01-02 03:04", "2024-01-02T03:04:05.123456", "2024-01-02 03:04:05Z", "2024-01-02 03:04:05 UTC", "123-01-01", "1234567-01-01",
+             "123456-01-01", "-123456-01-01", "2024 ", "2024T", "2024-01T", "03:04", "T03:04", "T03:04:05", "3:4:5", "+03:04", "12:30 UTC",
+             "epoch", "now", "today", "x5", "xtrue", "x2024-01-02", "two\nlines", "ı", "İnf", "ｔ", "trUe\t", "1995-03-04x", None]
+    rows = spark.createDataFrame([(i, pad.format(t) if t is not None else None) for i, (t, pad) in
+                                  enumerate((t, pad) for t in texts for pad in ("{}", " {} ", "\r{}\x0b"))], "i int, text string")
+    kinds = [k.simpleString() for k in CANDIDATES]
+    found = tried(rows).select("*", casting.present(F.col("text")).alias("has_value"), *[try_convert(F.col("text"), k).isNotNull().alias(f"by_cast_{k.simpleString()}") for k in CANDIDATES]).collect()
+    assert all((r.present or False) is (r.has_value or False) for r in found)
+    wrong = [(r.text, k) for r in found for k in kinds if r[f"is_{k}"] is not r[f"by_cast_{k}"]]
+    assert not wrong and all(any(r[f"is_{k}"] for r in found) for k in kinds)
+    shapes = {k: re.compile(casting._SHAPES[k].replace("(?i)", "").replace(r"\z", r"\Z"), re.I) for k in kinds}
+    for k, texts in {"int": ("x5", "2024-01-02", "3000000000000"), "double": ("2024-01-02", "INV-1", "yes"), "boolean": ("12", "x"),
+                     "date": ("12345678", "plain", "1.5"), "timestamp_ntz": ("12345678", "EQ1", "1.5")}.items():
+        assert not any(shapes[k].search(t) for t in texts)  # no exception is built for them
