@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from shelfwise.operators.digest import COLUMNS, column_digest
 
 SCHEMA = "a string, b string, n int, x double, ok boolean, d date"
@@ -37,3 +39,13 @@ def test_shifted_trimmed_and_lost_values_show(spark):
 def test_empty_table(spark):
     got = _digest(spark.createDataFrame([], SCHEMA))
     assert all(r == (i, 0, 0, None, None, None) for i, r in got.items()) and len(got) == 6
+
+
+def test_totals_of_doubles_round_as_decimals_do(spark):
+    """Whole numbers in BIGINT give the text of DECIMAL sums, beyond their range too."""
+    odd = [0.00005, -0.00005, 0.00015, 0.000049999999999999996, 123456.78905, -0.0, 1e-300, 901.50555, 1e11, 450359962737.0496,
+           -450359962737.0497, 3e14, -7e15, None, 12.34565, 0.1 + 0.2]
+    for some in (odd, odd[:10], [3e14], [None], [-0.00004], [-1.5, 0.25]):
+        frame = spark.createDataFrame([(x,) for x in some], "x double")
+        want = frame.agg(F.sum(F.round(F.col("x") * 10_000).cast("decimal(20,0)")).cast("string")).first()[0]
+        assert _digest(frame)[0][3] == want

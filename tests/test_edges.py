@@ -9,7 +9,7 @@ import pytest
 from shelfwise import SOURCE_VOCAB as SV
 from shelfwise import schemas
 from shelfwise.operators import rules
-from shelfwise.operators.conform import conform, reject_counts
+from shelfwise.operators.conform import conform, conform_observed, reject_counts
 from shelfwise.plans import marts
 
 AS_OF = dt.date(2025, 12, 15)
@@ -216,3 +216,14 @@ def test_d5_followup(spark):
     got = {r.result_id: r.followup_action for r in rules.with_followup_action(res, SV).collect()}
     assert got == {"R1": SV.action_recount, "R2": SV.action_recount,
                    "R3": SV.action_write_off, "R4": ""}
+
+
+def test_conforming_while_counting_converts_each_value_once(spark):
+    raw = spark.createDataFrame([("1", "a"), ("x", "b"), (" ", "c"), (None, "d"), (" 7 ", "e")], "location_id string, zone string")
+    raw = raw.selectExpr("location_id", "zone", "zone AS rack", "zone AS shelf", "'true' AS is_active", "zone AS _corrupt_record")
+    made, seen = conform_observed("storage_locations", raw)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("try_cast(trim(location_id") == 1 or \
+        made._jdf.queryExecution().optimizedPlan().toString().lower().count("as int)") == 1
+    assert made.schema == conform("storage_locations", raw).schema
+    assert sorted(map(str, made.collect())) == sorted(map(str, conform("storage_locations", raw).collect()))
+    assert seen.get == {"location_id": 1, "is_active": 0, "_corrupt_record": 5}
