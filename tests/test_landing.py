@@ -177,3 +177,25 @@ def test_an_empty_marker_cannot_be_a_value(spark, scratch):
     src = put(scratch, {"a": HEADER + b'1,\x01,"",,True\n'})
     row = scan_table(spark, src, "storage_locations").first()
     assert (row.zone, row.rack, row.shelf) == ("\x01", "", None)
+
+
+def test_describing_files_sorts_no_lines(spark, scratch):
+    """The lines pass through one aggregate of numbers: nothing to sort, nothing to spill."""
+    source = put(scratch, {"a": HEADER + b"1,A,r,s,True\n", "b": HEADER + "1,A,r,s,\U0001F600".encode()})
+    digests = parts.file_digests(spark, f"{source}/storage_locations.csv")
+    plan = digests._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "Sort" not in plan
+    assert {r.file[-5:]: r.last_char for r in digests.collect()} == {"a.csv": "e", "b.csv": "\U0001F600"}
+
+
+def test_packed_sources_land_with_the_lines_of_plain_ones(spark, scratch):
+    tables = ("storage_locations", "inventory_results")
+    lines = []
+    for packed in ((), ("inventory_results",)):
+        source, raw = f"{scratch}/source{len(packed)}", f"{scratch}/raw{len(packed)}"
+        pipeline.stage_driver_tables(spark, SF_SMALL, source, tables, packed=packed)
+        assert land_raw(spark, source, raw, tables) == dict.fromkeys(tables, "landed")
+        verify_landed(spark, raw, tables)
+        lines.append([landed_bytes(raw, n) for n in tables])
+        assert bool(glob.glob(f"{local(source)}/inventory_results.csv/*.gz")) is bool(packed)
+    assert lines[0] == lines[1] and all(lines[0])
