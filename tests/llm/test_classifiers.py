@@ -291,3 +291,28 @@ def test_decisions_equal_brute_force(spark, documents):
         want = entropies(got[i].text)
         best = min(want, key=lambda x: (want[x], x))
         assert got[i].lang_pred == best and got[i].cross_entropy == pytest.approx(want[best], rel=1e-5)
+
+
+@pytest.mark.parametrize("model_bytes", [1 << 30, 0])
+def test_thresholds_come_from_all_training_rows(spark, documents, monkeypatch, model_bytes):
+    """Every training row calibrates once, whatever the remainder and the size; beyond
+    CALIBRATION_ROWS none is held back, and rows of remainder 2 have no say."""
+    from zlib import crc32
+    monkeypatch.setattr(langid, "MODEL_BYTES", model_bytes)
+    rng = np.random.default_rng(3)
+    letters = {"aa": "abcdefgh", "bb": "efghijkl"}
+    rows = [(i, "".join(rng.choice(list(letters[x] + " "), 80)), x, "s") for i in range(400) for x in ([*letters][i % 2],)]
+    rows = [r for r in rows if crc32(str(r[0]).encode()) % 4 != 2] + [
+        (i, "".join(rng.choice(list("qrstuvw "), 80)), "aa", "s") for i in range(400) if crc32(str(i).encode()) % 4 == 2]
+    own = sum(crc32(str(r[0]).encode()) % 4 != 2 for r in rows)
+    seen, counted, fit = [], langid._calibration, langid._gram_counts
+    monkeypatch.setattr(langid, "_calibration", lambda m, r: seen.append(r.count()) or counted(m, r))
+    monkeypatch.setattr(langid, "_gram_counts", lambda r: seen.append(-r.count()) or fit(r))
+    source = documents(rows + rows[:5]).selectExpr("doc_id AS key", "text", "lang", "crc32(string(doc_id)) % 4 AS part")
+    few = langid.learn(source)
+    assert sum(n for n in seen if n > 0) in range(own, own + 6) and -min(seen) < own
+    seen.clear()
+    monkeypatch.setattr(langid, "CALIBRATION_ROWS", 20)
+    many = langid.learn(source)
+    assert sum(n for n in seen if n > 0) == -min(seen) >= own
+    assert np.isfinite(few.usual).all() and np.isfinite(many.usual).all() and (many.usual < 4).all()
