@@ -170,3 +170,17 @@ def test_texts_convert_by_shape_as_by_cast(spark):
     for k, texts in {"int": ("x5", "2024-01-02", "3000000000000"), "double": ("2024-01-02", "INV-1", "yes"), "boolean": ("12", "x"),
                      "date": ("12345678", "plain", "1.5"), "timestamp_ntz": ("12345678", "EQ1", "1.5")}.items():
         assert not any(shapes[k].search(t) for t in texts)  # no exception is built for them
+
+
+def test_order_digest_compares_blocks_of_a_file(spark, scratch, monkeypatch):
+    """No task sorts a whole file; a row below the last one of the block before is seen."""
+    from shelfwise.operators import joins, order
+    monkeypatch.setattr(order, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(joins, "TASK_ROWS", 30)
+    values = [*range(50), *range(49, 99), *range(200, 250)]
+    uri = files.write_parquet(spark.createDataFrame([(v,) for v in values], "k long").coalesce(1), f"{scratch}/blocks")
+    got = order_digest(spark, uri, ["k"])
+    assert tuple(got.first()) == (150, 1, 0, 0, 0, 249)
+    files.write_parquet(spark.createDataFrame([(v,) for v in [*range(50), *range(48, 98)]], "k long").coalesce(1), uri)
+    assert tuple(order_digest(spark, uri, ["k"]).first()) == (100, 1, 1, 0, 0, 97)
+    assert re.search(r"hashpartitioning\(file#\d+, block#\d+L, \d+\), REPARTITION_BY_NUM", got._jdf.queryExecution().toString())
