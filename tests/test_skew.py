@@ -104,3 +104,45 @@ def test_accuracy_mart_deals_facts_by_their_rows(spark, monkeypatch):
         n, hot = joins.deal_over(facts, days, "inventory_id")
         assert n == -(-(facts.count() + days.count()) // 2_000) and hot is (facts is odd)
         assert facts.isEmpty() or re.search(rf"hashpartitioning\(inventory_id#\d+, {n}\), REPARTITION_BY_NUM", final_plan(got))
+
+
+def test_accuracy_mart_deals_places_that_are_not_broadcast(spark, monkeypatch, no_broadcast):
+    """Beyond the broadcast budget the places' join, the sums and the sort follow the rows too;
+    hot, missing and repeated places change no result."""
+    t = adapters.source_tables(spark, SF_MID)
+    results, sessions, places = t["inventory_results"], t["inventory_sessions"], t["storage_locations"]
+    results = results.withColumn("location_id", F.when(F.col("result_id").rlike("[0-4]$"), F.lit(3))
+                                 .when(F.col("result_id").rlike("5$"), F.lit(None).cast("int"))
+                                 .otherwise(F.col("location_id")))
+    places = places.unionByName(places.where("location_id IN (3, 7)").withColumn("zone", F.lit("twice")))
+    monkeypatch.setattr(joins, "TASK_ROWS", 1 << 40)
+    want = sorted(map(str, marts.inventory_accuracy(results, sessions, places).collect()))
+    monkeypatch.setattr(joins, "TASK_ROWS", 2_000)
+    got = marts.inventory_accuracy(results, sessions, places)
+    assert sorted(map(str, got.collect())) == want
+    n = -(-results.count() // 2_000)
+    plan = final_plan(got)
+    assert re.search(rf"hashpartitioning\(location_id#\d+, _place#\d+L, {n}\), REPARTITION_BY_NUM", plan)
+    assert re.search(rf"hashpartitioning\(inventory_id#\d+, session_date#\d+, zone#\d+, rack#\d+, shelf#\d+, {n}\)", plan)
+    ordered = marts.inventory_accuracy(results, sessions, places, sort=True)
+    days = [r.session_date for r in ordered.collect()]
+    assert days == sorted(days, key=lambda d: (d is not None, d)) and len(days) == len(want)
+    assert re.search(rf"rangepartitioning\(session_date#\d+ ASC NULLS FIRST.*, {n}\), REPARTITION_BY_NUM", final_plan(ordered))
+
+
+def test_maintenance_summary_deals_logs_by_their_rows(spark, monkeypatch):
+    t = adapters.source_tables(spark, SF_MID)
+    logs, assets = t["maintenance_logs"], t["equipment"]
+    odd = logs.withColumn("equipment_id", F.when(F.col("maintenance_id").rlike("[0-4]$"), F.lit("EQ1"))
+                          .when(F.col("maintenance_id").rlike("5$"), F.lit(None).cast("string"))
+                          .otherwise(F.col("equipment_id")))
+    twice = assets.unionByName(assets.where("equipment_id = 'EQ1' OR equipment_id LIKE '%7'"))
+    for facts, dims in ((logs, assets), (odd, twice), (logs.limit(0), assets)):
+        monkeypatch.setattr(joins, "TASK_ROWS", 1 << 40)
+        want = sorted(map(str, marts.maintenance_summary(facts, dims, V).collect()))
+        monkeypatch.setattr(joins, "TASK_ROWS", 2_000)
+        got = marts.maintenance_summary(facts, dims, V)
+        assert sorted(map(str, got.collect())) == want
+        n = -(-(facts.count() + dims.count()) // 2_000)
+        assert facts.isEmpty() or re.search(rf"hashpartitioning\(equipment_id#\d+(, maintenance_date#\d+)?, {n}\), "
+                                            "REPARTITION_BY_NUM", final_plan(got))
