@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_runs, written
+from .common import sliced, text_runs, written
 
 LENGTH = 4096
 END_ID = 2
@@ -69,6 +69,10 @@ class Encoder:
         self.ends_piece = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, bool)
         self.ends_piece[ends] = True
 
+    def forget(self) -> None:
+        """Drops the words met: idle workers keep no cache beside other stages."""
+        self.cache, self.older = {}, {}
+
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -137,7 +141,7 @@ _encoders: dict[tuple, Encoder] = {}
 
 
 def _encoder(*args) -> Encoder:
-    """One per worker, so that its cache serves all the worker's tasks."""
+    """One per worker, so that its tasks read the vocabulary once; a task's words go with it."""
     if args not in _encoders:
         _encoders.clear()
         _encoders[args] = Encoder(*args)
@@ -154,9 +158,8 @@ def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", path: st
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, before = _encoder(path, end_id, by_word), TaskContext.get().partitionId(), 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+        try:
+            for batch in sliced(batches):
                 ids = list(encoder(batch.column("text").to_pylist()))
                 n = [len(x) // 4 for x in ids]
                 sums = list(itertools.accumulate(n, initial=before))
@@ -165,6 +168,8 @@ def tokenised(docs: DataFrame, key: str = "doc_id", text: str = "text", path: st
                     [batch.column("key"), pa.array([part] * len(ids), pa.int32()), pa.array(sums[:-1], pa.int64()),
                      pa.array(n, pa.int64()), pa.array([_narrow(x) for x in ids], small)],
                     ["key", "part", "before", "n", "ids"])
+        finally:
+            encoder.forget()
 
     kind = rows.schema["key"].dataType.simpleString()
     return written(rows.mapInArrow(encode, f"key {kind}, part int, before long, n long, ids binary"), "packing")

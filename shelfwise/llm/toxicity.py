@@ -29,10 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, free_name
+from .common import fold, free_name, sliced
 
 BITS = 32
 LEAST_DOCUMENTS = 3  # sampled documents of a shard that a feature must be in to be learnt
@@ -176,15 +177,23 @@ class Ftrl:
         self.n[at] = n + g * g
 
 
+def _shared_places(features: list[np.ndarray]) -> np.ndarray:
+    """The features, sorted, that are in LEAST_DOCUMENTS documents; each has a feature
+    once.  One sorted copy of all is made and no count per feature."""
+    every = np.concatenate(features)
+    every.sort()
+    later = every[LEAST_DOCUMENTS - 1:]
+    return np.unique(later[later == every[:len(later)]])
+
+
 def _learn_shard(pdf: pd.DataFrame) -> pd.DataFrame:
     pdf = pdf.sort_values("turn", kind="stable")
     labels = pdf["label"].tolist()
     features = [np.asarray(x, np.int32) for x in pdf["features"]]
-    places, seen = np.unique(np.concatenate(features), return_counts=True)
-    places = places[seen >= LEAST_DOCUMENTS]
+    places = _shared_places(features)
     known = []
     for f in features:
-        at = np.minimum(np.searchsorted(places, f), max(0, len(places) - 1))
+        at = np.minimum(np.searchsorted(places, f), max(0, len(places) - 1)).astype(np.int32)
         known.append(at[places[at] == f] if len(places) else at[:0])
     learner = Ftrl(len(places))
     for _ in range(EPOCHS):
@@ -211,16 +220,17 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray, f
               .where(F.col("turn") / float(1 << 63) <= F.when(F.col("label") == 1, keep[1]).otherwise(keep[0])))
     shards = max(1, math.ceil((pos * keep[1] + neg * keep[0]) / SHARD_ROWS))
 
-    def features(batches):
-        for pdf in batches:
-            for at in range(0, len(pdf), 500):
-                part = pdf.iloc[at:at + 500]
-                yield pd.DataFrame({"shard": part["turn"] // 7 % shards, "turn": part["turn"],
-                                    "label": part["label"], "features": [x.astype(np.uint32).view(np.int32) for x in
-                                                                      feature_sets(part["text"].tolist())]})
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sliced(batches):
+            found = feature_sets(part.column("text").to_pylist())
+            ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(ends, np.concatenate([np.zeros(0, np.int64), *found]).astype(np.uint32).view(np.int32))
+            shard = part.column("turn").to_numpy() // 7 % shards
+            yield pa.RecordBatch.from_arrays([pa.array(shard), part.column("turn"), part.column("label"), lists],
+                                             ["shard", "turn", "label", "features"])
 
     rows = (_one_of_each_key(docs, chosen)
-            .mapInPandas(features, "shard long, turn long, label int, features array<int>"))
+            .mapInArrow(features, "shard long, turn long, label int, features array<int>"))
     learned = rows.groupBy("shard").applyInPandas(_learn_shard, "place long, weight double")
     got = learned.groupBy("place").agg((F.sum("weight") / shards).alias("weight")).toPandas()
     intercept = float(got.loc[got["place"].isna(), "weight"].sum())
@@ -243,14 +253,14 @@ def predictor(spark, model):
     """A column function: text to the probability of label 1."""
     shared = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         places, weights, intercept = shared.value
         sieve = np.zeros(1 << 20, bool)  # most features have no weight: their low bits tell
         sieve[places & ((1 << 20) - 1)] = True
-        for texts in batches:
+        for texts in sliced(batches):
             hits = []
-            for owner, place in _documents(texts.tolist()):
+            for owner, place in _documents(texts.to_pylist()):
                 some = np.flatnonzero(sieve[place & ((1 << 20) - 1)])
                 if len(some):
                     at = np.minimum(np.searchsorted(places, place[some]), len(places) - 1)
@@ -260,7 +270,7 @@ def predictor(spark, model):
             if hits:
                 both = np.unique(np.concatenate(hits))
                 np.add.at(total, both // len(places), weights[both % len(places)])
-            yield pd.Series(1 / (1 + np.exp(-np.clip(total, -35, 35))))
+            yield pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))
 
     return predict
 

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -294,3 +295,16 @@ def test_marks_are_parted_from_words_only_where_the_tokeniser_does():
              "x.\x0by,\x0cz.\tw,\nv. ", ",", "", ". a", "a ."]
     path = packing.default_tokenizer()
     assert list(packing.Encoder(path, 2, True)(texts)) == list(packing.Encoder(path, 2, False)(texts))
+
+
+def test_idle_workers_keep_no_words(spark, documents):
+    docs = documents([(i, f"word{i} again{i % 7} and so on", "en", "s") for i in range(400)])
+    packing.tokenised(docs).count()
+
+    def held(batches):
+        for _ in batches:
+            some = list(packing._encoders.values())
+            yield pa.RecordBatch.from_pydict({"encoders": [len(some)], "words": [sum(len(e.cache) + len(e.older) for e in some)]})
+
+    rows = spark.range(0, 32, 1, 32).mapInArrow(held, "encoders long, words long").collect()
+    assert any(r.encoders for r in rows) and not any(r.words for r in rows)
