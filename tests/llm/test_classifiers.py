@@ -249,6 +249,25 @@ def test_rows_that_do_not_calibrate_train(spark, documents, monkeypatch):
     assert got == {"qq"}
 
 
+def test_queries_train_on_all_learnable_rows(spark, documents, tmp_path, monkeypatch):
+    """Rows of remainder 3 train in small tables too, in the query and in the pipeline:
+    a language that only they have is learnt."""
+    from zlib import crc32
+
+    import corpus_pipeline
+    part = {i: crc32(str(i).encode()) % 4 for i in range(400)}
+    rows = [(i, f"common words here {i} " * 5, "en", "s") for i in part if part[i] != 3]
+    rows += [(i, f"qqq zzz xxq {i} " * 5, "qq", "s") for i in part if part[i] == 3]
+    documents(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    trained, fit = [], langid._gram_counts
+    monkeypatch.setattr(langid, "_gram_counts", lambda r: trained.append(r.count()) or fit(r))
+    got = E.queries()["op1_language_id"](spark, str(tmp_path)).collect()
+    assert {r.lang_pred for r in got if part[r.doc_id] == 3} == {"qq"} and not any(r.rejected for r in got)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.language(spark, docs, str(tmp_path)).count() == 400
+    assert trained == [sum(p != 2 for p in part.values())] * 2
+
+
 def test_decisions_equal_brute_force(spark, documents):
     """Lowest cross-entropy per symbol under the textbook models of all training rows."""
     from zlib import crc32
